@@ -105,8 +105,13 @@ def page_tables(html: str) -> list[list[list[str]]]:
 
 
 def html_tables(pages: DataFrame, key: Sequence[str], html: str) -> DataFrame:
-    """One row per table: the page key, the table's number on the page, its rows."""
-    keyed = pages.select(*key, F.col(html).alias("_html")).where(F.col("_html").contains("<"))
+    """One row per table: the page key, the table's number on the page, its rows.
+
+    Pages without a table never leave the JVM.
+    """
+    keyed = pages.select(*key, F.col(html).alias("_html")).where(
+        F.col("_html").rlike("(?i)<table")
+    )
     schema = T.StructType(
         [keyed.schema[k] for k in key]
         + [T.StructField("table_no", T.IntegerType()), T.StructField("rows", ROWS_TYPE)]

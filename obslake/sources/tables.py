@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.operators.keys import absent_rows
+from obslake.operators.keys import absent_rows, keep_first
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +51,7 @@ def insert_if_absent(df: DataFrame, path: str, key: Sequence[str]) -> None:
     guarded against.
     """
     present = existing_rows(df, path)
-    append_table(absent_rows(df, df.limit(0) if present is None else present, key), path)
+    append_table(keep_first(df, key) if present is None else absent_rows(df, present, key), path)
 
 
 def write_csv(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
