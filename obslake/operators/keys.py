@@ -63,7 +63,8 @@ def number_rows(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
         .select("_part", "_offset")
     )
     position = (F.col("_offset") + F.col("_at") + 1).cast("bigint")
-    return written.join(offsets, "_part").select(position.alias(out), *df.columns)
+    # One row per part: as many as there are shuffle partitions, however large the data.
+    return written.join(F.broadcast(offsets), "_part").select(position.alias(out), *df.columns)
 
 
 def resolve_key(fact: DataFrame, dim: DataFrame, natural: Sequence[str], surrogate: str) -> DataFrame:

@@ -9,10 +9,12 @@ group; what a range needs from the ranges before it travels as a few summary row
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,25 +122,21 @@ def lag_in_order(
     """
     by, order_by = list(by), [order, *tiebreak]
     ranged = with_ranges(df, order, parts, edges)
-    last = ranged.groupBy(*by, RANGE).agg(
-        F.max_by(F.struct(value, *order_by), F.struct(*order_by)).alias("_last")
-    )
+    if tiebreak:
+        last = F.max_by(F.struct(value, *order_by), F.struct(*order_by))
+    else:  # plain columns keep this a hash aggregate
+        last = F.struct(F.max_by(value, order).alias(value), F.max(order).alias(order))
     per_entity = Window.partitionBy(*by).orderBy(RANGE)
     carried = (
-        last.withColumn("_next", F.lead(RANGE).over(per_entity))
+        ranged.groupBy(*by, RANGE)
+        .agg(last.alias("_last"))
+        .withColumn("_next", F.lead(RANGE).over(per_entity))
         .where(F.col("_next").isNotNull())
         .select(*by, F.col("_next").alias(RANGE), "_last.*")
-        .withColumn("_carried", F.lit(True))
-    )
-    rows = ranged.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
-    window = Window.partitionBy(*by, RANGE).orderBy(
-        F.col("_carried").desc(), *[F.col(c).asc_nulls_first() for c in order_by]
-    )
-    return (
-        rows.withColumn(out, F.lag(value).over(window))
-        .where(~F.col("_carried"))
-        .drop("_carried", RANGE)
     )
+    window = _front_row_first(by, order_by)
+    lagged = _with_front_rows(ranged, carried).withColumn(out, F.lag(value).over(window))
+    return lagged.where(~F.col("_front")).drop("_front", RANGE)
 
 
 def row_index(
@@ -150,19 +148,30 @@ def row_index(
     parts: int | None = None,
     edges: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Exact 1-based position within each entity, summed up from range counts."""
+    """Exact 1-based position within each entity.
+
+    A row in front of every (entity, range) holds how many rows come before it.
+    """
     by = list(by)
     ranged = with_ranges(df, order, parts, edges)
-    before = _rows_before(ranged, by, F.count(F.lit(1)))
-    window = Window.partitionBy(*by, RANGE).orderBy(order, *tiebreak)
-    numbered = ranged.withColumn("_at", F.row_number().over(window))
-    return (
-        _join_null_safe(numbered, before, [*by, RANGE])
-        .withColumn(out, (F.col("_at") + F.col("_before")).cast("bigint"))
-        .drop("_at", "_before", "_in_range", "_rows", RANGE)
+    offsets = _rows_before(ranged, by, F.count(F.lit(1))).select(*by, RANGE, "_before")
+    window = _front_row_first(by, [order, *tiebreak])
+    position = F.first("_before").over(window) + F.row_number().over(window) - 1
+    numbered = _with_front_rows(ranged, offsets).withColumn(out, position.cast("bigint"))
+    return numbered.where(~F.col("_front")).drop("_front", "_before", RANGE)
+
+
+def _with_front_rows(ranged: DataFrame, front: DataFrame) -> DataFrame:
+    return ranged.withColumn("_front", F.lit(False)).unionByName(
+        front.withColumn("_front", F.lit(True)), allowMissingColumns=True
     )
 
 
+def _front_row_first(by: Sequence[str], order_by: Sequence[str]) -> WindowSpec:
+    inside = [F.col(c).asc_nulls_first() for c in order_by]
+    return Window.partitionBy(*by, RANGE).orderBy(F.col("_front").desc(), *inside)
+
+
 def _rows_before(ranged: DataFrame, by: Sequence[str], size: Column) -> DataFrame:
     """Per (entity, range): rows in it, rows in earlier ranges, rows of the entity."""
     per_entity = Window.partitionBy(*by)
@@ -177,11 +186,8 @@ def _rows_before(ranged: DataFrame, by: Sequence[str], size: Column) -> DataFram
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    condition = None
-    for key in keys:
-        same = left[key].eqNullSafe(renamed[f"_r_{key}"])
-        condition = same if condition is None else condition & same
-    return left.join(renamed, condition).drop(*[f"_r_{k}" for k in keys])
+    same = [left[key].eqNullSafe(renamed[f"_r_{key}"]) for key in keys]
+    return left.join(renamed, reduce(and_, same)).drop(*[f"_r_{k}" for k in keys])
 
 
 def exact_quantiles(

@@ -150,7 +150,10 @@ def ids_by_group(
 
 def listed_for(groups: DataFrame, ids: DataFrame, by: str) -> DataFrame:
     """The id text for each given group, empty where the group has none."""
-    return groups.select(by).join(ids, by, "left").withColumn("ids", F.coalesce("ids", F.lit("")))
+    listed = groups.select(by).join(ids, by, "left")
+    return listed.withColumns(
+        {"part": F.coalesce("part", F.lit(0)), "ids": F.coalesce("ids", F.lit(""))}
+    )
 
 
 def coverage_summary(df: DataFrame, entity: str, moment: str) -> DataFrame:

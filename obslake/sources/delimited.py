@@ -27,6 +27,7 @@ def read_csv(
     """Typed CSV with a header line. The header must agree with the schema."""
     reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
     reader = reader.option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd")
+    reader = reader.option("recursiveFileLookup", True)
     if comment:
         reader = reader.option("comment", comment)
     return reader.csv(path)
@@ -57,7 +58,7 @@ def _parsed(schema: T.StructType) -> Column:
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.text(path).select(
+    return spark.read.option("recursiveFileLookup", True).text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         (F.col("_metadata.file_block_start") == 0).alias("first_split"),

@@ -1,7 +1,7 @@
 """HTML tables out of a corpus of pages.
 
 The tokeniser is the one step Spark has no expression for; it runs per page inside
-``mapInPandas``. Everything after it, from header wording to records, is built-in.
+``mapInArrow``. Everything after it, from header wording to records, is built-in.
 """
 
 from __future__ import annotations
@@ -11,17 +11,21 @@ import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obslake.session import spread
+
 # How a season table announces its season and allowance.
 SEASON_HEADER = (
     r"(?i)Quota\s*Year\s*(\d{4}/\d{2}).*?TAC\s*([\d,]+\.?\d*)\s*tonnes"
 )
 
 ROWS_TYPE = T.ArrayType(T.ArrayType(T.StringType()))
+ROWS_ARROW = pa.list_(pa.list_(pa.string()))
+PAGES_PER_BATCH = 256
 
 
 def clean_cell(text: str) -> str:
@@ -117,15 +121,23 @@ def html_tables(pages: DataFrame, key: Sequence[str], html: str) -> DataFrame:
         + [T.StructField("table_no", T.IntegerType()), T.StructField("rows", ROWS_TYPE)]
     )
 
-    def tables(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tables(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for page in batch.itertuples(index=False):
-                found = page_tables(page[-1])
-                if found:
-                    columns = {k: [page[i]] * len(found) for i, k in enumerate(key)}
-                    yield pd.DataFrame({**columns, "table_no": range(len(found)), "rows": found})
-
-    return keyed.mapInPandas(tables, schema)
+            for start in range(0, batch.num_rows, PAGES_PER_BATCH):
+                part = batch.slice(start, PAGES_PER_BATCH)
+                page_at, numbers, rows = [], [], []
+                for at, text in enumerate(part.column("_html").to_pylist()):
+                    for number, table in enumerate(page_tables(text)):
+                        page_at.append(at)
+                        numbers.append(number)
+                        rows.append(table)
+                keys = part.select(list(key)).take(pa.array(page_at, pa.int64()))
+                found = [pa.array(numbers, pa.int32()), pa.array(rows, ROWS_ARROW)]
+                yield pa.RecordBatch.from_arrays(
+                    [*keys.columns, *found], [*key, "table_no", "rows"]
+                )
+
+    return spread(keyed).mapInArrow(tables, schema)
 
 
 def season_records(tables: DataFrame, key: Sequence[str]) -> DataFrame:
