@@ -13,6 +13,7 @@ from obslake.functions.text import (
 )
 from obslake.operators.cleaning import shallow, split_rejects, structurally_sound, with_required
 from obslake.plans import season_catch
+from obslake.session import stored
 from obslake.sources.html_tables import html_tables
 
 
@@ -212,8 +213,8 @@ SELECT season AS quota_year, COUNT(*) AS n_pages, {r("SUM(CAST(o_totalprice / un
 FROM flagged GROUP BY season"""
 )
 def q_season_totals(t: Tables) -> DataFrame:
-    """Published totals and reported months per season, from the same pages."""
-    raw = season_catch.raw_records(season_pages(t), datetime(2024, 2, 1))
+    """Published totals and reported months per season, from the same stored records."""
+    raw = stored(season_catch.raw_records(season_pages(t), datetime(2024, 2, 1)), "records")
     exact = "decimal(28,6)"
     published = season_catch.published_totals(raw).groupBy("quota_year").agg(
         F.count(F.lit(1)).alias("n_pages"), F.sum(F.col("catch_tonnes_published").cast(exact)).alias("published")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from obslake.catalog.registry import Tables, query, r
 from obslake.operators import keys
 from obslake.operators.cleaning import plausible, select_renamed, typed, with_constants
-from obslake.session import new_path
+from obslake.session import new_path, stored
 from obslake.sources import delimited, tables
 from obslake.sources.grids import flatten_grid
 
@@ -21,7 +21,7 @@ def event_dimension(t: Tables) -> DataFrame:
     spans = keys.derive_dimension(
         t.events, ["user_id", "event_type"], "ts", "first_ts", "last_ts"
     )
-    return tables.stored(keys.number_rows(spans, ["user_id", "event_type"], "pair_id"), "pairs")
+    return stored(keys.number_rows(spans, ["user_id", "event_type"], "pair_id"), "pairs")
 
 
 DIM_SQL = """

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from obslake.catalog.registry import Tables, amount, doubles, money, query, r, rounded
 from obslake.functions.numbers import half_up
 from obslake.operators import series
+from obslake.operators.ordered import balanced_edges
+from obslake.session import stored
 
 MONTHS_SQL = f"""
 months AS (
@@ -140,9 +142,10 @@ def q_rolling_by_entity(t: Tables) -> DataFrame:
     """Rolling mean and previous value per customer, over balanced ranges of days."""
     day = F.to_date("o_orderdate").alias("day")
     daily = t.orders.groupBy("o_custkey", day).agg(F.sum(money("o_totalprice")).alias("price"))
-    parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    smooth = series.rolling_mean(daily, "day", "price", 3, "rolling", ["o_custkey"], parts, 1000)
-    changed = series.period_change(smooth, "day", "price", ["o_custkey"], parts).drop("change")
+    daily = stored(daily, "daily")
+    edges, by = balanced_edges(daily, "day"), ["o_custkey"]
+    smooth = series.rolling_mean(daily, "day", "price", 3, "rolling", by, edges, block=1000)
+    changed = series.period_change(smooth, "day", "price", by, edges).drop("change")
     return doubles(changed, "price", "previous")
 
 

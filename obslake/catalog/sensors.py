@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from obslake.catalog.registry import Tables, amount, money, query, r, rounded
 from obslake.functions.numbers import half_up, sign_class
 from obslake.operators import keys, quality, series
-from obslake.sources import tables
+from obslake.operators.ordered import balanced_edges
+from obslake.session import stored
 
 GOOD_TYPES = ["view", "click", "purchase", "signup"]
 
@@ -34,7 +35,7 @@ def event_flags(t: Tables) -> DataFrame:
         "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), money("value").alias("value")
     )
     spans = keys.derive_dimension(readings, ["event_type"], "ts", "first_ts", "last_ts")
-    dim = tables.stored(spans, "event_types")
+    dim = stored(spans, "event-types")
     return series.reading_flags(
         readings, dim, key=["event_type"], moment="ts", value="value", start="first_ts",
         end="last_ts", jump=100, good=F.col("event_type").isin(GOOD_TYPES), tiebreak=["event_id"],
@@ -126,25 +127,23 @@ runs AS (
 )"""
 
 
-def warm_runs(t: Tables, parts: int | None = None) -> DataFrame:
-    return series.consecutive_runs(
-        judged_days(t), "day", "is_warm", {"avg_price": half_up(F.avg("price"), 2)}, 3,
-        ["l_returnflag"], parts,
-    )
+def warm_runs(days: DataFrame, edges: list[float] | None = None) -> DataFrame:
+    measures = {"avg_price": half_up(F.avg("price"), 2)}
+    return series.consecutive_runs(days, "day", "is_warm", measures, 3, ["l_returnflag"], edges)
 
 
 @query(f"WITH {RUNS_SQL} SELECT * FROM runs")
 def q_spells_by_entity(t: Tables) -> DataFrame:
     """Runs of three or more warm days per return flag."""
-    return warm_runs(t)
+    return warm_runs(judged_days(t))
 
 
 @query(f"WITH {RUNS_SQL} SELECT * FROM runs ORDER BY run_start DESC NULLS FIRST, l_returnflag LIMIT 10")
 def q_latest_spells(t: Tables) -> DataFrame:
     """The ten most recent warm runs, found over balanced ranges of days."""
-    parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    days = stored(judged_days(t), "judged-days")
     order = [F.col("run_start").desc_nulls_first(), "l_returnflag"]
-    return warm_runs(t, parts).orderBy(*order).limit(10)
+    return warm_runs(days, balanced_edges(days, "day")).orderBy(*order).limit(10)
 
 
 @query(

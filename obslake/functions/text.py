@@ -28,7 +28,7 @@ def nfkc(values: pd.Series) -> pd.Series:
 
 def strip_marks(text: Column) -> Column:
     """Drop zero-width spaces and asterisks, turn odd blanks into one space, trim."""
-    kept = F.translate(text, "​*", "")
+    kept = F.translate(text, "\x1c\x1d\x1e\x1f​*", "    ")
     return F.trim(F.regexp_replace(kept, r"(?U)\s+", " "))
 
 

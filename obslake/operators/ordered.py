@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obslake.session import stored
+
 RANGE = "_range"
 CELLS_PER_PART = 8
 REFINEMENTS = 3
@@ -33,23 +35,20 @@ def order_key(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def default_parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _in_ranges(df: DataFrame, key: str, edges: Sequence[float], out: str) -> DataFrame:
     splits = [float("-inf"), *edges, float("inf")]
     cut = Bucketizer(splits=splits, inputCol=key, outputCol=out, handleInvalid="keep")
     return cut.transform(df)
 
 
-def balanced_edges(df: DataFrame, column: str, parts: int) -> list[float]:
+def balanced_edges(df: DataFrame, column: str, parts: int | None = None) -> list[float]:
     """Edges that cut ``column`` into about ``parts`` equally full ranges.
 
     Counts rows per cell of an even grid and refines only the overfull cells. The
     driver receives cell counts, never rows: at most a fixed multiple of ``parts``.
     Which edges come out affects balance only; any edges give the same results.
     """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.select(order_key(df, column).alias("_key"))
     low, high, rows = keyed.agg(F.min("_key"), F.max("_key"), F.count("_key")).first()
     if not rows or low == high or parts < 2:
@@ -90,12 +89,8 @@ def _merge_light_cells(edges: Sequence[float], counts: dict[int, int], target: f
     return kept
 
 
-def with_ranges(
-    df: DataFrame, order: str, parts: int | None = None, edges: Sequence[float] | None = None
-) -> DataFrame:
+def with_ranges(df: DataFrame, order: str, edges: Sequence[float]) -> DataFrame:
     """Add ``_range``, a number that grows with ``order``; NULL orders get range -1."""
-    if edges is None:
-        edges = balanced_edges(df, order, parts or default_parts(df))
     keyed = df.withColumn("_key", order_key(df, order))
     if not edges:
         ranged = keyed.withColumn(RANGE, F.lit(0.0))
@@ -111,9 +106,8 @@ def lag_in_order(
     order: str,
     value: str,
     out: str,
+    edges: Sequence[float],
     tiebreak: Sequence[str] = (),
-    parts: int | None = None,
-    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """Previous row's value within each entity, ordered by time.
 
@@ -121,7 +115,7 @@ def lag_in_order(
     range; the window then never looks beyond its own range. One shuffle of the rows.
     """
     by, order_by = list(by), [order, *tiebreak]
-    ranged = with_ranges(df, order, parts, edges)
+    ranged = with_ranges(df, order, edges)
     if tiebreak:
         last = F.max_by(F.struct(value, *order_by), F.struct(*order_by))
     else:  # plain columns keep this a hash aggregate
@@ -144,16 +138,15 @@ def row_index(
     by: Sequence[str],
     order: str,
     out: str,
+    edges: Sequence[float],
     tiebreak: Sequence[str] = (),
-    parts: int | None = None,
-    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """Exact 1-based position within each entity.
 
     A row in front of every (entity, range) holds how many rows come before it.
     """
     by = list(by)
-    ranged = with_ranges(df, order, parts, edges)
+    ranged = with_ranges(df, order, edges)
     offsets = _rows_before(ranged, by, F.count(F.lit(1))).select(*by, RANGE, "_before")
     window = _front_row_first(by, [order, *tiebreak])
     position = F.first("_before").over(window) + F.row_number().over(window) - 1
@@ -199,9 +192,10 @@ def exact_quantiles(
 ) -> DataFrame:
     """Interpolated quantiles per group, exact, for groups of any size.
 
-    Equal values are counted before the shuffle; the counts are cut into value
-    ranges, and only the ranges that hold a wanted rank are looked at row by row.
-    Returns the group columns and one double column per named probability.
+    Equal values are counted before the shuffle and the counts stored, so the input
+    is read once. The counts are cut into value ranges, and only the ranges that hold
+    a wanted rank are looked at row by row. Returns the group columns and one double
+    column per named probability.
     """
     by = list(by)
     counts = (
@@ -210,7 +204,8 @@ def exact_quantiles(
         .groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    ranged = with_ranges(counts, value, parts)
+    counts = stored(counts, "value-counts")
+    ranged = with_ranges(counts, value, balanced_edges(counts, value, parts))
     before = _rows_before(ranged, by, F.sum("_n"))
     wanted = before.withColumn(
         "_ranks", F.array(*[rank for p in probabilities.values() for rank in _rank_pair(p)])

@@ -1,8 +1,9 @@
 """Time-series operators: progress, change, rolling means, climatology, runs, trends.
 
-Functions with a ``parts`` argument use plain windows when it is None, which suits
+Functions with an ``edges`` argument use plain windows when it is None, which suits
 calendar-grained input (months, days: a bounded number of rows per series). For raw
-rows pass ``parts``; the work then runs over balanced ranges of the ordering column.
+rows pass the ``balanced_edges`` of the ordering column; the work then runs range by
+range, with the same results.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from obslake.functions.calendar import day_of, epoch_years, month_of, near_edge
 from obslake.functions.numbers import half_even, half_up, mean, percent
-from obslake.operators.ordered import balanced_edges, default_parts, lag_in_order, row_index
+from obslake.operators.ordered import balanced_edges, lag_in_order, row_index
 
 
 def exact_mean(value: str) -> Column:
@@ -75,41 +76,42 @@ def months_into_season(months: DataFrame, season: str, month: str) -> DataFrame:
 
 
 def period_change(
-    df: DataFrame, order: str, value: str, by: Sequence[str] = (), parts: int | None = None
+    df: DataFrame, order: str, value: str, by: Sequence[str] = (),
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """Previous reported row's value and the change from it.
 
     "Previous" is the previous row that has a value, whatever the calendar gap.
     """
     reported = df.where(F.col(value).isNotNull())
-    if parts is None:
+    if edges is None:
         previous = F.lag(value).over(Window.partitionBy(*by).orderBy(order))
         lagged = reported.withColumn("previous", previous)
     else:
-        lagged = lag_in_order(reported, by, order, value, "previous", parts=parts)
+        lagged = lag_in_order(reported, by, order, value, "previous", edges)
     return lagged.withColumn("change", half_up(F.col(value) - F.col("previous"), 2))
 
 
 def rolling_mean(
     df: DataFrame, order: str, value: str, rows: int, out: str, by: Sequence[str] = (),
-    parts: int | None = None, block: int = 100_000, calendar_strict: bool = False,
+    edges: Sequence[float] | None = None, block: int = 100_000, calendar_strict: bool = False,
 ) -> DataFrame:
     """Mean of the last ``rows`` rows, fewer at the start of a series.
 
     Counts rows: a missing month does not shorten the window. ``calendar_strict``
-    averages the last ``rows`` calendar months instead. With ``parts`` rows are
+    averages the last ``rows`` calendar months instead. With ``edges`` rows are
     numbered exactly, cut into blocks, and each block borrows the rows before it.
     """
     if calendar_strict:
         months = F.year(order) * 12 + F.month(order)
         window = Window.partitionBy(*by).orderBy(months).rangeBetween(1 - rows, 0)
         return df.withColumn(out, half_up(F.avg(value).over(window), 2))
-    if parts is None:
+    if edges is None:
         window = Window.partitionBy(*by).orderBy(order).rowsBetween(1 - rows, 0)
         return df.withColumn(out, half_up(F.avg(value).over(window), 2))
     if block < rows:
         raise ValueError("a block must hold at least one whole window")
-    numbered = row_index(df, by, order, "_index", parts=parts)
+    numbered = row_index(df, by, order, "_index", edges)
     home = F.floor((F.col("_index") - 1) / block)
     late = (F.col("_index") - 1) % block > block - rows
     placed = numbered.withColumn("_home", home).withColumn(
@@ -166,7 +168,7 @@ def consecutive_runs(
     measures: dict[str, Column],
     min_rows: int,
     by: Sequence[str] = (),
-    parts: int | None = None,
+    edges: Sequence[float] | None = None,
     calendar_strict: bool = False,
 ) -> DataFrame:
     """Runs of consecutive flagged rows, at least ``min_rows`` long.
@@ -178,14 +180,13 @@ def consecutive_runs(
         held = df.where(F.col(flag))
         place = F.row_number().over(Window.partitionBy(*by).orderBy(order))
         grouped = held.withColumn("_run", F.unix_date(order) - place)
-    elif parts is None:
+    elif edges is None:
         everywhere = F.row_number().over(Window.partitionBy(*by).orderBy(order))
         alike = F.row_number().over(Window.partitionBy(*by, flag).orderBy(order))
         grouped = df.withColumn("_run", everywhere - alike).where(F.col(flag))
     else:
-        edges = balanced_edges(df, order, parts)
-        placed = row_index(df, by, order, "_all", edges=edges)
-        placed = row_index(placed, [*by, flag], order, "_alike", edges=edges)
+        placed = row_index(df, by, order, "_all", edges)
+        placed = row_index(placed, [*by, flag], order, "_alike", edges)
         grouped = placed.withColumn("_run", F.col("_all") - F.col("_alike")).where(F.col(flag))
     return (
         grouped.groupBy(*by, "_run")
@@ -216,7 +217,7 @@ def reading_flags(
     margin: str = "6 hours",
     good: Column | None = None,
     tiebreak: Sequence[str] = (),
-    parts: int | None = None,
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """Step from the previous good reading, spike flag and deployment-edge flag.
 
@@ -225,8 +226,8 @@ def reading_flags(
     may hold any share of the readings.
     """
     kept = readings if good is None else readings.where(good)
-    parts = parts or default_parts(readings)
-    stepped = lag_in_order(kept, key, moment, value, "_previous", tiebreak, parts=parts)
+    edges = balanced_edges(kept, moment) if edges is None else edges
+    stepped = lag_in_order(kept, key, moment, value, "_previous", edges, tiebreak)
     return (
         stepped.withColumn("delta", F.col(value) - F.col("_previous"))
         .withColumn("flag_spike", F.abs("delta") > jump)

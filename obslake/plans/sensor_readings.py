@@ -91,13 +91,13 @@ def constraints(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 def reading_flags(
     fact: DataFrame, dim: DataFrame, jump: float = 3, margin: str = "6 hours",
-    parts: int | None = None,
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """Good readings with their step, spike flag and deployment-edge flag."""
     return series.reading_flags(
         fact, dim, key=["deployment_id"], moment="timestamp", value="temp_c",
         start="deployment_start", end="deployment_end", jump=jump, margin=margin,
-        good=F.col("temp_qc").isin(*GOOD_QC), parts=parts,
+        good=F.col("temp_qc").isin(*GOOD_QC), edges=edges,
     ).withColumnRenamed("delta", "delta_c")
 
 

@@ -47,14 +47,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session without the setting gets a folder of its own; on a
     cluster a machine-local folder would not be visible to every executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="obslake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not configured:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="obslake-"))
+        configured = context.getCheckpointDir()
+    return configured.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -62,6 +62,17 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back.
+
+    Cuts the lineage, spares a second evaluation and makes the size known, so that
+    Spark broadcasts a small dimension by its own size check and shuffles a large one.
+    """
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give every core work when costly per-row Python meets an input of few splits.
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.operators.keys import absent_rows, keep_first
-from obslake.session import new_path
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -26,17 +25,6 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back.
-
-    Cuts the lineage and makes the size known, so that Spark broadcasts a small
-    dimension by its own size check and shuffles a large one.
-    """
-    path = new_path(df.sparkSession, label)
-    replace_table(df, path)
-    return read_table(df.sparkSession, path)
-
-
 def existing_rows(df: DataFrame, path: str) -> DataFrame | None:
     """The table at ``path`` read with the schema of ``df``, None if there is none."""
     try:
