@@ -13,7 +13,7 @@ from obslake.functions.text import (
 )
 from obslake.operators.cleaning import shallow, split_rejects, structurally_sound, with_required
 from obslake.plans import season_catch
-from obslake.session import stored
+from obslake.session import spread, stored
 from obslake.sources.html_tables import html_tables
 
 
@@ -149,7 +149,7 @@ def q_html_tables(t: Tables) -> DataFrame:
         F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</a></td><td><b>"),
         F.length("html").cast("string"), F.lit("</b></td></TR></table></div>"),
     )
-    pages = t.pages.select("page_id", F.concat(table, "html").alias("html"))
+    pages = spread(t.pages).select("page_id", F.concat(table, "html").alias("html"))
     found = html_tables(pages, ["page_id"], "html")
     rows = found.select("page_id", "table_no", F.posexplode("rows").alias("row_no", "row"))
     return rows.select("page_id", "table_no", "row_no", F.array_join("row", "|").alias("cells"))
@@ -171,7 +171,9 @@ def season_pages(t: Tables) -> DataFrame:
         F.lit("</td></tr><tr><td>**TOTAL**</td><td><b>"), F.format_number("o_totalprice", 2),
         F.lit("</b></td></tr></table><table><tr><td>no season</td></tr></table></body></html>"),
     )
-    return t.orders.select(F.col("o_orderkey").alias("page_id"), F.lit("orders").alias("url"), html.alias("html"))
+    return spread(t.orders).select(
+        F.col("o_orderkey").alias("page_id"), F.lit("orders").alias("url"), html.alias("html")
+    )
 
 
 SEASON_SQL = f"""

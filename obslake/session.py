@@ -58,8 +58,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses, under this application's name."""
+    application = f"obslake-{spark.sparkContext.applicationId}"
+    return f"{shared_dir(spark)}/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -74,9 +75,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core work when costly per-row Python meets an input of few splits.
+    """Give every core work when costly per-row Python follows a scan of few splits.
 
-    Large inputs come in more splits than there are cores and pass through unshuffled.
+    For plain scans. Large ones come in more splits than there are cores and pass
+    through unshuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

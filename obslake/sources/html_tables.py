@@ -6,7 +6,6 @@ The tokeniser is the one step Spark has no expression for; it runs per page insi
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
 from html.parser import HTMLParser
@@ -16,13 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obslake.session import spread
-
 # How a season table announces its season and allowance.
 SEASON_HEADER = (
     r"(?i)Quota\s*Year\s*(\d{4}/\d{2}).*?TAC\s*([\d,]+\.?\d*)\s*tonnes"
 )
 
+# Zero-width space and asterisk carry no meaning in these tables.
+DROPPED = {0x200B: None, ord("*"): None}
+
 ROWS_TYPE = T.ArrayType(T.ArrayType(T.StringType()))
 ROWS_ARROW = pa.list_(pa.list_(pa.string()))
 PAGES_PER_BATCH = 256
@@ -30,8 +30,7 @@ PAGES_PER_BATCH = 256
 
 def clean_cell(text: str) -> str:
     """Normalise, drop zero-width spaces and asterisks, collapse blanks."""
-    plain = unicodedata.normalize("NFKC", text).replace("​", "").replace("*", "")
-    return re.sub(r"\s+", " ", plain).strip()
+    return " ".join(unicodedata.normalize("NFKC", text).translate(DROPPED).split())
 
 
 class _TableReader(HTMLParser):
@@ -137,7 +136,7 @@ def html_tables(pages: DataFrame, key: Sequence[str], html: str) -> DataFrame:
                     [*keys.columns, *found], [*key, "table_no", "rows"]
                 )
 
-    return spread(keyed).mapInArrow(tables, schema)
+    return keyed.mapInArrow(tables, schema)
 
 
 def season_records(tables: DataFrame, key: Sequence[str]) -> DataFrame:
