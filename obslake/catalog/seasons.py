@@ -142,11 +142,11 @@ def q_rolling_by_entity(t: Tables) -> DataFrame:
     """Rolling mean and previous value per customer, over balanced ranges of days."""
     day = F.to_date("o_orderdate").alias("day")
     daily = t.orders.groupBy("o_custkey", day).agg(F.sum(money("o_totalprice")).alias("price"))
-    daily = stored(daily, "daily")
-    edges, by = balanced_edges(daily, "day"), ["o_custkey"]
-    smooth = series.rolling_mean(daily, "day", "price", 3, "rolling", by, edges, block=1000)
-    changed = series.period_change(smooth, "day", "price", by, edges).drop("change")
-    return doubles(changed, "price", "previous")
+    daily, by = stored(daily, "daily"), ["o_custkey"]
+    edges = balanced_edges(daily, "day")
+    changed = stored(series.period_change(daily, "day", "price", by, edges).drop("change"), "changed")
+    smooth = series.rolling_mean(changed, "day", "price", 3, "rolling", by, edges, block=1000)
+    return doubles(smooth, "price", "previous")
 
 
 @query(

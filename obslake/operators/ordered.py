@@ -141,17 +141,33 @@ def row_index(
     edges: Sequence[float],
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
-    """Exact 1-based position within each entity.
+    """Exact 1-based position within each entity."""
+    return running_count(df, by, order, F.lit(True), out, edges, tiebreak)
 
-    A row in front of every (entity, range) holds how many rows come before it.
+
+def running_count(
+    df: DataFrame,
+    by: Sequence[str],
+    order: str,
+    condition: Column,
+    out: str,
+    edges: Sequence[float],
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """How many rows of the entity meet the condition, up to and including each row.
+
+    A row in front of every (entity, range) holds the count of the ranges before it.
     """
     by = list(by)
-    ranged = with_ranges(df, order, edges)
-    offsets = _rows_before(ranged, by, F.count(F.lit(1))).select(*by, RANGE, "_before")
+    hit = F.coalesce(condition, F.lit(False)).cast("int")
+    ranged = with_ranges(df, order, edges).withColumn("_hit", hit)
+    offsets = _rows_before(ranged, by, F.sum("_hit")).select(*by, RANGE, "_before")
     window = _front_row_first(by, [order, *tiebreak])
-    position = F.first("_before").over(window) + F.row_number().over(window) - 1
-    numbered = _with_front_rows(ranged, offsets).withColumn(out, position.cast("bigint"))
-    return numbered.where(~F.col("_front")).drop("_front", "_before", RANGE)
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Both sums start at the row in front: it alone has an offset, and it has no hit.
+    count = F.sum("_before").over(so_far) + F.coalesce(F.sum("_hit").over(so_far), F.lit(0))
+    counted = _with_front_rows(ranged, offsets).withColumn(out, count.cast("bigint"))
+    return counted.where(~F.col("_front")).drop("_front", "_before", "_hit", RANGE)
 
 
 def _with_front_rows(ranged: DataFrame, front: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from obslake.functions.calendar import day_of, epoch_years, month_of, near_edge
 from obslake.functions.numbers import half_even, half_up, mean, percent
-from obslake.operators.ordered import balanced_edges, lag_in_order, row_index
+from obslake.operators.ordered import balanced_edges, lag_in_order, row_index, running_count
 
 
 def exact_mean(value: str) -> Column:
@@ -173,21 +173,20 @@ def consecutive_runs(
 ) -> DataFrame:
     """Runs of consecutive flagged rows, at least ``min_rows`` long.
 
-    Row position minus position among equally flagged rows is constant in a run.
+    The number of unflagged rows before a flagged row is the same all through its run.
     Counts rows: a missing day does not end a run, unless ``calendar_strict``.
     """
+    unflagged = ~F.coalesce(F.col(flag), F.lit(False))
+    in_order = Window.partitionBy(*by).orderBy(order)
     if calendar_strict:
-        held = df.where(F.col(flag))
-        place = F.row_number().over(Window.partitionBy(*by).orderBy(order))
-        grouped = held.withColumn("_run", F.unix_date(order) - place)
+        place = F.row_number().over(in_order)
+        grouped = df.where(F.col(flag)).withColumn("_run", F.unix_date(order) - place)
     elif edges is None:
-        everywhere = F.row_number().over(Window.partitionBy(*by).orderBy(order))
-        alike = F.row_number().over(Window.partitionBy(*by, flag).orderBy(order))
-        grouped = df.withColumn("_run", everywhere - alike).where(F.col(flag))
+        gaps = F.count_if(unflagged).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+        grouped = df.withColumn("_run", gaps).where(F.col(flag))
     else:
-        placed = row_index(df, by, order, "_all", edges)
-        placed = row_index(placed, [*by, flag], order, "_alike", edges)
-        grouped = placed.withColumn("_run", F.col("_all") - F.col("_alike")).where(F.col(flag))
+        placed = running_count(df, by, order, unflagged, "_run", edges)
+        grouped = placed.where(F.col(flag))
     return (
         grouped.groupBy(*by, "_run")
         .agg(
