@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +27,9 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, settings: Mapping[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -35,6 +38,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config(map=dict(settings or {}))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

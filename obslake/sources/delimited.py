@@ -22,12 +22,16 @@ def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, comment: str | None = None
+    spark: SparkSession, path: str | list[str], schema: T.StructType, comment: str | None = None
 ) -> DataFrame:
-    """Typed CSV with a header line. The header must agree with the schema."""
+    """Typed CSV with a header line. The header of every file must agree with the schema.
+
+    Column pruning is off in the parser: a pruned read, a count for one, would only
+    compare the columns it needs and let a wrong header pass.
+    """
     reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-    reader = reader.option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd")
-    reader = reader.option("recursiveFileLookup", True)
+    reader = reader.option("columnPruning", False).option("mode", "FAILFAST")
+    reader = reader.option("dateFormat", "yyyy-MM-dd").option("recursiveFileLookup", True)
     if comment:
         reader = reader.option("comment", comment)
     return reader.csv(path)
@@ -46,7 +50,6 @@ def read_below_preamble(
     """
     schema = text_schema(header)
     if comment:
-        check_header(spark, path, header, comment)
         return read_csv(spark, path, schema, comment)
     lines = _lines(spark, path).mapInArrow(_rows_after(list(header)), "value string")
     return lines.where(F.trim("value") != "").select(_parsed(schema).alias("_row")).select("_row.*")
@@ -58,10 +61,10 @@ def _parsed(schema: T.StructType) -> Column:
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines, with the file's name on those of its first split and NULL on all others."""
+    opening = F.col("_metadata.file_block_start") == 0
     return spark.read.option("recursiveFileLookup", True).text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        (F.col("_metadata.file_block_start") == 0).alias("first_split"),
+        "value", F.when(opening, F.col("_metadata.file_path")).alias("file")
     )
 
 
@@ -76,15 +79,12 @@ def _rows_after(header: list[str]):
         found: dict[str, bool] = {}
         for batch in batches:
             values, files = batch.column("value"), batch.column("file")
-            opening = batch.column("first_split").to_pylist()
-            names = files.to_pylist()
-            pending = {f for f, first in zip(names, opening) if first and not found.get(f)}
-            if not pending:
+            if all(found.get(name) for name in files.unique().drop_null().to_pylist()):
                 yield pa.RecordBatch.from_arrays([values], ["value"])
                 continue
             keep = []
-            for name, first, line in zip(names, opening, values.to_pylist()):
-                below = not first or found.get(name, False)
+            for name, line in zip(files.to_pylist(), values.to_pylist()):
+                below = name is None or found.get(name, False)
                 keep.append(below)
                 if not below:
                     found[name] = _fields(line) == header
@@ -98,32 +98,23 @@ def _rows_after(header: list[str]):
 
 def header_lines(spark: SparkSession, path: str | list[str], comment: str | None = None) -> DataFrame:
     """(file, header): the first line of every file that is not blank or a comment."""
-    return _lines(spark, path).mapInArrow(_first_lines(comment), "file string, header string")
-
-
-def _first_lines(comment: str | None):
-    """Task function: first content line of each file whose opening split is here."""
-
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
-        for batch in batches:
-            found_files, found_lines = [], []
-            for file, first, line in zip(
-                batch.column("file").to_pylist(),
-                batch.column("first_split").to_pylist(),
-                batch.column("value").to_pylist(),
-            ):
-                skip = not line.strip() or (comment is not None and line.startswith(comment))
-                if first and file not in seen and not skip:
-                    seen.add(file)
-                    found_files.append(file)
-                    found_lines.append(line)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found_files, pa.string()), pa.array(found_lines, pa.string())],
-                ["file", "header"],
-            )
-
-    return rows
+    content = F.trim("value") != ""
+    if comment:
+        content = content & ~F.col("value").startswith(comment)
+    opening = _lines(spark, path).where(F.col("file").isNotNull() & content)
+    return opening.mapInArrow(_first_lines, "file string, header string")
+
+
+def _first_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: the first line of each file; a first split is never shared out."""
+    seen: set[str] = set()
+    for batch in batches:
+        files, values = batch.column("file"), batch.column("value")
+        for name in files.unique().to_pylist():
+            if name not in seen:
+                seen.add(name)
+                line = values[files.index(name).as_py()].as_py()
+                yield pa.RecordBatch.from_pydict({"file": [name], "header": [line]})
 
 
 def check_header(

@@ -67,7 +67,11 @@ def test_commented_preamble_and_header_contract(spark, tmp_path):
     assert rows(delimited.read_below_preamble(spark, good, HEADER, "#")) == [("1", "a", "2")]
     bad = text_file(tmp_path, "b.csv", ["# one", "name,FID,value", "a,1,2"])
     with pytest.raises(ValueError, match="does not match"):
-        delimited.read_below_preamble(spark, bad, HEADER, "#")
+        delimited.check_header(spark, str(tmp_path), HEADER, "#")
+    delimited.check_header(spark, good, HEADER, "#")
+    for action in (lambda df: df.count(), lambda df: df.select("FID").collect(), lambda df: df.collect()):
+        with pytest.raises(Exception, match="CSV header"):
+            action(delimited.read_below_preamble(spark, bad, HEADER, "#"))
     found = {r["header"] for r in delimited.header_lines(spark, str(tmp_path), "#").collect()}
     assert found == {"FID,name,value", "name,FID,value"}
 
