@@ -133,7 +133,7 @@ def audited_load(t: Tables) -> DataFrame:
         audit = tables.load_audit(
             source,
             tables.read_table(t.spark, clean),
-            tables.read_table(t.spark, log) if name == "orders" else None,
+            tables.existing_log(t.spark, log),
             pipeline="sql",
             source_file=name,
             started_at=STARTED,

@@ -64,7 +64,7 @@ def typed(df: DataFrame, casts: Mapping[str, tuple[str, str]]) -> DataFrame:
     """
     return df.select(
         *[
-            F.nullif(F.trim(F.col(source)), F.lit("")).cast(kind).alias(name)
+            F.nullif(F.col(source), F.lit("")).cast(kind).alias(name)
             for name, (source, kind) in casts.items()
         ]
     )

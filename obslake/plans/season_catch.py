@@ -13,6 +13,7 @@ from obslake.functions.text import (
 )
 from obslake.operators import keys, quality, series
 from obslake.operators.cleaning import split_rejects
+from obslake.sources import tables
 from obslake.sources.html_tables import html_tables, season_records
 
 PERCENT_TOLERANCE = 0.5
@@ -106,9 +107,9 @@ def star_schema(clean: DataFrame, totals: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def constraints(tables: dict[str, DataFrame]) -> DataFrame:
+def constraints(star: dict[str, DataFrame]) -> DataFrame:
     """Violations of the star schema's rules; all zero before loading."""
-    dim, fact, totals = tables["dim_season"], tables["fact_catch"], tables["qa_totals"]
+    dim, fact, totals = star["dim_season"], star["fact_catch"], star["qa_totals"]
     report = quality.constraint_report(
         fact,
         {
@@ -125,6 +126,15 @@ def constraints(tables: dict[str, DataFrame]) -> DataFrame:
     return report.unionByName(allowance).unionByName(one_allowance).unionByName(one_total)
 
 
+def load(star: dict[str, DataFrame], folder: str) -> dict[str, str]:
+    """Rebuild the three tables, unless a rule is broken; returns name -> path."""
+    quality.enforce(star["fact_catch"], constraints(star))
+    paths = {name: f"{folder}/{name}" for name in star}
+    for name, table in star.items():
+        tables.replace_table(table, paths[name])
+    return paths
+
+
 def season_progress(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Season-to-date catch and the share of the allowance it takes."""
     progress = series.running_progress(

@@ -12,6 +12,8 @@ from obslake.functions.numbers import half_up
 from obslake.operators import keys, quality, series
 from obslake.operators.cleaning import plausible, typed
 from obslake.schemas import SENSOR_TYPES
+from obslake.session import stored
+from obslake.sources import tables
 from obslake.sources.delimited import require_columns
 
 BOUNDS = {"temp_c": (0.0, 30.0), "psal": (0.0, 40.0)}
@@ -68,6 +70,38 @@ def readings(clean: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
+def load(
+    staged: DataFrame, folder: str, source_file: str, started_at: datetime, finished_at: datetime
+) -> dict[str, str]:
+    """Clean and model a staged export, add what is new, and leave an audit row.
+
+    Deployments and readings already on record stay as they are, so a second run with
+    the same export adds only to the audit. Returns name -> path.
+    """
+    spark = staged.sparkSession
+    paths = {name: f"{folder}/{name}" for name in ("deployments", "readings", "load_log")}
+    clean = stored(clean_readings(staged), "clean-readings")
+    new = keys.derive_dimension(clean, DEPLOYMENT, "timestamp", "deployment_start", "deployment_end")
+    id_first = new.select(F.lit(0).cast("bigint").alias("deployment_id"), "*")
+    known = tables.existing_rows(id_first, paths["deployments"])
+    if known is None:
+        added = keys.number_rows(new, DEPLOYMENT, "deployment_id")
+    else:
+        added = keys.number_rows(keys.absent_rows(new, known, DEPLOYMENT), DEPLOYMENT, "deployment_id")
+        highest = F.coalesce(known.agg(F.max("deployment_id")).scalar(), F.lit(0))
+        added = added.withColumn("deployment_id", F.col("deployment_id") + highest)
+    tables.append_table(added, paths["deployments"])
+    dim = tables.read_table(spark, paths["deployments"])
+    fact = keys.require_resolved(readings(clean, dim), "deployment_id")
+    tables.insert_if_absent(fact, paths["readings"], ["deployment_id", "timestamp"])
+    audit = tables.load_audit(
+        staged, clean, tables.existing_log(spark, paths["load_log"]), pipeline="sql",
+        source_file=source_file, started_at=started_at, finished_at=finished_at, notes="full run",
+    )
+    tables.append_table(audit, paths["load_log"])
+    return paths
+
+
 def constraints(fact: DataFrame, dim: DataFrame) -> DataFrame:
     report = quality.constraint_report(
         fact,
@@ -145,13 +179,19 @@ def flag_counts(flags: DataFrame) -> DataFrame:
 def gate(fact: DataFrame, dim: DataFrame, audit: DataFrame, as_of: datetime) -> DataFrame:
     """The two-tier quality gate over the reading fact.
 
-    Bad rates are counted per deployment id, which stands for code and depth.
+    Bad rates are counted per deployment id and reported by code and depth.
     """
-    return quality.quality_gate(
+    checked = quality.quality_gate(
         fact, dim, audit, key=["deployment_id", "timestamp"], dim_key=["deployment_id"],
         required={}, optional=BOUNDS, moment="timestamp", as_of=as_of,
         bad=F.col("temp_qc").isin(*BAD_QC), bad_by=["deployment_id"],
     )
+    names = dim.select(
+        F.col("deployment_id").cast("string").alias("subject"),
+        F.concat_ws(" @ ", "deployment_code", "nominal_depth_m").alias("_name"),
+    )
+    named = checked.join(names, "subject", "left")
+    return named.withColumn("subject", F.coalesce("_name", "subject")).drop("_name")
 
 
 def year_temperatures(daily: DataFrame, depth: float) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from obslake.functions.numbers import ordered_tier
 from obslake.functions.text import blank_to_null, display_label
-from obslake.operators import panel, stats
+from obslake.operators import panel, quality, stats
 from obslake.operators.cleaning import structurally_sound, with_required
 from obslake.schemas import SURVEY_KEPT, SURVEY_KEPT_BY_KIND, SURVEY_TYPES
+from obslake.sources import tables
 
 REQUIRED_KEYS = ["site_code", "survey_id", "survey_date", "species_name"]
 TIERS = ["none", "low", "medium", "high"]
@@ -19,10 +20,9 @@ TIER_TOPS = [0, 3, 9]
 
 
 def typed_rows(raw: DataFrame) -> DataFrame:
-    """Typed survey rows; blank times of day become NULL, rows without keys go."""
-    casts = {c: F.col(c).cast(SURVEY_TYPES[c]) for c in raw.columns if c in SURVEY_TYPES}
-    if "hour" in raw.columns:
-        casts["hour"] = blank_to_null(F.col("hour"))
+    """Typed survey rows; blanks, also of the time of day, become NULL, rows without keys go."""
+    kinds = SURVEY_TYPES | {"hour": "string"}
+    casts = {c: blank_to_null(F.col(c)).cast(kinds[c]) for c in raw.columns if c in kinds}
     return with_required(raw.withColumns(casts), REQUIRED_KEYS)
 
 
@@ -33,6 +33,22 @@ def clean_rows(rows: DataFrame, kind: str, area: str) -> DataFrame:
     return rows.where(sound).select(*SURVEY_KEPT, *SURVEY_KEPT_BY_KIND[kind])
 
 
+def constraints(clean: DataFrame, raw: DataFrame, kind: str) -> DataFrame:
+    """Violations of the clean table's rules; all zero before loading."""
+    present = ["survey_id", "site_code", "latitude", "longitude", "survey_date", "species_name", "total"]
+    checks = {f"{c} present": F.col(c).isNotNull() for c in present}
+    measures = [c for c in ("total", "biomass") if c in SURVEY_KEPT_BY_KIND[kind]]
+    checks |= {f"{c} not negative": F.col(c) >= 0 for c in measures}
+    return quality.constraint_report(
+        clean, checks, unique={"one row per fid": ["fid"]}, references={"fid known": (raw, ["fid"])}
+    )
+
+
+def load(raw: DataFrame, kind: str, area: str, path: str) -> None:
+    """Add the clean rows the table does not hold yet. Running it again adds nothing."""
+    tables.insert_if_absent(clean_rows(raw, kind, area), path, ["fid"])
+
+
 def _year() -> Column:
     return F.year("survey_date")
 

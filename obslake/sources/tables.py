@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obslake.operators.keys import absent_rows, keep_first
 
@@ -25,10 +26,27 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+# The columns of the load log.
+LOG_SCHEMA = (
+    "load_id bigint, pipeline string, source_file string, rows_source bigint, "
+    "rows_loaded bigint, started_at timestamp, finished_at timestamp, notes string, "
+    "rows_rejected bigint"
+)
+
+
 def existing_rows(df: DataFrame, path: str) -> DataFrame | None:
     """The table at ``path`` read with the schema of ``df``, None if there is none."""
+    return _existing(df.sparkSession, df.schema, path)
+
+
+def existing_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """The load log at ``path``, None before the first load."""
+    return _existing(spark, LOG_SCHEMA, path)
+
+
+def _existing(spark: SparkSession, schema: T.StructType | str, path: str) -> DataFrame | None:
     try:
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

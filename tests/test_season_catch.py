@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from obslake.operators import quality
 from obslake.plans import season_catch as plan
+from obslake.session import new_path
+from obslake.sources import tables
 from obslake.sources.html_tables import page_tables
 from tests.conftest import rows
 
@@ -16,7 +18,7 @@ ZW = "​"
 WIDE = ["Total tonnes seasonal quota caught", "Total uncaught (tonnes)", f"{ZW}% taken"]
 
 
-def table(header: list[str], *body: list[str]) -> str:
+def html_table(header: list[str], *body: list[str]) -> str:
     def tr(cells, tag):
         return "<tr>" + "".join(f"<{tag}>{c}</{tag}>" for c in cells) + "</tr>\n"
 
@@ -25,26 +27,26 @@ def table(header: list[str], *body: list[str]) -> str:
 
 PAGE = (
     "<html><body><!-- <table> in a comment -->"
-    + table(
+    + html_table(
         [f"Quota year 2026/27 TAC 1050.70 tonnes{ZW}", *WIDE],
         [f"{ZW}March 2026", "81.7", "969.0", "7.8"],
         [f"{ZW}April 2026", "158.6", "810.4", "15.1"],
         [f"{ZW}August 2026", "", "", ""],
         [f"{ZW}TOTAL", "<b>355.9</b>", "<b>694.8</b>", "<b>33.9</b>"],
     )
-    + table(
+    + html_table(
         ["Quota year 2022/23 TAC 1050.70 tonnes", *WIDE],
         [f"{ZW}September 2022", "41.58", "470.05", "3.96"],
         [f"{ZW}{ZW}November 2022", "76.49", "393..07", "7.27"],
         [f"{ZW}TOTAL", "<b>1031.06</b>", "<b>19.64</b>", "<b>98.13</b>"],
     )
-    + table(
+    + html_table(
         [f"{ZW}**Quota year 2013/14 TAC 1103.24 tonnes**", "**Total (kg) caught & kept**", "**Uncaught**", "**%**"],
         ["March 2013", f"{ZW}{ZW}80,052.70", "1,023,187.30", "7.26"],
         ["February 2014", "172,262.60", "3,912.90", "15.61"],
         ["**TOTAL**", "<b>1,099,327.10</b>", "", "<b>99.65</b>"],
     )
-    + table(
+    + html_table(
         [f"{ZW}**Quota Year 2007/08**{ZW} TAC 1523.5 t{ZW}onnes", "**Landed** (tonnes)", "**% taken**"],
         ["March 2007", "165.6", "10.87"],
         ["February 2008", "144.6", "9.49"],
@@ -137,6 +139,19 @@ def test_star_schema(star):
         quality.enforce(star["fact_catch"], broken)
 
 
+def test_load(spark, star):
+    folder = new_path(spark, "catch")
+    for _ in range(2):
+        paths = plan.load(star, folder)
+    back = {name: tables.read_table(spark, path) for name, path in paths.items()}
+    assert {name: df.count() for name, df in back.items()} == {"dim_season": 4, "fact_catch": 9, "qa_totals": 4}
+    exported = tables.export_queries(plan.export_tables(back["fact_catch"], back["dim_season"]), folder)
+    assert spark.read.option("header", True).csv(exported["season_progress"]).count() == 8
+    broken = dict(star, fact_catch=star["fact_catch"].union(star["fact_catch"]))
+    with pytest.raises(ValueError, match="one row per season and month"):
+        plan.load(broken, folder)
+
+
 def test_views(star):
     fact, dim = star["fact_catch"], star["dim_season"]
     progress = plan.season_progress(fact, dim).where("quota_year = '2026/27'")

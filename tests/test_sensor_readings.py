@@ -174,10 +174,24 @@ def test_gate(spark, fact, dim):
     assert broken["age_days"] > 14 and broken["rejected_pct"] == 50
     noisy = fact.withColumn("temp_qc", F.when(F.col("deployment_id") == 1, 4).otherwise(F.col("temp_qc")).cast("smallint"))
     warned = plan.gate(noisy, dim, audit(spark, 100, 100), as_of).where("check = 'bad_pct'")
-    assert rows(warned.select("tier", "subject", "observed", "ok")) == [("WARN", "1", 100.0, False)]
+    assert rows(warned.select("tier", "subject", "observed", "ok")) == [("WARN", "D1 @ 20.0", 100.0, False)]
 
 
 def test_gate_without_loads_on_record(spark, fact, dim):
     gate = plan.gate(fact, dim, audit(spark, 1, 1).where("false"), dt.datetime(2021, 3, 20))
     assert rows(gate.where("not ok").select("check", "tier")) == [("rejected_pct", "WARN")]
     assert quality.gate_passed(gate)
+
+
+def test_load_twice_and_with_a_new_deployment(spark, staged, clean):
+    folder, now = new_path(spark, "warehouse"), dt.datetime(2024, 1, 1)
+    first = staged.where("deployment_code = 'D1'")
+    for export in (first, first, staged):
+        paths = plan.load(export, folder, "export.csv", now, now)
+    dim, fact, log = (tables.read_table(spark, p) for p in paths.values())
+    assert fact.count() == clean.count()
+    assert plan.constraints(fact, dim).where("violations > 0").isEmpty()
+    assert rows(dim.select("deployment_id", "deployment_code")) == [(1, "D1"), (2, "D1"), (3, "D2"), (4, "D2")]
+    assert [r["load_id"] for r in log.orderBy("load_id").collect()] == [1, 2, 3]
+    last = log.where("load_id = 3").first()
+    assert (last["rows_source"], last["rows_loaded"], last["rows_rejected"]) == (staged.count(), clean.count(), 3)

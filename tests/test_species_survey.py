@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from obslake.operators import panel, stats
 from obslake.plans import species_survey as plan
 from obslake.schemas import SURVEY_HEADERS
+from obslake.session import new_path
+from obslake.sources import tables
 from obslake.sources.delimited import text_schema
 from tests.conftest import rows
 
@@ -106,6 +108,18 @@ def test_cleaning(spark):
     assert "quadrat" in clean(spark, "benthic", [dict()]).columns
 
 
+def test_loading_twice_adds_nothing(spark):
+    raw = plan.typed_rows(frame(spark, "fish", [dict(), dict(total=3), dict(area="Away")]))
+    path = new_path(spark, "fish")
+    for part in (raw.limit(1), raw, raw.union(raw)):
+        plan.load(part, "fish", "Home", path)
+    loaded = tables.read_table(spark, path)
+    assert loaded.count() == 2
+    assert plan.constraints(loaded, raw, "fish").where("violations > 0").isEmpty()
+    stray = plan.constraints(loaded.withColumn("fid", F.lit("x")), raw, "fish").where("violations > 0")
+    assert rows(stray) == [("fid known", 2), ("one row per fid", 1)]
+
+
 def test_first_detection(animals):
     # The least latitude and longitude come from different sightings.
     assert rows(plan.first_detection(animals, SPIKY)) == [
