@@ -46,9 +46,8 @@ def number_rows(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, "numbered")
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.repartitionByRange(spread, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
@@ -63,7 +62,7 @@ def number_rows(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
         .select("_part", "_offset")
     )
     position = (F.col("_offset") + F.col("_at") + 1).cast("bigint")
-    # One row per part: as many as there are shuffle partitions, however large the data.
+    # One row per part: no more than there are shuffle partitions, however large the data.
     return written.join(F.broadcast(offsets), "_part").select(position.alias(out), *df.columns)
 
 
