@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from obslake.catalog.registry import Tables, amount, doubles, money, query, r, rounded
 from obslake.functions.numbers import half_up
 from obslake.operators import series
-from obslake.operators.ordered import balanced_edges
+from obslake.operators.ordered import balanced_ranges
 from obslake.session import stored
 
 MONTHS_SQL = f"""
@@ -143,9 +143,9 @@ def q_rolling_by_entity(t: Tables) -> DataFrame:
     day = F.to_date("o_orderdate").alias("day")
     daily = t.orders.groupBy("o_custkey", day).agg(F.sum(money("o_totalprice")).alias("price"))
     daily, by = stored(daily, "daily"), ["o_custkey"]
-    edges = balanced_edges(daily, "day")
-    changed = stored(series.period_change(daily, "day", "price", by, edges).drop("change"), "changed")
-    smooth = series.rolling_mean(changed, "day", "price", 3, "rolling", by, edges, block=1000)
+    ranges = balanced_ranges(daily, "day")
+    changed = stored(series.period_change(daily, "day", "price", by, ranges).drop("change"), "changed")
+    smooth = series.rolling_mean(changed, "day", "price", 3, "rolling", by, ranges, block=1000)
     return doubles(smooth, "price", "previous")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from obslake.catalog.registry import Tables, amount, money, query, r, rounded
 from obslake.functions.numbers import half_up, sign_class
 from obslake.operators import keys, quality, series
-from obslake.operators.ordered import balanced_edges
+from obslake.operators.ordered import Ranges, balanced_ranges
 from obslake.session import stored
 
 GOOD_TYPES = ["view", "click", "purchase", "signup"]
@@ -127,9 +127,9 @@ runs AS (
 )"""
 
 
-def warm_runs(days: DataFrame, edges: list[float] | None = None) -> DataFrame:
+def warm_runs(days: DataFrame, ranges: Ranges | None = None) -> DataFrame:
     measures = {"avg_price": half_up(F.avg("price"), 2)}
-    return series.consecutive_runs(days, "day", "is_warm", measures, 3, ["l_returnflag"], edges)
+    return series.consecutive_runs(days, "day", "is_warm", measures, 3, ["l_returnflag"], ranges)
 
 
 @query(f"WITH {RUNS_SQL} SELECT * FROM runs")
@@ -143,7 +143,7 @@ def q_latest_spells(t: Tables) -> DataFrame:
     """The ten most recent warm runs, found over balanced ranges of days."""
     days = stored(judged_days(t), "judged-days")
     order = [F.col("run_start").desc_nulls_first(), "l_returnflag"]
-    return warm_runs(days, balanced_edges(days, "day")).orderBy(*order).limit(10)
+    return warm_runs(days, balanced_ranges(days, "day")).orderBy(*order).limit(10)
 
 
 @query(

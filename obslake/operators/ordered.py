@@ -9,8 +9,10 @@ group; what a range needs from the ranges before it travels as a few summary row
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
@@ -25,6 +27,28 @@ CELLS_PER_PART = 8
 REFINEMENTS = 3
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """Edges of the ranges of an ordering column.
+
+    ``crowded`` lists ranges made up of one moment that alone overfills a range; their
+    rows are cut once more, by the edges of the column that breaks ties.
+    """
+
+    edges: tuple[float, ...] = ()
+    crowded: tuple[int, ...] = ()
+    tie: str | None = None
+    tie_edges: tuple[float, ...] = ()
+
+
+class _Cell(NamedTuple):
+    """A stretch of the ordering column: how many rows, and where the first and last lie."""
+
+    rows: int
+    low: float
+    high: float
+
+
 def order_key(df: DataFrame, column: str) -> Column:
     """The ordering column as a double (microseconds for timestamps, days for dates)."""
     kind = df.schema[column].dataType
@@ -35,69 +59,90 @@ def order_key(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def _in_ranges(df: DataFrame, key: str, edges: Sequence[float], out: str) -> DataFrame:
-    splits = [float("-inf"), *edges, float("inf")]
-    cut = Bucketizer(splits=splits, inputCol=key, outputCol=out, handleInvalid="keep")
-    return cut.transform(df)
+def _can_order(df: DataFrame, column: str) -> bool:
+    kinds = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
+    return isinstance(df.schema[column].dataType, kinds)
 
 
-def balanced_edges(df: DataFrame, column: str, parts: int | None = None) -> list[float]:
-    """Edges that cut ``column`` into about ``parts`` equally full ranges.
+def balanced_ranges(
+    df: DataFrame, order: str, parts: int | None = None, tie: str | None = None
+) -> Ranges:
+    """Ranges that cut ``order`` into about ``parts`` equally full stretches.
 
     Counts rows per cell of an even grid and refines only the overfull cells. The
     driver receives cell counts, never rows: at most a fixed multiple of ``parts``.
     Which edges come out affects balance only; any edges give the same results.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.select(order_key(df, column).alias("_key"))
-    low, high, rows = keyed.agg(F.min("_key"), F.max("_key"), F.count("_key")).first()
-    if not rows or low == high or parts < 2:
-        return []
-    target = rows / parts
-    edges = np.linspace(low, high, parts * CELLS_PER_PART + 1)[1:-1].tolist()
+    keyed = df.select(order_key(df, order).alias("_key")).dropna()
+    whole = _Cell(*keyed.agg(F.count("_key"), F.min("_key"), F.max("_key")).first())
+    if not whole.rows or parts < 2:
+        return Ranges()
+    target = whole.rows / parts
+    edges, cells = [], [whole]
     for _ in range(REFINEMENTS):
-        counts = _cell_counts(keyed, edges)
-        finer = []
-        bounds = [low, *edges, high]
-        for cell, (left, right) in enumerate(zip(bounds, bounds[1:])):
-            finer.append(right)
-            fill = counts.get(cell, 0)
-            if fill > target and left < right:
-                pieces = int(np.ceil(fill / target)) * CELLS_PER_PART
-                finer.extend(np.linspace(left, right, pieces + 1)[1:-1].tolist())
-        finer = sorted({e for e in finer if low < e < high})
+        finer = sorted({*edges, *(e for c in cells for e in _cuts_within(c, target))})
         if finer == edges:
             break
-        edges = finer
-    else:
-        counts = _cell_counts(keyed, edges)
-    return _merge_light_cells(edges, counts, target)
+        edges, cells = finer, _cells(keyed, finer)
+    kept, crowded = _merge_light_cells(cells, target)
+    if not (crowded and tie and _can_order(df, tie)):
+        return Ranges(tuple(kept))
+    at_crowded = with_ranges(df, order, Ranges(tuple(kept))).where(F.col(RANGE).isin(crowded))
+    within = balanced_ranges(at_crowded, tie, parts)
+    return Ranges(tuple(kept), tuple(crowded), tie, within.edges)
+
+
+def _cuts_within(cell: _Cell, target: float) -> list[float]:
+    """Cuts through an overfull cell, and around it; one moment cannot be cut."""
+    if cell.rows <= target:
+        return []
+    pieces = int(np.ceil(cell.rows / target)) * CELLS_PER_PART
+    after = float(np.nextafter(cell.high, np.inf))
+    return [float(e) for e in np.linspace(cell.low, cell.high, pieces + 1)] + [after]
 
 
-def _cell_counts(keyed: DataFrame, edges: Sequence[float]) -> dict[int, int]:
-    cells = _in_ranges(keyed.dropna(), "_key", edges, "_cell").groupBy("_cell").count()
-    return {int(row["_cell"]): row["count"] for row in cells.collect()}
+def _cells(keyed: DataFrame, edges: Sequence[float]) -> list[_Cell]:
+    """The cells between the edges that hold rows, in order."""
+    counted = _in_ranges(keyed, "_key", edges, "_cell").groupBy("_cell").agg(
+        F.count("_key"), F.min("_key"), F.max("_key")
+    )
+    return [_Cell(*found[1:]) for found in sorted(counted.collect())]
 
 
-def _merge_light_cells(edges: Sequence[float], counts: dict[int, int], target: float) -> list[float]:
-    kept, filled = [], 0
-    for cell, right in enumerate(edges):
-        filled += counts.get(cell, 0)
-        if filled + counts.get(cell + 1, 0) > target and filled:
-            kept.append(right)
+def _merge_light_cells(cells: Sequence[_Cell], target: float) -> tuple[list[float], list[int]]:
+    """Edges of ranges made of neighbouring cells, and the ranges one moment overfills."""
+    edges, crowded, filled = [], [], 0
+    for i, cell in enumerate(cells):
+        if filled and filled + cell.rows > target:
+            edges.append(cell.low)
             filled = 0
-    return kept
+        filled += cell.rows
+        if cell.rows > target and cell.low == cell.high:
+            crowded.append(len(edges))
+    return edges, crowded
 
 
-def with_ranges(df: DataFrame, order: str, edges: Sequence[float]) -> DataFrame:
-    """Add ``_range``, a number that grows with ``order``; NULL orders get range -1."""
-    keyed = df.withColumn("_key", order_key(df, order))
+def _in_ranges(df: DataFrame, key: str, edges: Sequence[float], out: str) -> DataFrame:
     if not edges:
-        ranged = keyed.withColumn(RANGE, F.lit(0.0))
-    else:
-        ranged = _in_ranges(keyed, "_key", edges, RANGE)
-    number = F.when(F.col("_key").isNull(), -1).otherwise(F.col(RANGE)).cast("int")
-    return ranged.withColumn(RANGE, number).drop("_key")
+        return df.withColumn(out, F.lit(0.0))
+    splits = [float("-inf"), *edges, float("inf")]
+    cut = Bucketizer(splits=splits, inputCol=key, outputCol=out, handleInvalid="keep")
+    return cut.transform(df)
+
+
+def with_ranges(df: DataFrame, order: str, ranges: Ranges) -> DataFrame:
+    """Add ``_range``, a number that grows with the order; NULL orders get range -1."""
+    keyed = _in_ranges(df.withColumn("_key", order_key(df, order)), "_key", ranges.edges, RANGE)
+    number, extra = F.col(RANGE), ["_key"]
+    if ranges.tie and ranges.crowded:
+        keyed = keyed.withColumn("_tie", order_key(df, ranges.tie))
+        keyed = _in_ranges(keyed, "_tie", ranges.tie_edges, "_tie_range")
+        at_tie = F.when(F.col(RANGE).isin(list(ranges.crowded)), F.col("_tie_range"))
+        number = number * (len(ranges.tie_edges) + 1) + F.coalesce(at_tie, F.lit(0))
+        extra += ["_tie", "_tie_range"]
+    placed = F.when(F.col("_key").isNull(), -1).otherwise(number).cast("int")
+    return keyed.withColumn(RANGE, placed).drop(*extra)
 
 
 def lag_in_order(
@@ -106,7 +151,7 @@ def lag_in_order(
     order: str,
     value: str,
     out: str,
-    edges: Sequence[float],
+    ranges: Ranges,
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Previous row's value within each entity, ordered by time.
@@ -115,7 +160,7 @@ def lag_in_order(
     range; the window then never looks beyond its own range. One shuffle of the rows.
     """
     by, order_by = list(by), [order, *tiebreak]
-    ranged = with_ranges(df, order, edges)
+    ranged = with_ranges(df, order, ranges)
     if tiebreak:
         last = F.max_by(F.struct(value, *order_by), F.struct(*order_by))
     else:  # plain columns keep this a hash aggregate
@@ -138,11 +183,11 @@ def row_index(
     by: Sequence[str],
     order: str,
     out: str,
-    edges: Sequence[float],
+    ranges: Ranges,
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Exact 1-based position within each entity."""
-    return running_count(df, by, order, F.lit(True), out, edges, tiebreak)
+    return running_count(df, by, order, F.lit(True), out, ranges, tiebreak)
 
 
 def running_count(
@@ -151,7 +196,7 @@ def running_count(
     order: str,
     condition: Column,
     out: str,
-    edges: Sequence[float],
+    ranges: Ranges,
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """How many rows of the entity meet the condition, up to and including each row.
@@ -160,7 +205,7 @@ def running_count(
     """
     by = list(by)
     hit = F.coalesce(condition, F.lit(False)).cast("int")
-    ranged = with_ranges(df, order, edges).withColumn("_hit", hit)
+    ranged = with_ranges(df, order, ranges).withColumn("_hit", hit)
     offsets = _rows_before(ranged, by, F.sum("_hit")).select(*by, RANGE, "_before")
     window = _front_row_first(by, [order, *tiebreak])
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -221,7 +266,7 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     counts = stored(counts, "value-counts")
-    ranged = with_ranges(counts, value, balanced_edges(counts, value, parts))
+    ranged = with_ranges(counts, value, balanced_ranges(counts, value, parts))
     before = _rows_before(ranged, by, F.sum("_n"))
     wanted = before.withColumn(
         "_ranks", F.array(*[rank for p in probabilities.values() for rank in _rank_pair(p)])

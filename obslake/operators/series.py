@@ -1,8 +1,8 @@
 """Time-series operators: progress, change, rolling means, climatology, runs, trends.
 
-Functions with an ``edges`` argument use plain windows when it is None, which suits
+Functions with a ``ranges`` argument use plain windows when it is None, which suits
 calendar-grained input (months, days: a bounded number of rows per series). For raw
-rows pass the ``balanced_edges`` of the ordering column; the work then runs range by
+rows pass the ``balanced_ranges`` of the ordering column; the work then runs range by
 range, with the same results.
 """
 
@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from obslake.functions.calendar import day_of, epoch_years, month_of, near_edge
 from obslake.functions.numbers import half_even, half_up, mean, percent
-from obslake.operators.ordered import balanced_edges, lag_in_order, row_index, running_count
+from obslake.operators.ordered import (
+    Ranges, balanced_ranges, lag_in_order, row_index, running_count,
+)
 
 
 def exact_mean(value: str) -> Column:
@@ -77,41 +79,41 @@ def months_into_season(months: DataFrame, season: str, month: str) -> DataFrame:
 
 def period_change(
     df: DataFrame, order: str, value: str, by: Sequence[str] = (),
-    edges: Sequence[float] | None = None,
+    ranges: Ranges | None = None,
 ) -> DataFrame:
     """Previous reported row's value and the change from it.
 
     "Previous" is the previous row that has a value, whatever the calendar gap.
     """
     reported = df.where(F.col(value).isNotNull())
-    if edges is None:
+    if ranges is None:
         previous = F.lag(value).over(Window.partitionBy(*by).orderBy(order))
         lagged = reported.withColumn("previous", previous)
     else:
-        lagged = lag_in_order(reported, by, order, value, "previous", edges)
+        lagged = lag_in_order(reported, by, order, value, "previous", ranges)
     return lagged.withColumn("change", half_up(F.col(value) - F.col("previous"), 2))
 
 
 def rolling_mean(
     df: DataFrame, order: str, value: str, rows: int, out: str, by: Sequence[str] = (),
-    edges: Sequence[float] | None = None, block: int = 100_000, calendar_strict: bool = False,
+    ranges: Ranges | None = None, block: int = 100_000, calendar_strict: bool = False,
 ) -> DataFrame:
     """Mean of the last ``rows`` rows, fewer at the start of a series.
 
     Counts rows: a missing month does not shorten the window. ``calendar_strict``
-    averages the last ``rows`` calendar months instead. With ``edges`` rows are
+    averages the last ``rows`` calendar months instead. With ``ranges`` rows are
     numbered exactly, cut into blocks, and each block borrows the rows before it.
     """
     if calendar_strict:
         months = F.year(order) * 12 + F.month(order)
         window = Window.partitionBy(*by).orderBy(months).rangeBetween(1 - rows, 0)
         return df.withColumn(out, half_up(F.avg(value).over(window), 2))
-    if edges is None:
+    if ranges is None:
         window = Window.partitionBy(*by).orderBy(order).rowsBetween(1 - rows, 0)
         return df.withColumn(out, half_up(F.avg(value).over(window), 2))
     if block < rows:
         raise ValueError("a block must hold at least one whole window")
-    numbered = row_index(df, by, order, "_index", edges)
+    numbered = row_index(df, by, order, "_index", ranges)
     home = F.floor((F.col("_index") - 1) / block)
     late = (F.col("_index") - 1) % block > block - rows
     placed = numbered.withColumn("_home", home).withColumn(
@@ -168,7 +170,7 @@ def consecutive_runs(
     measures: dict[str, Column],
     min_rows: int,
     by: Sequence[str] = (),
-    edges: Sequence[float] | None = None,
+    ranges: Ranges | None = None,
     calendar_strict: bool = False,
 ) -> DataFrame:
     """Runs of consecutive flagged rows, at least ``min_rows`` long.
@@ -181,11 +183,11 @@ def consecutive_runs(
     if calendar_strict:
         place = F.row_number().over(in_order)
         grouped = df.where(F.col(flag)).withColumn("_run", F.unix_date(order) - place)
-    elif edges is None:
+    elif ranges is None:
         gaps = F.count_if(unflagged).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
         grouped = df.withColumn("_run", gaps).where(F.col(flag))
     else:
-        placed = running_count(df, by, order, unflagged, "_run", edges)
+        placed = running_count(df, by, order, unflagged, "_run", ranges)
         grouped = placed.where(F.col(flag))
     return (
         grouped.groupBy(*by, "_run")
@@ -216,7 +218,7 @@ def reading_flags(
     margin: str = "6 hours",
     good: Column | None = None,
     tiebreak: Sequence[str] = (),
-    edges: Sequence[float] | None = None,
+    ranges: Ranges | None = None,
 ) -> DataFrame:
     """Step from the previous good reading, spike flag and deployment-edge flag.
 
@@ -225,8 +227,9 @@ def reading_flags(
     may hold any share of the readings.
     """
     kept = readings if good is None else readings.where(good)
-    edges = balanced_edges(kept, moment) if edges is None else edges
-    stepped = lag_in_order(kept, key, moment, value, "_previous", edges, tiebreak)
+    if ranges is None:
+        ranges = balanced_ranges(kept, moment, tie=next(iter(tiebreak), None))
+    stepped = lag_in_order(kept, key, moment, value, "_previous", ranges, tiebreak)
     return (
         stepped.withColumn("delta", F.col(value) - F.col("_previous"))
         .withColumn("flag_spike", F.abs("delta") > jump)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from obslake.functions.numbers import half_up
 from obslake.operators import keys, quality, series
 from obslake.operators.cleaning import plausible, typed
+from obslake.operators.ordered import Ranges
 from obslake.schemas import SENSOR_TYPES
 from obslake.session import stored
 from obslake.sources import tables
@@ -125,13 +126,13 @@ def constraints(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 def reading_flags(
     fact: DataFrame, dim: DataFrame, jump: float = 3, margin: str = "6 hours",
-    edges: Sequence[float] | None = None,
+    ranges: Ranges | None = None,
 ) -> DataFrame:
     """Good readings with their step, spike flag and deployment-edge flag."""
     return series.reading_flags(
         fact, dim, key=["deployment_id"], moment="timestamp", value="temp_c",
         start="deployment_start", end="deployment_end", jump=jump, margin=margin,
-        good=F.col("temp_qc").isin(*GOOD_QC), edges=edges,
+        good=F.col("temp_qc").isin(*GOOD_QC), ranges=ranges,
     ).withColumnRenamed("delta", "delta_c")
 
 

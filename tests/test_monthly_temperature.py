@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from obslake.operators import series
+from obslake.operators.ordered import Ranges
 from obslake.plans import monthly_temperature as plan
 from tests.conftest import rows, same
 
@@ -109,17 +110,19 @@ def test_a_gap_ends_a_run_only_by_calendar(spark):
     assert rows(strict.select("n_rows")) == [(2,), (3,)]
 
 
-@pytest.mark.parametrize("edges", [[], [0.0, 5.0], [10957.0]])
+@pytest.mark.parametrize("edges", [(), (0.0, 5.0), (10957.0,)])
 def test_ranges_change_nothing(fact, edges):
-    def runs(e):
+    ranges = Ranges(edges)
+
+    def runs(r):
         measures = {"peak": F.max("temp_c")}
-        return series.consecutive_runs(fact, "month_date", "is_warm_month", measures, 2, edges=e)
+        return series.consecutive_runs(fact, "month_date", "is_warm_month", measures, 2, ranges=r)
 
-    assert same(runs(edges), runs(None))
+    assert same(runs(ranges), runs(None))
     kept = fact.select("month_date", "temp_c")
-    rolled = [series.rolling_mean(kept, "month_date", "temp_c", 12, "r", edges=e, block=40) for e in (edges, None)]
+    rolled = [series.rolling_mean(kept, "month_date", "temp_c", 12, "r", ranges=r, block=40) for r in (ranges, None)]
     assert same(*rolled)
-    changed = [series.period_change(kept, "month_date", "temp_c", edges=e) for e in (edges, None)]
+    changed = [series.period_change(kept, "month_date", "temp_c", ranges=r) for r in (ranges, None)]
     assert same(*changed)
     with pytest.raises(ValueError):
-        series.rolling_mean(kept, "month_date", "temp_c", 12, "r", edges=edges, block=5)
+        series.rolling_mean(kept, "month_date", "temp_c", 12, "r", ranges=ranges, block=5)

@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 from obslake.operators import ordered
 from tests.conftest import same
 
-EDGES = [[], [500.0], [0.0, 100.0, 101.0, 5000.0]]
+RANGES = [
+    ordered.Ranges(),
+    ordered.Ranges((500.0,)),
+    ordered.Ranges((0.0, 100.0, 101.0, 5000.0)),
+]
 
 
 @pytest.fixture(scope="module")
@@ -23,38 +27,58 @@ def skewed(spark):
     )
 
 
-@pytest.mark.parametrize("edges", EDGES)
-def test_lag(skewed, edges):
+@pytest.mark.parametrize("ranges", RANGES)
+def test_lag(skewed, ranges):
     window = Window.partitionBy("entity").orderBy("at", "id")
     expected = skewed.withColumn("before", F.lag("v").over(window))
-    got = ordered.lag_in_order(skewed, ["entity"], "at", "v", "before", edges, ["id"])
+    got = ordered.lag_in_order(skewed, ["entity"], "at", "v", "before", ranges, ["id"])
     assert same(got, expected)
 
 
 def test_lag_without_tiebreak_and_entity(skewed):
     window = Window.orderBy("at")
     expected = skewed.withColumn("before", F.lag("v").over(window))
-    edges = ordered.balanced_edges(skewed, "at", 8)
-    assert same(ordered.lag_in_order(skewed, [], "at", "v", "before", edges), expected)
+    ranges = ordered.balanced_ranges(skewed, "at", 8)
+    assert same(ordered.lag_in_order(skewed, [], "at", "v", "before", ranges), expected)
 
 
-@pytest.mark.parametrize("edges", EDGES)
-def test_row_index(skewed, edges):
+@pytest.mark.parametrize("ranges", RANGES)
+def test_row_index(skewed, ranges):
     window = Window.partitionBy("entity").orderBy("at", "id")
     expected = skewed.withColumn("n", F.row_number().over(window).cast("bigint"))
-    assert same(ordered.row_index(skewed, ["entity"], "at", "n", edges, ["id"]), expected)
+    assert same(ordered.row_index(skewed, ["entity"], "at", "n", ranges, ["id"]), expected)
 
 
 def test_edges_balance_a_crowded_stretch(skewed):
-    edges = ordered.balanced_edges(skewed, "at", 10)
-    sizes = ordered.with_ranges(skewed, "at", edges).groupBy(ordered.RANGE).count().collect()
+    ranges = ordered.balanced_ranges(skewed, "at", 10)
+    sizes = ordered.with_ranges(skewed, "at", ranges).groupBy(ordered.RANGE).count().collect()
     assert len(sizes) >= 8
     assert max(r["count"] for r in sizes) <= 4000 / 10 * 1.5
 
 
 def test_edges_of_one_value_and_no_rows(spark, skewed):
-    assert ordered.balanced_edges(skewed.withColumn("at", F.lit(1.0)), "at", 8) == []
-    assert ordered.balanced_edges(skewed.where("false"), "at", 8) == []
+    assert ordered.balanced_ranges(skewed.withColumn("at", F.lit(1.0)), "at", 8).edges == ()
+    assert ordered.balanced_ranges(skewed.where("false"), "at", 8) == ordered.Ranges()
+
+
+def test_one_moment_with_half_of_all_rows_is_cut_by_the_tiebreak(skewed):
+    n = F.col("id")
+    tied = skewed.withColumn("at", F.when(n % 2 == 0, 77.0).otherwise(F.col("at")))
+    ranges = ordered.balanced_ranges(tied, "at", 10, "id")
+    assert len(ranges.crowded) == 1
+    sizes = ordered.with_ranges(tied, "at", ranges).groupBy(ordered.RANGE).count().collect()
+    assert max(r["count"] for r in sizes) <= 4000 / 10 * 1.5
+    window = Window.partitionBy("entity").orderBy("at", "id")
+    expected = tied.withColumn("before", F.lag("v").over(window))
+    assert same(ordered.lag_in_order(tied, ["entity"], "at", "v", "before", ranges, ["id"]), expected)
+    expected = tied.withColumn("n", F.row_number().over(window).cast("bigint"))
+    assert same(ordered.row_index(tied, ["entity"], "at", "n", ranges, ["id"]), expected)
+
+
+def test_ranges_of_days_shared_by_all_entities(spark):
+    days = spark.range(3000).select((F.col("id") % 5).alias("at"), (F.col("id") % 600).alias("entity"))
+    ranges = ordered.balanced_ranges(days, "at", 50)
+    assert len(ranges.edges) == 4
 
 
 @pytest.mark.parametrize("parts", [1, 5, 16])

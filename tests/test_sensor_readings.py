@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from obslake.operators import keys, quality
+from obslake.operators.ordered import Ranges
 from obslake.plans import sensor_readings as plan
 from obslake.schemas import SENSOR_HEADER
 from obslake.session import new_path
@@ -116,8 +117,8 @@ def test_flags(flags, fact, dim):
 
 
 def test_ranges_change_no_flag(fact, dim, flags):
-    for edges in ([], [1.58e15], [1.5795e15, 1.58e15, 1.6e15]):
-        assert same(plan.reading_flags(fact, dim, edges=edges), flags)
+    for edges in ((), (1.58e15,), (1.5795e15, 1.58e15, 1.6e15)):
+        assert same(plan.reading_flags(fact, dim, ranges=Ranges(edges)), flags)
 
 
 def test_flag_counts(flags):

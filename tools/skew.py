@@ -41,13 +41,13 @@ def main() -> None:
     )
     readings = stored(readings, "skew")
     start = time.perf_counter()
-    edges = ordered.balanced_edges(readings, "at")
-    print(f"edges: {len(edges)} in {time.perf_counter() - start:.1f} s")
+    ranges = ordered.balanced_ranges(readings, "at")
+    print(f"ranges: {len(ranges.edges)} in {time.perf_counter() - start:.1f} s")
     plain = F.lag("v").over(Window.partitionBy("entity").orderBy("at"))
     print(f"plain window lag: {seconds(readings.withColumn('before', plain)):.1f} s, "
           f"largest group {largest_share(readings, 'entity'):.1%}")
-    ranged = ordered.with_ranges(readings, "at", edges)
-    lagged = ordered.lag_in_order(readings, ["entity"], "at", "v", "before", edges)
+    ranged = ordered.with_ranges(readings, "at", ranges)
+    lagged = ordered.lag_in_order(readings, ["entity"], "at", "v", "before", ranges)
     print(f"ranged lag: {seconds(lagged):.1f} s, "
           f"largest group {largest_share(ranged, 'entity', ordered.RANGE):.1%}")
     exact = readings.groupBy("entity").agg(F.percentile("v", F.lit(0.9)))
