@@ -167,11 +167,12 @@ def test_gate(spark, fact, dim):
     assert quality.gate_passed(clean_gate)
     assert rows(clean_gate.where("not ok")) == []
     wrong = fact.limit(1).withColumn("temp_c", F.lit(31).cast("decimal(5,2)"))
-    bad = fact.unionByName(wrong).unionByName(fact.limit(1).withColumn("deployment_id", F.lit(77).cast("bigint")))
+    strays = [fact.limit(1).withColumn("deployment_id", F.lit(d).cast("bigint")) for d in (77, None)]
+    bad = fact.unionByName(wrong).unionByName(strays[0]).unionByName(strays[1])
     gate = plan.gate(bad, dim, audit(spark, 100, 50), dt.datetime(2024, 1, 1))
     broken = {r["check"]: r["observed"] for r in gate.where("not ok").collect()}
     assert not quality.gate_passed(gate)
-    assert broken["duplicate_keys"] == 1 and broken["out_of_range"] == 1 and broken["orphans"] == 1
+    assert broken["duplicate_keys"] == 1 and broken["out_of_range"] == 1 and broken["orphans"] == 2
     assert broken["age_days"] > 14 and broken["rejected_pct"] == 50
     noisy = fact.withColumn("temp_qc", F.when(F.col("deployment_id") == 1, 4).otherwise(F.col("temp_qc")).cast("smallint"))
     warned = plan.gate(noisy, dim, audit(spark, 100, 100), as_of).where("check = 'bad_pct'")
