@@ -3,3 +3,10 @@
 Every operator takes DataFrames, column names and parameters and returns a lazy
 DataFrame. Domain constants (species, depths, site lists, bounds) are arguments.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
