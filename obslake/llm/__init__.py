@@ -1,6 +1,6 @@
 """Operators for building training corpora, and their registered queries."""
 
-from obslake.llm import catalog_native, catalog_text  # noqa: F401
+from obslake.llm import catalog_native, catalog_search, catalog_text  # noqa: F401
 from obslake.llm.registry import oracles, registered
 
 __all__ = ["oracles", "registered"]
