@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from obslake.catalog.registry import Tables
-from obslake.llm import ngram_lm
+from obslake.llm import near_duplicates, ngram_lm
 from obslake.llm.registry import query
 from obslake.llm.words import fold
 
@@ -15,3 +15,8 @@ def op3_language_model(t: Tables):
     return scored.select(
         "doc_id", (part == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query()
+def op4_near_duplicates(t: Tables):
+    return near_duplicates.near_duplicate_groups(t.documents)
