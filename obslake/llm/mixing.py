@@ -65,38 +65,32 @@ def apportion(cells: DataFrame, target: str, most: str, seats: int, order: list[
 
     if not total or seats <= 0:
         return cells.withColumn("_seats", F.lit(0).cast("bigint"))
+    # Rounding errs by at most half a seat a row: the first divisor deals no seat too many,
+    # the second, lowered where rows are at their limit, deals enough.
     sure = rounded(total / (seats - n / 2)) if seats > n / 2 else F.lit(0).cast("bigint")
-    cells = stored(cells.withColumn("_sure", sure), "mix-cells")
+    divisor = total / (seats + n / 2)
     while True:
-        left = seats - cells.agg(F.sum("_sure")).first()[0]
-        if left <= 0:
-            return cells.withColumnRenamed("_sure", "_seats")
-        open_total, n_open = cells.where(F.col("_sure") < F.col(most)).agg(F.sum(target), F.count(F.lit(1))).first()
-        if not n_open:
-            return cells.withColumnRenamed("_sure", "_seats")
-        held = cells.where(F.col("_sure") < F.col(most)).agg(F.sum("_sure")).first()[0]
-        highest = F.greatest(rounded(open_total / (held + left + n_open / 2)), F.col("_sure") + 1)
-        claims = (
-            cells.where(F.col("_sure") < F.col(most))
-            .withColumn("_seat", F.explode(F.sequence(F.col("_sure"), highest - 1)))
-            .select(*order, (-t / (2 * F.col("_seat") + 1)).alias("_quotient"), "_seat")
-        )
-        won = (
-            number_rows(claims, ["_quotient", *order, "_seat"], "_claim")
-            .where(F.col("_claim") <= left)
-            .groupBy(*order)
-            .agg(F.count(F.lit(1)).alias("_won"))
-        )
-        same = [F.col(f"_c.{c}").eqNullSafe(F.col(f"_w.{c}")) for c in order]
-        cells = stored(
-            cells.alias("_c")
-            .join(won.alias("_w"), same, "left")
-            .select(
-                *[F.col(f"_c.{c}") for c in cells.columns if c != "_sure"],
-                (F.col("_c._sure") + F.coalesce("_w._won", F.lit(0))).alias("_sure"),
-            ),
-            "mix-cells",
-        )
+        dealt, limit = cells.agg(F.sum(rounded(divisor)), F.sum(most)).first()
+        if dealt >= min(seats, limit):
+            break
+        divisor *= 0.75
+    cells = cells.withColumns({"_sure": sure, "_highest": rounded(divisor)})
+    left = seats - cells.agg(F.sum("_sure")).first()[0]
+    claims = (
+        cells.where("_highest > _sure")
+        .withColumn("_seat", F.explode(F.sequence("_sure", F.col("_highest") - 1)))
+        .select(*order, (-t / (2 * F.col("_seat") + 1)).alias("_quotient"), "_seat")
+    )
+    won = (
+        number_rows(claims, ["_quotient", *order, "_seat"], "_claim")
+        .where(F.col("_claim") <= left)
+        .groupBy(*order)
+        .agg(F.count(F.lit(1)).alias("_won"))
+    )
+    same = [F.col(f"_c.{c}").eqNullSafe(F.col(f"_w.{c}")) for c in order]
+    seated = (F.col("_c._sure") + F.coalesce("_w._won", F.lit(0))).alias("_seats")
+    kept = [F.col(f"_c.{c}") for c in cells.columns if c not in ("_sure", "_highest")]
+    return cells.alias("_c").join(won.alias("_w"), same, "left").select(*kept, seated)
 
 
 def mix_sources(
