@@ -54,11 +54,13 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``taken`` words of a document of ``size`` words are whole copies and, for the rest, a
     copy that ends with the last word taken. Documents of which nothing is taken go, and
-    so do those without a word. Ids repeat with the copies; n_chars follows the text.
+    so do those without a word or an id. Ids repeat with the copies (rows that share an id are taken
+    alike); n_chars follows the text.
     """
     docs = docs.select(*COLUMNS)
-    mix = mixing.mix_sources(docs).where("taken > 0").select("doc_id", "size", "taken")
-    joined = docs.join(mix.dropDuplicates(["doc_id"]), "doc_id")
+    mix = mixing.mix_sources(docs).where("taken > 0")
+    most = mix.groupBy("doc_id").agg(F.max(F.struct("taken", "size")).alias("_most")).select("doc_id", "_most.*")
+    joined = docs.join(most, "doc_id")
     words = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
     part = F.array_join(F.slice(words, F.lit(1), (F.col("taken") % F.col("size")).cast("int")), "")
     copies = joined.withColumn(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.words import hash_pair, line_key, text_or_empty
+from obslake.llm.words import hash_pair, line_key, text_or_empty, together
 
 
 def _lines(text: Column) -> Column:
@@ -68,19 +68,21 @@ def drop_repeated_lines(
     """
     drops = repeated_line_positions(df, doc_id, text, min_chars, min_docs)
     out = [c for c in df.columns if c not in (n_lines, n_dropped)]
-    rows = df.withColumns({"_text": text_or_empty(text)}).withColumns({"_row": _row_hash()})
-    match = F.col(f"_d.{doc_id}").eqNullSafe(F.col("_x._id")) & (F.col("_d._row") == F.col("_x._row"))
+    rows = df.select(
+        together(out), F.col(doc_id).alias("_id"), text_or_empty(text).alias("_text")
+    ).withColumn("_row", _row_hash())
+    match = F.col("_d._id").eqNullSafe(F.col("_x._id")) & (F.col("_d._row") == F.col("_x._row"))
     joined = rows.alias("_d").join(drops.alias("_x"), match, "left").select(
-        *[F.col(f"_d.`{c}`").alias(c) for c in out],
-        _lines(F.col("_d._text")).alias("_lines"),
-        F.array_distinct(F.coalesce("_x._drop", F.array().cast("array<int>"))).alias("_drop"),
+        "_own",
+        _lines(F.col("_text")).alias("_lines"),
+        F.array_distinct(F.coalesce("_drop", F.array().cast("array<int>"))).alias("_drop"),
     )
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_drop")
     kept = F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
     whole = F.array_join("_lines", "\n")
+    body = F.when(F.size("_drop") == 0, whole).otherwise(kept)
     return joined.select(
-        *[c for c in out if c != text],
-        F.when(F.size("_drop") == 0, whole).otherwise(kept).alias(text),
+        *[(body if c == text else F.col("_own")[c]).alias(c) for c in out],
         F.size("_lines").cast("bigint").alias(n_lines),
         F.size("_drop").cast("bigint").alias(n_dropped),
-    ).select(*out, n_lines, n_dropped)
+    )

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.words import SPACE, text_or_empty, words_of
+from obslake.llm.words import SPACE, text_or_empty, together, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -65,16 +65,16 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
     )
     spoken = F.filter(F.split(body, "\n", -1), lambda line: F.translate(line, SPACE, "") != "")
     read = (
-        df.select(*own, text_or_empty(text).alias("_text"))
+        df.select(together(own), text_or_empty(text).alias("_text"))
         .select(
-            *own,
+            "_own",
             F.transform(words_of(body), lambda w: F.xxhash64(w)).alias("_words"),
             F.length(F.translate(body, SPACE, "")).cast("bigint").alias("word_chars"),
             (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
             spoken.alias("_spoken"),
         )
         .select(
-            *own,
+            "_own",
             F.size("_words").cast("bigint").alias("n_words"),
             "word_chars",
             "n_symbols",
@@ -97,7 +97,7 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
     )
     total = F.aggregate(covered, F.lit(0), lambda a, x: a + x)
     return found.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("bigint")).select(
-        *own, *MEASURES
+        *[F.col("_own")[c].alias(c) for c in own], *MEASURES
     )
 
 

@@ -40,3 +40,8 @@ def fold(column: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds."""
     column = F.col(column) if isinstance(column, str) else column
     return F.crc32(column.cast("string").cast("binary")) % folds
+
+
+def together(columns: list[str], name: str = "_own") -> Column:
+    """The caller's columns as one, so that no name of theirs meets one of ours."""
+    return F.struct(*[F.col(f"`{c}`").alias(c) for c in columns]).alias(name)
