@@ -190,6 +190,8 @@ def score_texts(
         code // CELLS // CELLS, _cell_value(code // CELLS % CELLS), _cell_value(code % CELLS),
         1 / (rest_words + 1), n,
     )
+    if not tokens:
+        table[:] = 1, 0, 0
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         block = B.Block(left.column("_texts").to_pylist())
