@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,8 +16,53 @@ from obslake.sources import tables
 from obslake.sources.html_tables import page_tables
 from tests.conftest import rows
 
-ZW = "​"
-WIDE = ["Total tonnes seasonal quota caught", "Total uncaught (tonnes)", f"{ZW}% taken"]
+ZW = "\u200b"
+
+
+@dataclass(frozen=True)
+class Season:
+    """One season's table: its layout, its allowance, and the catch of some months."""
+
+    year: int
+    allowance: int
+    layout: str  # wide, kg or narrow
+    caught: dict[int, Decimal | None]  # by month number; None: not reported yet
+    doubled: int | None = None  # the month whose remainder has a doubled dot
+
+    @property
+    def name(self) -> str:
+        return f"{self.year}/{(self.year + 1) % 100:02d}"
+
+    def date(self, month: int) -> dt.date:
+        return dt.date(self.year + (month < 3), month, 1)
+
+    def so_far(self, month: int) -> Decimal:
+        months = list(self.caught)
+        return sum(self.caught[m] or 0 for m in months[: months.index(month) + 1])
+
+    def left(self, month: int) -> Decimal:
+        return self.allowance - self.so_far(month)
+
+    @property
+    def total(self) -> Decimal:
+        return sum(c for c in self.caught.values() if c is not None) + 100 + self.year % 7
+
+
+def figures(start: str, step: str, months: list[int]) -> dict[int, Decimal]:
+    return {m: Decimal(start) + i * Decimal(step) for i, m in enumerate(months)}
+
+
+SEASONS = [
+    Season(2031, 900, "wide", figures("40.5", "21.75", [3, 6]) | {9: None}),
+    Season(2028, 880, "wide", figures("55.5", "15.75", [4, 10]), doubled=10),
+    Season(2019, 1200, "kg", figures("90.125", "60.375", [3, 1])),
+    Season(2015, 1400, "narrow", figures("120.5", "9.75", [3, 2])),
+]
+BY_YEAR = {s.year: s for s in SEASONS}
+
+
+def share(amount: Decimal, season: Season) -> Decimal:
+    return round(100 * amount / season.allowance, 2)
 
 
 def html_table(header: list[str], *body: list[str]) -> str:
@@ -25,41 +72,44 @@ def html_table(header: list[str], *body: list[str]) -> str:
     return "<table>" + tr(header, "th") + "".join(tr(r, "td") for r in body) + "</table>"
 
 
+def season_table(season: Season) -> str:
+    """The table as a page would show it, zero-width spaces and asterisks included."""
+    def month_name(month: int) -> str:
+        return season.date(month).strftime("%B %Y")
+
+    if season.layout == "narrow":
+        header = [f"{ZW}**Quota Year {season.name}**{ZW} TAC {season.allowance}.0 t{ZW}onnes", "**Brought in** (tonnes)", "**Share**"]
+        body = [[month_name(m), str(c), str(share(c, season))] for m, c in season.caught.items()]
+        return html_table(header, *body, ["**TOTAL**", f"<b>{season.total}</b>", f"<b>{share(season.total, season)}</b>"])
+    if season.layout == "kg":
+        header = [f"{ZW}**Quota year {season.name} TAC {season.allowance:,}.00 tonnes**", "**Brought in (kg)**", "**Left**", "**Share**"]
+        body = [
+            [month_name(m), f"{ZW}{ZW}{c * 1000:,.2f}", f"{season.left(m) * 1000:,.2f}", str(share(c, season))]
+            for m, c in season.caught.items()
+        ]
+        return html_table(header, *body, ["**TOTAL**", f"<b>{season.total * 1000:,.2f}</b>", "", f"<b>{share(season.total, season)}</b>"])
+    header = [f"Quota year {season.name} TAC {season.allowance}.00 tonnes{ZW}", "Brought in (tonnes)", "Left (tonnes)", f"{ZW}Share"]
+    body = []
+    for m, c in season.caught.items():
+        left = "" if c is None else str(season.left(m))
+        left = left.replace(".", "..") if m == season.doubled else left
+        body.append([f"{ZW}{month_name(m)}", "" if c is None else str(c), left, "" if c is None else str(share(c, season))])
+    return html_table(header, *body, [f"{ZW}TOTAL", f"<b>{season.total}</b>", "<b>1.5</b>", f"<b>{share(season.total, season)}</b>"])
+
+
 PAGE = (
     "<html><body><!-- <table> in a comment -->"
-    + html_table(
-        [f"Quota year 2026/27 TAC 1050.70 tonnes{ZW}", *WIDE],
-        [f"{ZW}March 2026", "81.7", "969.0", "7.8"],
-        [f"{ZW}April 2026", "158.6", "810.4", "15.1"],
-        [f"{ZW}August 2026", "", "", ""],
-        [f"{ZW}TOTAL", "<b>355.9</b>", "<b>694.8</b>", "<b>33.9</b>"],
-    )
-    + html_table(
-        ["Quota year 2022/23 TAC 1050.70 tonnes", *WIDE],
-        [f"{ZW}September 2022", "41.58", "470.05", "3.96"],
-        [f"{ZW}{ZW}November 2022", "76.49", "393..07", "7.27"],
-        [f"{ZW}TOTAL", "<b>1031.06</b>", "<b>19.64</b>", "<b>98.13</b>"],
-    )
-    + html_table(
-        [f"{ZW}**Quota year 2013/14 TAC 1103.24 tonnes**", "**Total (kg) caught & kept**", "**Uncaught**", "**%**"],
-        ["March 2013", f"{ZW}{ZW}80,052.70", "1,023,187.30", "7.26"],
-        ["February 2014", "172,262.60", "3,912.90", "15.61"],
-        ["**TOTAL**", "<b>1,099,327.10</b>", "", "<b>99.65</b>"],
-    )
-    + html_table(
-        [f"{ZW}**Quota Year 2007/08**{ZW} TAC 1523.5 t{ZW}onnes", "**Landed** (tonnes)", "**% taken**"],
-        ["March 2007", "165.6", "10.87"],
-        ["February 2008", "144.6", "9.49"],
-        ["**TOTAL**", "<b>1496.5</b>", "<b>98.23</b>"],
-    )
-    + "<table><tr><td>Not a season table</td></tr></table></body></html>"
+    + "".join(map(season_table, SEASONS))
+    + "<table><tr><td>Opening hours</td></tr></table></body></html>"
 )
+N_MONTHS = sum(len(s.caught) for s in SEASONS)
+N_REPORTED = sum(c is not None for s in SEASONS for c in s.caught.values())
 
 
 @pytest.fixture(scope="module")
 def raw(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (2, "v", "<p>no table</p>")], "page_id long, url string, html string")
-    return plan.raw_records(pages, dt.datetime(2026, 8, 8)).cache()
+    return plan.raw_records(pages, dt.datetime(2031, 10, 1)).cache()
 
 
 @pytest.fixture(scope="module")
@@ -75,7 +125,7 @@ def star(clean, raw):
 def test_page_structure():
     tables = page_tables(PAGE)
     assert len(tables) == 5
-    assert tables[3][0][0] == "Quota Year 2007/08 TAC 1523.5 tonnes"
+    assert tables[3][0][0] == "Quota Year 2015/16 TAC 1400.0 tonnes"
 
 
 def test_nested_and_unclosed_tables():
@@ -87,49 +137,52 @@ def test_nested_and_unclosed_tables():
 
 
 def test_records(raw):
-    assert raw.count() == 13
-    assert raw.where("is_total_row").count() == 4
-    assert raw.select("quota_year").distinct().count() == 4
-    assert rows(raw.select("quota_year", "catch_unit_raw").distinct()) == [
-        ("2007/08", "tonnes"), ("2013/14", "kg"), ("2022/23", "tonnes"), ("2026/27", "tonnes"),
-    ]
-    old = raw.where("quota_year = '2007/08' and row_label like 'March%'").first()
-    assert (old["uncaught_raw"], old["pct_tac_taken_raw"]) == ("", "10.87")
+    assert raw.count() == N_MONTHS + len(SEASONS)
+    assert raw.where("is_total_row").count() == len(SEASONS)
+    assert rows(raw.select("quota_year", "catch_unit_raw").distinct()) == sorted(
+        (s.name, "kg" if s.layout == "kg" else "tonnes") for s in SEASONS
+    )
+    old = raw.where("quota_year = '2015/16' and row_label like 'March%'").first()
+    assert (old["uncaught_raw"], old["pct_tac_taken_raw"]) == ("", str(share(BY_YEAR[2015].caught[3], BY_YEAR[2015])))
 
 
 def test_clean_months(clean):
-    assert clean.count() == 9
     by = {(r["quota_year"], r["month_date"]): r for r in clean.collect()}
-    blank = by["2026/27", dt.date(2026, 8, 1)]
-    assert (blank["catch_tonnes"], blank["uncaught_tonnes"]) == (None, None)
-    assert blank["flag_not_yet_reported"] and not blank["any_flag"]
-    typo = by["2022/23", dt.date(2022, 11, 1)]
-    assert typo["uncaught_tonnes"] == 393.07 and typo["uncaught_had_typo"]
-    heavy = by["2013/14", dt.date(2013, 3, 1)]
-    assert heavy["catch_tonnes"] == pytest.approx(80.0527)
-    assert heavy["uncaught_tonnes"] == pytest.approx(1023.1873)
-    assert [r["quota_year"] for r in clean.where("any_flag").collect()] == ["2022/23"]
-    assert by["2007/08", dt.date(2007, 3, 1)]["uncaught_tonnes"] is None
-    assert rows(plan.run_summary(clean)) == [(9, 4, 1, 1)]
+    assert set(by) == {(s.name, s.date(m)) for s in SEASONS for m in s.caught}
+    for season in SEASONS:
+        for month, caught in season.caught.items():
+            row = by[season.name, season.date(month)]
+            assert row["tac_tonnes"] == season.allowance
+            assert row["catch_tonnes"] == (caught if caught is None else pytest.approx(float(caught)))
+            known = caught is not None and season.layout != "narrow"
+            assert row["uncaught_tonnes"] == (pytest.approx(float(season.left(month))) if known else None)
+            assert row["uncaught_had_typo"] == (month == season.doubled)
+            assert row["flag_not_yet_reported"] == (caught is None)
+            assert row["any_flag"] == (month == season.doubled)
+    assert rows(plan.run_summary(clean)) == [(N_MONTHS, len(SEASONS), 1, N_MONTHS - N_REPORTED)]
+
+
+def missing(season: Season) -> float:
+    """What the published total has beyond the months shown."""
+    return float(season.total - sum(c for c in season.caught.values() if c is not None))
 
 
 def test_reconciliation_of_a_subset_fails(clean, raw):
     report = plan.reconciliation(clean, plan.published_totals(raw))
-    assert rows(report.select("quota_year", "diff_tonnes", "reconciles")) == [
-        ("2007/08", 1186.3, False), ("2013/14", 847.01, False),
-        ("2022/23", 912.99, False), ("2026/27", 115.6, False),
-    ]
+    assert rows(report.select("quota_year", "diff_tonnes", "reconciles")) == sorted(
+        (s.name, pytest.approx(missing(s)), False) for s in SEASONS
+    )
 
 
 def test_unparsed_labels_are_reported(spark, raw):
-    odd = raw.withColumn("row_label", F.when(F.col("row_label") == "March 2026", "Spring").otherwise(F.col("row_label")))
+    odd = raw.withColumn("row_label", F.when(F.col("row_label") == "March 2031", "Spring").otherwise(F.col("row_label")))
     good, rejects = plan.clean_months(odd)
-    assert good.count() == 8
-    assert rows(rejects) == [("2026/27", "Spring")]
+    assert good.count() == N_MONTHS - 1
+    assert rows(rejects) == [("2031/32", "Spring")]
 
 
 def test_star_schema(star):
-    assert star["dim_season"].count() == 4
+    assert star["dim_season"].count() == len(SEASONS)
     assert dict(star["fact_catch"].dtypes)["catch_tonnes"] == "decimal(10,4)"
     assert plan.constraints(star).where("violations > 0").isEmpty()
     doubled = dict(star, dim_season=star["dim_season"].union(star["dim_season"].selectExpr("quota_year", "1.0")))
@@ -144,9 +197,9 @@ def test_load(spark, star):
     for _ in range(2):
         paths = plan.load(star, folder)
     back = {name: tables.read_table(spark, path) for name, path in paths.items()}
-    assert {name: df.count() for name, df in back.items()} == {"dim_season": 4, "fact_catch": 9, "qa_totals": 4}
+    assert {name: df.count() for name, df in back.items()} == {"dim_season": 4, "fact_catch": N_MONTHS, "qa_totals": 4}
     exported = tables.export_queries(plan.export_tables(back["fact_catch"], back["dim_season"]), folder)
-    assert spark.read.option("header", True).csv(exported["season_progress"]).count() == 8
+    assert spark.read.option("header", True).csv(exported["season_progress"]).count() == N_REPORTED
     broken = dict(star, fact_catch=star["fact_catch"].union(star["fact_catch"]))
     with pytest.raises(ValueError, match="one row per season and month"):
         plan.load(broken, folder)
@@ -154,14 +207,18 @@ def test_load(spark, star):
 
 def test_views(star):
     fact, dim = star["fact_catch"], star["dim_season"]
-    progress = plan.season_progress(fact, dim).where("quota_year = '2026/27'")
-    assert [float(r["cumulative_catch_tonnes"]) for r in progress.orderBy("month_date").collect()] == [81.7, 240.3]
-    assert [r["cumulative_pct_tac"] for r in progress.orderBy("month_date").collect()] == [7.8, 22.9]
+    season = BY_YEAR[2031]
+    progress = plan.season_progress(fact, dim).where(f"quota_year = '{season.name}'").orderBy("month_date").collect()
+    assert [r["cumulative_catch_tonnes"] for r in progress] == [season.so_far(m) for m in (3, 6)]
+    assert [float(r["cumulative_pct_tac"]) for r in progress] == [pytest.approx(float(share(season.so_far(m), season)), abs=0.051) for m in (3, 6)]
     change = plan.month_over_month(fact).orderBy("month_date").collect()
-    assert len(change) == 8 and change[0]["change_tonnes"] is None
-    assert change[1]["change_tonnes"] == pytest.approx(-21.0)
+    in_order = [c for _, c in sorted((s.date(m), c) for s in SEASONS for m, c in s.caught.items() if c is not None)]
+    assert len(change) == N_REPORTED and change[0]["change_tonnes"] is None
+    assert [float(r["change_tonnes"]) for r in change[1:]] == [
+        pytest.approx(float(b - a), abs=0.006) for a, b in zip(in_order, in_order[1:])
+    ]
     assert plan.flagged_rows(fact).count() == 1
-    assert plan.unreconciled(fact, star["qa_totals"]).count() == 4
+    assert plan.unreconciled(fact, star["qa_totals"]).count() == len(SEASONS)
 
 
 def test_all_blank_season_reconciles_differently(spark):
