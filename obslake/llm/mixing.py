@@ -167,7 +167,8 @@ def mix_sources(
         F.col("_a._block") == F.col("_b._block")
     )
     taken = (
-        pieces.alias("_a").join(blocks.alias("_b"), same)
+        # Spark takes exploded rows for as few as it had before, and would broadcast the blocks.
+        pieces.alias("_a").join(blocks.alias("_b").hint("merge"), same)
         .select("_a.*", (overlap * F.col("_times")).alias("_got"))
         .groupBy("_source", "_shard", "_start", "_id", "_size", "_source_size", "_target")
         .agg(F.sum("_got").cast("bigint").alias("_taken"))
