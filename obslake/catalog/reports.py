@@ -117,3 +117,19 @@ def q_exact_quantiles(t: Tables) -> DataFrame:
     """Exact interpolated quantiles per event type, for groups of any size."""
     found = exact_quantiles(t.events, ["event_type"], "value", {"p10": 0.1, "p50": 0.5, "p90": 0.9})
     return rounded(found, 4, "p10", "p50", "p90")
+
+
+@query(
+    f"""WITH v AS (SELECT CAST(event_id % 3 AS INTEGER) AS place,
+           CASE WHEN event_id % 3 < 2 THEN pow(2, (event_id * 7919) % 40) + (event_id % 10) / 10.0 END AS v FROM events)
+SELECT place, {r("QUANTILE_CONT(v, 0.05)", 3)} AS p05, {r("QUANTILE_CONT(v, 0.5)", 3)} AS p50, {r("QUANTILE_CONT(v, 0.97)", 3)} AS p97
+FROM v GROUP BY place"""
+)
+def q_skewed_quantiles(t: Tables) -> DataFrame:
+    """Exact quantiles of values spread over forty powers of two, one group without any."""
+    spread = F.pow(F.lit(2.0), (F.col("event_id") * 7919) % 40) + (F.col("event_id") % 10) / 10.0
+    values = t.events.select(
+        (F.col("event_id") % 3).cast("int").alias("place"), F.when(F.col("event_id") % 3 < 2, spread).alias("v")
+    )
+    found = exact_quantiles(values, ["place"], "v", {"p05": 0.05, "p50": 0.5, "p97": 0.97}, parts=16)
+    return rounded(found, 3, "p05", "p50", "p97")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from obslake.catalog.registry import Tables, amount, money, query, r, rounded
 from obslake.functions.numbers import half_up, sign_class
 from obslake.operators import keys, quality, series
-from obslake.operators.ordered import Ranges, balanced_ranges
+from obslake.operators.ordered import Ranges, balanced_ranges, lag_in_order
 from obslake.session import stored
 
 GOOD_TYPES = ["view", "click", "purchase", "signup"]
@@ -174,3 +174,20 @@ def q_year_mean(t: Tables) -> DataFrame:
     """Yearly mean of daily price and daily percentile for returned lines."""
     one = judged_days(t).where(F.col("l_returnflag") == "R")
     return rounded(series.year_means(one, ["price", "clim_p90"]), 4, "price", "clim_p90")
+
+
+WIDE = 1 << 60  # beyond what a double holds to the unit
+
+
+@query(
+    f"""SELECT event_id, user_id, wide_key,
+       lag(value) OVER (PARTITION BY event_type ORDER BY wide_key, event_id) AS previous
+FROM (SELECT *, CAST({WIDE} AS BIGINT) + CAST(day(ts) % 5 AS BIGINT) AS wide_key FROM events)"""
+)
+def q_lag_wide_keys(t: Tables) -> DataFrame:
+    """The previous value by a 64-bit key that few moments share, ties broken by id."""
+    key = F.lit(WIDE).cast("bigint") + F.day("ts") % 5
+    events = t.events.select("event_id", "user_id", "event_type", "value", key.alias("wide_key"))
+    ranges = balanced_ranges(events, "wide_key", tie="event_id", rows_per_range=300)
+    lagged = lag_in_order(events, ["event_type"], "wide_key", "value", "previous", ranges, ["event_id"])
+    return lagged.select("event_id", "user_id", "wide_key", "previous")

@@ -8,119 +8,110 @@ group; what a range needs from the ranges before it travels as a few summary row
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obslake.session import stored
-
 RANGE = "_range"
-CELLS_PER_PART = 8
-REFINEMENTS = 3
+ROWS_PER_RANGE = 250_000
+GRID = 1024  # quantiles sketched in the pass that also counts the rows
+
+
+class Crowded(NamedTuple):
+    """A moment that alone overfills ranges, and the range it lies in."""
+
+    at_range: int
+    moment: object
 
 
 @dataclass(frozen=True)
 class Ranges:
     """Edges of the ranges of an ordering column.
 
-    ``crowded`` lists ranges made up of one moment that alone overfills a range; their
-    rows are cut once more, by the edges of the column that breaks ties.
+    Edges are doubles; that moments a double cannot tell apart share a range does no
+    harm. ``crowded`` moments are cut once more by the edges of ``tie``, the column that
+    breaks ties. Edges decide about balance only: any edges, also those of another table,
+    give the same results.
     """
 
     edges: tuple[float, ...] = ()
-    crowded: tuple[int, ...] = ()
+    crowded: tuple[Crowded, ...] = ()
     tie: str | None = None
     tie_edges: tuple[float, ...] = ()
 
 
-class _Cell(NamedTuple):
-    """A stretch of the ordering column: how many rows, and where the first and last lie."""
-
-    rows: int
-    low: float
-    high: float
-
+def exact_key(df: DataFrame, column: str) -> Column:
+    """The column as a number with the same order and the same equal values.
 
-def order_key(df: DataFrame, column: str) -> Column:
-    """The ordering column as a double (microseconds for timestamps, days for dates)."""
+    Microseconds for timestamps, days for dates; numbers as they are. Of strings the
+    first seven bytes count: an order that may see different strings as equal.
+    """
     kind = df.schema[column].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+        return F.unix_micros(F.col(column).cast("timestamp"))
     if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
-    return F.col(column).cast("double")
+        return F.unix_date(column)
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("bigint")
+    if isinstance(kind, T.BooleanType):
+        return F.col(column).cast("int")
+    return F.col(column)
 
 
-def _can_order(df: DataFrame, column: str) -> bool:
-    kinds = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
-    return isinstance(df.schema[column].dataType, kinds)
+def order_key(df: DataFrame, column: str) -> Column:
+    return exact_key(df, column).cast("double")
 
 
 def balanced_ranges(
-    df: DataFrame, order: str, parts: int | None = None, tie: str | None = None
+    df: DataFrame,
+    order: str,
+    parts: int | None = None,
+    tie: str | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> Ranges:
-    """Ranges that cut ``order`` into about ``parts`` equally full stretches.
+    """Ranges that cut ``order`` into stretches of about ``rows_per_range`` rows.
 
-    Counts rows per cell of an even grid and refines only the overfull cells. The
-    driver receives cell counts, never rows: at most a fixed multiple of ``parts``.
-    Which edges come out affects balance only; any edges give the same results.
+    The edges come from one mergeable quantile sketch, which one pass over the column
+    fills; ``parts`` asks for a number of ranges instead. A moment that alone holds more
+    than a range's rows is cut by ``tie``. The driver receives the edges, never rows.
     """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.select(order_key(df, order).alias("_key")).dropna()
-    whole = _Cell(*keyed.agg(F.count("_key"), F.min("_key"), F.max("_key")).first())
-    if not whole.rows or parts < 2:
+    keyed = df.select(exact_key(df, order).alias("_key")).where("_key IS NOT NULL")
+    rows, grid = keyed.agg(F.count("_key"), _sketch("_key", GRID)).first()
+    parts = parts or -(-rows // rows_per_range)
+    if not rows or parts < 2:
         return Ranges()
-    target = whole.rows / parts
-    edges, cells = [], [whole]
-    for _ in range(REFINEMENTS):
-        finer = sorted({*edges, *(e for c in cells for e in _cuts_within(c, target))})
-        if finer == edges:
-            break
-        edges, cells = finer, _cells(keyed, finer)
-    kept, crowded = _merge_light_cells(cells, target)
-    if not (crowded and tie and _can_order(df, tie)):
-        return Ranges(tuple(kept))
-    at_crowded = with_ranges(df, order, Ranges(tuple(kept))).where(F.col(RANGE).isin(crowded))
-    within = balanced_ranges(at_crowded, tie, parts)
-    return Ranges(tuple(kept), tuple(crowded), tie, within.edges)
-
-
-def _cuts_within(cell: _Cell, target: float) -> list[float]:
-    """Cuts through an overfull cell, and around it; one moment cannot be cut."""
-    if cell.rows <= target:
-        return []
-    pieces = int(np.ceil(cell.rows / target)) * CELLS_PER_PART
-    after = float(np.nextafter(cell.high, np.inf))
-    return [float(e) for e in np.linspace(cell.low, cell.high, pieces + 1)] + [after]
-
-
-def _cells(keyed: DataFrame, edges: Sequence[float]) -> list[_Cell]:
-    """The cells between the edges that hold rows, in order."""
-    counted = _in_ranges(keyed, "_key", edges, "_cell").groupBy("_cell").agg(
-        F.count("_key"), F.min("_key"), F.max("_key")
-    )
-    return [_Cell(*found[1:]) for found in sorted(counted.collect())]
+    if parts > GRID:
+        grid = keyed.agg(_sketch("_key", parts)).first()[0]
+    cuts = [grid[round(i * (len(grid) + 1) / parts) - 1] for i in range(1, parts)]
+    edges = sorted({float(c) for c in cuts})
+    repeated = {float(c): n for c, n in Counter(cuts).items() if n > 1}
+    if not (repeated and tie):
+        return Ranges(tuple(edges))
+    # A sketch knows doubles only: which moment is it that fills the range?
+    at_crowded = df.where(order_key(df, order).isin(list(repeated)))
+    fullest = (
+        at_crowded.groupBy(order_key(df, order).alias("_key"), exact_key(df, order).alias("_moment"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("_key").agg(F.max_by("_moment", F.struct("_n", "_moment")))
+        .collect()
+    )
+    crowded = tuple(Crowded(bisect_right(edges, key), moment) for key, moment in sorted(fullest))
+    within = balanced_ranges(at_crowded, tie, max(2, sum(repeated.values())))
+    return Ranges(tuple(edges), crowded, tie, within.edges)
 
 
-def _merge_light_cells(cells: Sequence[_Cell], target: float) -> tuple[list[float], list[int]]:
-    """Edges of ranges made of neighbouring cells, and the ranges one moment overfills."""
-    edges, crowded, filled = [], [], 0
-    for i, cell in enumerate(cells):
-        if filled and filled + cell.rows > target:
-            edges.append(cell.low)
-            filled = 0
-        filled += cell.rows
-        if cell.rows > target and cell.low == cell.high:
-            crowded.append(len(edges))
-    return edges, crowded
+def _sketch(key: str, parts: int) -> Column:
+    return F.percentile_approx(key, [i / parts for i in range(1, parts)], max(10_000, 20 * parts))
 
 
 def _in_ranges(df: DataFrame, key: str, edges: Sequence[float], out: str) -> DataFrame:
@@ -131,15 +122,27 @@ def _in_ranges(df: DataFrame, key: str, edges: Sequence[float], out: str) -> Dat
     return cut.transform(df)
 
 
-def with_ranges(df: DataFrame, order: str, ranges: Ranges) -> DataFrame:
-    """Add ``_range``, a number that grows with the order; NULL orders get range -1."""
+def with_ranges(
+    df: DataFrame, order: str, ranges: Ranges, tiebreak: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``_range``, a number that grows with the order; NULL orders get range -1.
+
+    A crowded moment is cut only if ties are broken by the column the edges were made
+    for. Its range then has numbers of its own for the rows before the moment, for each
+    stretch of ties, and for the rows after it.
+    """
     keyed = _in_ranges(df.withColumn("_key", order_key(df, order)), "_key", ranges.edges, RANGE)
     number, extra = F.col(RANGE), ["_key"]
-    if ranges.tie and ranges.crowded:
+    if ranges.crowded and ranges.tie is not None and ranges.tie == next(iter(tiebreak), None):
         keyed = keyed.withColumn("_tie", order_key(df, ranges.tie))
         keyed = _in_ranges(keyed, "_tie", ranges.tie_edges, "_tie_range")
-        at_tie = F.when(F.col(RANGE).isin(list(ranges.crowded)), F.col("_tie_range"))
-        number = number * (len(ranges.tie_edges) + 1) + F.coalesce(at_tie, F.lit(0))
+        stretches = len(ranges.tie_edges) + 2  # one more for NaN
+        at_tie = F.when(F.col("_tie").isNull(), 0).otherwise(F.col("_tie_range"))
+        exact, within = exact_key(df, order), F.lit(0)
+        for at_range, moment in ranges.crowded:
+            inside = F.when(exact < F.lit(moment), 0).when(exact == F.lit(moment), 1 + at_tie)
+            within = F.when(F.col(RANGE) == at_range, inside.otherwise(1 + stretches)).otherwise(within)
+        number = number * (stretches + 2) + within
         extra += ["_tie", "_tie_range"]
     placed = F.when(F.col("_key").isNull(), -1).otherwise(number).cast("int")
     return keyed.withColumn(RANGE, placed).drop(*extra)
@@ -160,24 +163,37 @@ def lag_in_order(
     range; the window then never looks beyond its own range. One shuffle of the rows.
     """
     by, order_by = list(by), [order, *tiebreak]
-    ranged = with_ranges(df, order, ranges)
-    if tiebreak:
-        last = F.max_by(F.struct(value, *order_by), F.struct(*order_by))
-    else:  # plain columns keep this a hash aggregate
-        last = F.struct(F.max_by(value, order).alias(value), F.max(order).alias(order))
+    ranged = with_ranges(df, order, ranges, tiebreak)
     per_entity = Window.partitionBy(*by).orderBy(RANGE)
     carried = (
-        ranged.groupBy(*by, RANGE)
-        .agg(last.alias("_last"))
+        _last_rows(ranged, [*by, RANGE], value, order_by)
         .withColumn("_next", F.lead(RANGE).over(per_entity))
         .where(F.col("_next").isNotNull())
-        .select(*by, F.col("_next").alias(RANGE), "_last.*")
+        .select(*by, F.col("_next").alias(RANGE), value, *[c for c in order_by if c != value])
     )
     window = _front_row_first(by, order_by)
     lagged = _with_front_rows(ranged, carried).withColumn(out, F.lag(value).over(window))
     return lagged.where(~F.col("_front")).drop("_front", RANGE)
 
 
+def _last_rows(ranged: DataFrame, group: Sequence[str], value: str, order_by: Sequence[str]) -> DataFrame:
+    """The last row's value and order columns of each group.
+
+    The largest moment of a group is found by hash, among all rows; only the rows at that
+    moment are compared by the columns that break ties.
+    """
+    order, *ties = order_by
+    kept = dict.fromkeys([*group, value, *order_by])
+    if not ties:
+        last = {c: F.max_by(c, order) for c in kept if c not in group and c != order}
+        return ranged.groupBy(*group).agg(F.max(order).alias(order), *[m.alias(c) for c, m in last.items()])
+    latest = ranged.groupBy(*group).agg(F.max(order).alias("_latest"))
+    late = _join_null_safe(ranged.select(*kept), latest, group).where(F.col(order).eqNullSafe(F.col("_latest")))
+    last = F.max_by(F.struct(value, *order_by), F.struct(*ties)).alias("_last")
+    rest = [F.col("_last")[c].alias(c) for c in kept if c not in group]
+    return late.groupBy(*group).agg(last).select(*group, *rest)
+
+
 def row_index(
     df: DataFrame,
     by: Sequence[str],
@@ -205,7 +221,7 @@ def running_count(
     """
     by = list(by)
     hit = F.coalesce(condition, F.lit(False)).cast("int")
-    ranged = with_ranges(df, order, ranges).withColumn("_hit", hit)
+    ranged = with_ranges(df, order, ranges, tiebreak).withColumn("_hit", hit)
     offsets = _rows_before(ranged, by, F.sum("_hit")).select(*by, RANGE, "_before")
     window = _front_row_first(by, [order, *tiebreak])
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -250,24 +266,27 @@ def exact_quantiles(
     value: str,
     probabilities: dict[str, float],
     parts: int | None = None,
+    approx: bool = False,
 ) -> DataFrame:
     """Interpolated quantiles per group, exact, for groups of any size.
 
-    Equal values are counted before the shuffle and the counts stored, so the input
-    is read once. The counts are cut into value ranges, and only the ranges that hold
-    a wanted rank are looked at row by row. Returns the group columns and one double
-    column per named probability.
+    The rows are counted per value range; only the rows of ranges that hold a wanted rank
+    are fetched, equal values counted before the shuffle. Returns the group columns and
+    one double column per named probability; a group without values has NULLs. ``approx``
+    takes a sketch instead, in one pass, whose quantiles are values of the column.
     """
     by = list(by)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .withColumn(value, F.col(value).cast("double"))
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    counts = stored(counts, "value-counts")
-    ranged = with_ranges(counts, value, balanced_ranges(counts, value, parts))
-    before = _rows_before(ranged, by, F.sum("_n"))
+    measured = df.withColumn(value, F.col(value).cast("double"))
+    if approx:
+        sketch = [F.percentile_approx(value, p).alias(name) for name, p in probabilities.items()]
+        return measured.groupBy(*by).agg(*sketch)
+    ranged = with_ranges(measured, value, balanced_ranges(measured, value, parts))
+    sizes = ranged.groupBy(*by, RANGE).agg(F.count(value).alias("_in_range"))
+    per_group = Window.partitionBy(*by)
+    in_order = per_group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn(
+        "_before", F.coalesce(F.sum("_in_range").over(in_order), F.lit(0))
+    ).withColumn("_rows", F.sum("_in_range").over(per_group))
     wanted = before.withColumn(
         "_ranks", F.array(*[rank for p in probabilities.values() for rank in _rank_pair(p)])
     ).where(
@@ -276,10 +295,11 @@ def exact_quantiles(
             lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in_range")),
         )
     )
-    nearby = _join_null_safe(ranged, wanted, [*by, RANGE])
+    nearby = _join_null_safe(ranged.select(*by, RANGE, value), wanted.drop("_ranks", "_in_range"), [*by, RANGE])
+    counts = nearby.groupBy(*by, RANGE, "_before", "_rows", value).agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(*by, RANGE).orderBy(value)
     until = F.col("_before") + F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    placed = nearby.withColumn("_until", until).withColumn("_from", F.col("_until") - F.col("_n"))
+    placed = counts.withColumn("_until", until).withColumn("_from", F.col("_until") - F.col("_n"))
     measures = []
     for name, p in probabilities.items():
         low, high = _rank_pair(p)
@@ -287,7 +307,13 @@ def exact_quantiles(
         at_high = F.max(F.when((high >= F.col("_from")) & (high < F.col("_until")), F.col(value)))
         share = F.max(F.lit(p) * (F.col("_rows") - 1)) - F.max(low)
         measures.append((at_low + (at_high - at_low) * share).alias(name))
-    return placed.groupBy(*by).agg(*measures)
+    found = placed.groupBy(*by).agg(*measures)
+    if not by:
+        return found
+    # Ranges that hold no wanted rank stand for the groups without any value.
+    valueless = before.where("_rows = 0").select(*by).distinct()
+    missing = [F.lit(None).cast("double").alias(name) for name in probabilities]
+    return found.unionByName(valueless.select(*by, *missing))
 
 
 def _rank_pair(p: float) -> tuple[Column, Column]:

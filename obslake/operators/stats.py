@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake.functions.numbers import area_size, min_max_index
 from obslake.operators.ordered import exact_quantiles
+from obslake.session import stored
 
 BOX_POINTS = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
 
@@ -126,27 +127,40 @@ def extremes(df: DataFrame, measure: str, n: int, tiebreak: str) -> DataFrame:
 
 
 def ids_by_group(
-    df: DataFrame, by: str, identifier: str, separator: str = ", ", chunk: int = 100_000
+    df: DataFrame, by: str, identifier: str, separator: str = ", ", ids_per_part: int = 100_000
 ) -> DataFrame:
-    """Sorted ids of each group as text; repeats stay.
+    """Sorted ids of each group as text, in parts 0, 1, 2 ... of ``ids_per_part``; repeats stay.
 
-    A group of up to ``chunk`` ids is one row, part 0. A larger one is range-split
-    into numbered parts that follow on from each other, so no task gathers it whole.
+    Repeats are counted before the shuffle. The distinct ids are range-partitioned, sorted
+    and written; an id's place in its group is its place in the written part and the ids of
+    the parts before, so a part's text is the only thing a task ever gathers.
     """
-    ids = df.select(by, identifier)
-    sizes = ids.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    listing = F.array_join(F.array_sort(F.collect_list(identifier)), separator).alias("ids")
-    sized = ids.join(sizes, by)
-    small = sized.where(F.col("_n") <= chunk).groupBy(by).agg(listing)
-    split = (
-        sized.where(F.col("_n") > chunk)
-        .repartitionByRange(by, identifier)
-        .withColumn("_part", F.spark_partition_id())
-        .groupBy(by, "_part")
-        .agg(listing)
+    counted = df.groupBy(by, identifier).agg(F.count(F.lit(1)).alias("_n")).where(F.col(identifier).isNotNull())
+    written = stored(
+        counted.repartitionByRange(by, identifier).withColumn("_part", F.spark_partition_id()), "ids"
     )
-    return small.select(by, F.lit(0).alias("part"), "ids").unionByName(
-        split.select(by, F.col("_part").alias("part"), "ids")
+    per_part = Window.partitionBy("_part", by)
+    so_far = per_part.orderBy(identifier).rowsBetween(Window.unboundedPreceding, 0)
+    sizes = written.groupBy("_part", by).agg(F.sum("_n").alias("_size"))
+    earlier = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        F.col("_part").alias("_at_part"), F.col(by).alias("_at_group"),
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
+    )
+    same = (F.col("_part") == F.col("_at_part")) & F.col(by).eqNullSafe(F.col("_at_group"))
+    placed = (
+        written.withColumn("_until", F.sum("_n").over(so_far))
+        .join(offsets, same)
+        .withColumn("_end", F.col("_before") + F.col("_until"))
+        .withColumn("_start", F.col("_end") - F.col("_n"))
+    )
+    number = F.sequence(F.floor(F.col("_start") / ids_per_part), F.floor((F.col("_end") - 1) / ids_per_part))
+    cut = placed.select(by, identifier, "_start", "_end", F.explode(number).alias("part"))
+    copies = F.least("_end", (F.col("part") + 1) * ids_per_part) - F.greatest("_start", F.col("part") * ids_per_part)
+    listed = F.array_sort(F.collect_list(F.struct(F.col(identifier).alias("id"), copies.cast("int").alias("n"))))
+    text = F.transform(listed, lambda x: F.array_repeat(x["id"].cast("string"), x["n"]))
+    return cut.groupBy(by, F.col("part").cast("int").alias("part")).agg(
+        F.array_join(F.flatten(text), separator).alias("ids")
     )
 
 

@@ -138,11 +138,19 @@ def test_spread(animals):
 
 def test_large_id_groups_come_in_parts(animals):
     seen = plan.sightings(animals, SPIKY)
-    parts = stats.ids_by_group(seen, "yr", "site_code", chunk=1)
-    joined = {}
-    for yr, part, ids in sorted(rows(parts)):
-        joined.setdefault(yr, []).extend(ids.split(", "))
-    assert joined == {2010: ["A", "A"], 2012: ["A", "B"]}
+    parts = stats.ids_by_group(seen, "yr", "site_code", ids_per_part=1)
+    assert sorted(rows(parts)) == [(2010, 0, "A"), (2010, 1, "A"), (2012, 0, "A"), (2012, 1, "B")]
+
+
+def test_id_parts_are_full_and_in_order(spark):
+    ids = [(g, f"id{(i * 37) % 50:02d}") for g in ("x", "y", None) for i in range(83)] + [("x", "hot")] * 40
+    df = spark.createDataFrame(ids, "g string, i string").repartition(5)
+    got = {(r["g"], r["part"]): r["ids"].split(", ") for r in stats.ids_by_group(df, "g", "i", ids_per_part=10).collect()}
+    for group in ("x", "y", None):
+        wanted = sorted(i for g, i in ids if g == group)
+        parts = [got[group, p] for p in range(-(-len(wanted) // 10))]
+        assert [len(p) for p in parts[:-1]] == [10] * (len(parts) - 1)
+        assert sum(parts, []) == wanted
 
 
 def test_yearly_trend_needs_both_sides(spark, animals, cover):
