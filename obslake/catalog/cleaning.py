@@ -11,7 +11,9 @@ from obslake.catalog.registry import Tables, query, r, rounded
 from obslake.functions.text import (
     MONTH_NAMES, clean_text, has_repeated_dots, kilograms_to_tonnes, month_start, to_number,
 )
-from obslake.operators.cleaning import shallow, split_rejects, structurally_sound, with_required
+from obslake.operators.cleaning import (
+    dropped_for_keys, shallow, split_rejects, structurally_sound, with_required,
+)
 from obslake.plans import season_catch
 from obslake.session import spread, stored
 from obslake.sources.html_tables import html_tables
@@ -69,12 +71,17 @@ BLANKS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F
 
 
 @query(
-    f"""SELECT doc_id, trim(regexp_replace(replace(replace('*' || text || chr(8203) || ' *', chr(8203), ''), '*', ''),
-       '{BLANKS}', ' ', 'g')) AS cleaned FROM documents"""
+    f"""SELECT doc_id, 'office 1' || chr(8260) || '2 Quota 2007 ' || trim(regexp_replace(
+       replace(replace('*' || text || chr(8203) || ' *', chr(8203), ''), '*', ''), '{BLANKS}', ' ', 'g')) AS cleaned
+FROM documents"""
 )
 def q_text_clean(t: Tables) -> DataFrame:
-    """Whole documents normalised, without zero-width marks, asterisks and odd blanks."""
-    marked = F.concat(F.lit("*"), "text", F.lit("​"), F.lit(" *"))
+    """Whole documents normalised, without zero-width marks, asterisks and odd blanks.
+
+    Each begins with a ligature, a fraction and full-width letters and digits.
+    """
+    forms = F.lit("o\ufb03ce \u00bd \uff31\uff55\uff4f\uff54\uff41 \uff12\uff10\uff10\uff17 *")
+    marked = F.concat(forms, "text", F.lit("\u200b"), F.lit(" *"))
     return t.documents.select("doc_id", clean_text(marked).alias("cleaned"))
 
 
@@ -135,6 +142,15 @@ def q_required_keys(t: Tables) -> DataFrame:
     return with_required(visits(t), ["event_id", "c_nationkey", "c_mktsegment"])
 
 
+@query(
+    f"""WITH {JOINED_SQL} SELECT count(*) AS n_rows,
+       count(*) FILTER (WHERE event_id IS NULL OR c_nationkey IS NULL OR c_mktsegment IS NULL) AS n_dropped FROM visits"""
+)
+def q_dropped_for_keys(t: Tables) -> DataFrame:
+    """How many rows a required key costs."""
+    return dropped_for_keys(visits(t), ["event_id", "c_nationkey", "c_mktsegment"])
+
+
 @query(
     """SELECT page_id, 0 AS table_no, 0 AS row_no, 'Page|Address|Length' AS cells FROM pages
 UNION ALL

@@ -58,6 +58,20 @@ def q_range_edge(t: Tables) -> DataFrame:
     return panel.range_edge(t.lineitem, "l_extendedprice", ship_year(), is_seen())
 
 
+@query(
+    f"""SELECT count(*) AS n_records, count(DISTINCT {SHIP_YEAR}) AS n_years, count(DISTINCT l_suppkey) AS n_places,
+       CAST(min({SHIP_YEAR}) AS INTEGER) AS first_year, CAST(max({SHIP_YEAR}) AS INTEGER) AS last_year,
+       {r("CAST(SUM(" + amount("l_extendedprice") + ") AS DOUBLE) / count(*)", 4)} AS mean_price,
+       {r("CAST(count(*) FILTER (WHERE l_linestatus = 'O') AS DOUBLE) / count(*)", 6)} AS confounded_share
+FROM lineitem WHERE {SEEN_SQL}"""
+)
+def q_sightings_caption(t: Tables) -> DataFrame:
+    """One row of numbers about all returned lines."""
+    seen = t.lineitem.where(is_seen()).withColumns({"price": money("l_extendedprice"), "yr": ship_year()})
+    caption = panel.sightings_caption(seen, "l_suppkey", "yr", ["price"], F.col("l_linestatus") == "O")
+    return rounded(rounded(caption, 4, "mean_price"), 6, "confounded_share")
+
+
 SIGHTINGS_SQL = f"""
 seen AS (
   SELECT l_suppkey, s_nationkey, {SHIP_YEAR} AS yr, SUM({amount("l_quantity")}) AS n_seen

@@ -22,7 +22,10 @@ REPEATED_DOTS = r"\.{2,}"
 
 @F.pandas_udf(T.StringType())
 def nfkc(values: pd.Series) -> pd.Series:
-    """Unicode compatibility normalisation, which Spark has no built-in for."""
+    """Unicode compatibility normalisation, which Spark has no built-in for.
+
+    Value by value: Arrow's kernel of that name leaves letters and accents apart.
+    """
     return values.map(lambda v: unicodedata.normalize("NFKC", v), na_action="ignore")
 
 

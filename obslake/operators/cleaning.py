@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,12 @@ def with_required(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=list(required))
 
 
+def dropped_for_keys(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """How many rows there are, and how many ``with_required`` drops."""
+    lacking = reduce(or_, [F.col(c).isNull() for c in required])
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(lacking).alias("n_dropped"))
+
+
 def structurally_sound(
     region: tuple[str, str],
     present: Sequence[str],

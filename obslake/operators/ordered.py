@@ -188,7 +188,7 @@ def _last_rows(ranged: DataFrame, group: Sequence[str], value: str, order_by: Se
         last = {c: F.max_by(c, order) for c in kept if c not in group and c != order}
         return ranged.groupBy(*group).agg(F.max(order).alias(order), *[m.alias(c) for c, m in last.items()])
     latest = ranged.groupBy(*group).agg(F.max(order).alias("_latest"))
-    late = _join_null_safe(ranged.select(*kept), latest, group).where(F.col(order).eqNullSafe(F.col("_latest")))
+    late = join_null_safe(ranged.select(*kept), latest, group).where(F.col(order).eqNullSafe(F.col("_latest")))
     last = F.max_by(F.struct(value, *order_by), F.struct(*ties)).alias("_last")
     rest = [F.col("_last")[c].alias(c) for c in kept if c not in group]
     return late.groupBy(*group).agg(last).select(*group, *rest)
@@ -254,7 +254,7 @@ def _rows_before(ranged: DataFrame, by: Sequence[str], size: Column) -> DataFram
     )
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     same = [left[key].eqNullSafe(renamed[f"_r_{key}"]) for key in keys]
     return left.join(renamed, reduce(and_, same)).drop(*[f"_r_{k}" for k in keys])
@@ -295,7 +295,7 @@ def exact_quantiles(
             lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in_range")),
         )
     )
-    nearby = _join_null_safe(ranged.select(*by, RANGE, value), wanted.drop("_ranks", "_in_range"), [*by, RANGE])
+    nearby = join_null_safe(ranged.select(*by, RANGE, value), wanted.drop("_ranks", "_in_range"), [*by, RANGE])
     counts = nearby.groupBy(*by, RANGE, "_before", "_rows", value).agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(*by, RANGE).orderBy(value)
     until = F.col("_before") + F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))

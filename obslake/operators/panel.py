@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -62,6 +63,26 @@ def sightings(df: DataFrame, place: Sequence[str], year: Column, present: Column
     return df.where(present).groupBy(*place, year.alias("yr")).agg(F.sum(total).alias("n_seen"))
 
 
+def sightings_caption(
+    seen: DataFrame, place: str, year: str, position: Sequence[str], confounded: Column
+) -> DataFrame:
+    """What a map of sightings says below it, in one row.
+
+    Records, distinct years and places, first and last year, the mean of each coordinate,
+    and the share of records with a confounded position.
+    """
+    means = [(F.sum(c) / F.count(c)).cast("double").alias(f"mean_{c}") for c in position]
+    return seen.agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count_distinct(year).alias("n_years"),
+        F.count_distinct(place).alias("n_places"),
+        F.min(year).alias("first_year"),
+        F.max(year).alias("last_year"),
+        *means,
+        F.try_divide(F.count_if(confounded), F.count(F.lit(1))).alias("confounded_share"),
+    )
+
+
 def conditional_sums(total: str, conditions: Mapping[str, Column]) -> list[Column]:
     """One sum per condition; rows outside it add zero."""
     return [
@@ -90,9 +111,13 @@ def anchored_panel(
 ) -> DataFrame:
     """One row per key present in any part, with the measures of all parts.
 
-    Each part holds one row per key, so stacking the parts and folding the stack gives
-    the same rows as joining every part to the union of their keys, without the joins.
+    Each part must hold one row per key, so that stacking the parts and folding the stack
+    gives the same rows as joining every part to the union of their keys, without the
+    joins. Two parts with a measure of the same name are refused.
     """
+    named = Counter(c for part in parts for c in part.columns if c not in key)
+    if shared := sorted(c for c, n in named.items() if n > 1):
+        raise ValueError(f"more than one part has {', '.join(shared)}")
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part, allowMissingColumns=True)

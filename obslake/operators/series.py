@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from obslake.functions.calendar import day_of, epoch_years, month_of, near_edge
 from obslake.functions.numbers import half_even, half_up, mean, percent
 from obslake.operators.ordered import (
-    Ranges, balanced_ranges, lag_in_order, row_index, running_count,
+    Ranges, balanced_ranges, join_null_safe, lag_in_order, row_index, running_count,
 )
 
 
@@ -105,9 +105,16 @@ def rolling_mean(
     numbered exactly, cut into blocks, and each block borrows the rows before it.
     """
     if calendar_strict:
-        months = F.year(order) * 12 + F.month(order)
-        window = Window.partitionBy(*by).orderBy(months).rangeBetween(1 - rows, 0)
-        return df.withColumn(out, half_up(F.avg(value).over(window), 2))
+        month = F.year(order) * 12 + F.month(order)
+        if ranges is None:
+            window = Window.partitionBy(*by).orderBy(month).rangeBetween(1 - rows, 0)
+            return df.withColumn(out, half_up(F.avg(value).over(window), 2))
+        # Rows become months first: a series has a bounded number of those.
+        per_month = df.groupBy(*by, month.alias("_month")).agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+        window = Window.partitionBy(*by).orderBy("_month").rangeBetween(1 - rows, 0)
+        smooth = mean(F.sum("_sum").over(window), F.sum("_n").over(window))
+        smoothed = per_month.select(*by, "_month", half_up(smooth, 2).alias(out))
+        return join_null_safe(df.withColumn("_month", month), smoothed, [*by, "_month"]).drop("_month")
     if ranges is None:
         window = Window.partitionBy(*by).orderBy(order).rowsBetween(1 - rows, 0)
         return df.withColumn(out, half_up(F.avg(value).over(window), 2))
@@ -181,8 +188,12 @@ def consecutive_runs(
     unflagged = ~F.coalesce(F.col(flag), F.lit(False))
     in_order = Window.partitionBy(*by).orderBy(order)
     if calendar_strict:
-        place = F.row_number().over(in_order)
-        grouped = df.where(F.col(flag)).withColumn("_run", F.unix_date(order) - place)
+        flagged = df.where(F.col(flag))
+        if ranges is None:
+            placed = flagged.withColumn("_place", F.row_number().over(in_order))
+        else:
+            placed = row_index(flagged, by, order, "_place", ranges)
+        grouped = placed.withColumn("_run", F.unix_date(order) - F.col("_place"))
     elif ranges is None:
         gaps = F.count_if(unflagged).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
         grouped = df.withColumn("_run", gaps).where(F.col(flag))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from obslake.operators import ordered
+from obslake.operators import ordered, series
 from tests.conftest import same
 
 RANGES = [
@@ -139,3 +139,21 @@ def test_quantiles_keep_groups_without_values(spark):
     near = ordered.exact_quantiles(df, ["g"], "v", {"p": 0.5}, approx=True).collect()
     assert sorted(map(tuple, near)) == [("a", 1.0), ("b", None)]
     assert ordered.exact_quantiles(df.where("g = 'b'"), [], "v", {"p": 0.5}).collect()[0]["p"] is None
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_calendar_strict_over_ranges(spark, parts):
+    """With ranges a series is cut as well, and the results stay those of plain windows."""
+    n = F.col("id")
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (n + F.floor(n / 9) * 2).cast("int"))
+    days = spark.range(400).select(
+        day.alias("day"), (n % 2).alias("who"), (n % 7 != 3).alias("warm"), (n * 37 % 100).cast("double").alias("v")
+    )
+    ranges = ordered.balanced_ranges(days, "day", parts)
+    runs = [
+        series.consecutive_runs(days, "day", "warm", {"top": F.max("v")}, 1, ["who"], r, calendar_strict=True)
+        for r in (None, ranges)
+    ]
+    assert same(*runs) and runs[0].count() > 20
+    means = [series.rolling_mean(days, "day", "v", 3, "m", ["who"], r, calendar_strict=True) for r in (None, ranges)]
+    assert same(*means)
