@@ -1,7 +1,8 @@
 """Analytics for observational data on Spark DataFrames.
 
-Every operator takes DataFrames, column names and parameters and returns a lazy
-DataFrame. Domain constants (species, depths, site lists, bounds) are arguments.
+Every operator takes DataFrames, column names and parameters and returns a DataFrame.
+Most are lazy; those that must know sizes or cut a lineage run jobs when called (the README
+lists them). Domain constants (species, depths, site lists, bounds) are arguments.
 """
 
 import sys

@@ -12,7 +12,7 @@ from obslake.functions.text import (
     MONTH_NAMES, clean_text, has_repeated_dots, kilograms_to_tonnes, month_start, to_number,
 )
 from obslake.operators.cleaning import (
-    dropped_for_keys, shallow, split_rejects, structurally_sound, with_required,
+    dropped_for_keys, mark_parsed, shallow, structurally_sound, with_required,
 )
 from obslake.plans import season_catch
 from obslake.session import spread, stored
@@ -63,8 +63,7 @@ def q_month_parse(t: Tables) -> DataFrame:
         .otherwise(F.concat(month_name("o_orderdate"), F.lit(" "), year, F.lit(" (final)")))
     )
     dated = t.orders.select("o_orderkey", month_start(label).alias("month_date"))
-    good, rejects = split_rejects(dated, "month_date")
-    return good.withColumn("parsed", F.lit(True)).unionByName(rejects.withColumn("parsed", F.lit(False)))
+    return mark_parsed(dated, "month_date", "parsed")
 
 
 BLANKS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{1C}-\x{1F}]+"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -261,6 +262,37 @@ def q_csv_roundtrip(t: Tables) -> DataFrame:
     return found.withColumn("s_acctbal", F.round("s_acctbal", 2))
 
 
+@query("SELECT doc_id, text FROM documents WHERE text <> ''")
+def q_line_breaks_csv(t: Tables) -> DataFrame:
+    """Whole documents, line breaks and quotes included, through CSV and back."""
+    path = new_path(t.spark, "texts")
+    rows = t.documents.select("doc_id", "text").where("text <> ''")
+    tables.write_csv(rows, path, line_breaks=True)
+    return delimited.read_csv(t.spark, path, rows.schema, line_breaks=True)
+
+
+@query(
+    """SELECT c_custkey, c_nationkey, CASE c_custkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS origin
+FROM customer"""
+)
+def q_three_sources(t: Tables) -> DataFrame:
+    """Customers dealt to three sources that are read under one contract."""
+    folder = new_path(t.spark, "sources")
+    names = ["a", "b", "c"]
+    for i, name in enumerate(names):
+        exported_lines(t.customer.where(F.col("c_custkey") % 3 == i), f"{folder}/{name}", "c_custkey", GLOSSARY)
+    read = delimited.read_sources(
+        t.spark, {n: f"{folder}/{n}" for n in names}, {n: CUSTOMER_FIELDS for n in names}
+    )
+    typed_rows = [
+        typed(read[n], {"c_custkey": ("c_custkey", "bigint"), "c_nationkey": ("c_nationkey", "int")}).withColumn(
+            "origin", F.lit(n)
+        )
+        for n in names
+    ]
+    return reduce(DataFrame.unionByName, typed_rows)
+
+
 @query(
     """SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INT) AS season FROM orders
 UNION ALL

@@ -81,9 +81,9 @@ WHERE o.last_order IS NULL OR c.c_name IS NULL"""
 )
 def q_not_null(t: Tables) -> DataFrame:
     """Customers without a required last order date in one season."""
-    season = t.orders.where(F.year("o_orderdate") == 1998)
-    last = season.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.max("o_orderdate").alias("last_order")
+    in_season = F.when(F.year("o_orderdate") == 1998, F.col("o_orderdate"))
+    last = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.max(in_season).alias("last_order")
     )
     joined = t.customer.join(last, "c_custkey", "left")
     return quality.missing_rows(joined, ["last_order", "c_name"]).select("c_custkey", "c_name")
@@ -118,10 +118,9 @@ GROUP BY ALL"""
 )
 def q_coverage_left(t: Tables) -> DataFrame:
     """Orders per customer in one season, customers without any included."""
-    season = t.orders.where(F.year("o_orderdate") == 1998)
-    fact = season.select(F.col("o_custkey").alias("c_custkey"))
+    fact = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderdate")
     dim = t.customer.select("c_custkey", "c_name")
-    return quality.coverage(dim, fact, ["c_custkey"], "n_orders")
+    return quality.coverage(dim, fact, ["c_custkey"], "n_orders", F.year("o_orderdate") == 1998)
 
 
 @query(

@@ -152,7 +152,10 @@ def q_yearly_trend_inner(t: Tables) -> DataFrame:
     sites = t.supplier.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("l_suppkey")
     )
-    lines = panel.at_sites(t.lineitem, sites, "l_suppkey").withColumn("quantity", money("l_quantity"))
+    counted = t.lineitem.groupBy("l_suppkey", "l_returnflag", "l_linestatus", ship_year().alias("yr")).agg(
+        F.sum(money("l_quantity")).alias("quantity")
+    )
+    lines = panel.at_sites(counted, sites, "l_suppkey")
     sums = panel.conditional_sums(
         "quantity",
         {
@@ -164,7 +167,7 @@ def q_yearly_trend_inner(t: Tables) -> DataFrame:
     cover = t.orders.withColumn("price", money("o_totalprice"))
     urgent = panel.conditional_mean("price", F.col("o_orderpriority") == "1-URGENT")
     trend = panel.yearly_trend(
-        lines, cover, ship_year(), F.year("o_orderdate"), sums, urgent.alias("urgent_mean")
+        lines, cover, F.col("yr"), F.year("o_orderdate"), sums, urgent.alias("urgent_mean")
     )
     return rounded(doubles(trend, "returned", "accepted", "open_lines"), 4, "urgent_mean")
 

@@ -25,6 +25,11 @@ def split_rejects(df: DataFrame, parsed: str) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(parsed).isNotNull()), df.where(F.col(parsed).isNull())
 
 
+def mark_parsed(df: DataFrame, parsed: str, out: str) -> DataFrame:
+    """Say of each row whether ``parsed`` worked, without splitting and parsing twice."""
+    return df.withColumn(out, F.col(parsed).isNotNull())
+
+
 def with_required(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Drop rows lacking any required key."""
     return df.dropna(how="any", subset=list(required))

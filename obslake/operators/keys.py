@@ -77,11 +77,13 @@ def unresolved(resolved: DataFrame, surrogate: str) -> DataFrame:
 
 
 def require_resolved(resolved: DataFrame, surrogate: str) -> DataFrame:
-    """Refuse to go on with rows that found no dimension row."""
-    missing = unresolved(resolved, surrogate).first()[0]
-    if missing:
-        raise ValueError(f"{missing} rows failed to match a {surrogate}")
-    return resolved
+    """Refuse rows that found no dimension row: reading one ends the job with an error.
+
+    The check is part of the plan, so the join behind it runs once.
+    """
+    refused = F.raise_error(F.lit(f"a row failed to match a {surrogate}"))
+    kept = F.when(F.col(surrogate).isNull(), refused.cast(resolved.schema[surrogate].dataType))
+    return resolved.withColumn(surrogate, kept.otherwise(F.col(surrogate)))
 
 
 def absent_rows(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -53,9 +53,14 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, key: Sequence[str]) -> DataFram
     return group_counts(fact, key).join(dim.select(*key), list(key), "left_anti")
 
 
-def coverage(dim: DataFrame, fact: DataFrame, key: Sequence[str], out: str) -> DataFrame:
-    """Every dimension row with its number of fact rows, zero included."""
-    counts = group_counts(fact, key, out)
+def coverage(
+    dim: DataFrame, fact: DataFrame, key: Sequence[str], out: str, counted: Column | None = None
+) -> DataFrame:
+    """Every dimension row with its number of fact rows (that meet ``counted``), zero included."""
+    if counted is None:
+        counts = group_counts(fact, key, out)
+    else:
+        counts = fact.groupBy(*key).agg(F.count_if(counted).alias(out))
     return dim.join(counts, list(key), "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 

@@ -22,10 +22,16 @@ def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, comment: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    comment: str | None = None,
+    line_breaks: bool = False,
 ) -> DataFrame:
     """Typed CSV with a header line. The header of every file must agree with the schema.
 
+    ``line_breaks`` reads quoted line breaks inside values; a file then is one split.
+
     Column pruning is off in the parser: a pruned read, a count for one, would only
     compare the columns it needs and let a wrong header pass.
     """
@@ -34,11 +40,17 @@ def read_csv(
     reader = reader.option("dateFormat", "yyyy-MM-dd").option("recursiveFileLookup", True)
     if comment:
         reader = reader.option("comment", comment)
+    if line_breaks:
+        reader = reader.option("multiLine", True).option("escape", '"')
     return reader.csv(path)
 
 
 def read_below_preamble(
-    spark: SparkSession, path: str | list[str], header: Sequence[str], comment: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    header: Sequence[str],
+    comment: str | None = None,
+    line_breaks: bool = False,
 ) -> DataFrame:
     """Verbatim text rows below a preamble of unknown length; blank becomes NULL.
 
@@ -46,11 +58,14 @@ def read_below_preamble(
     Otherwise the rows start after the first line that equals the header: that line
     lies in the first split of its file, so each task can tell by itself where its
     rows begin, and files stay splittable. A file without the header is an error.
-    Quoted line breaks inside a value are not supported on this second way.
+    ``line_breaks`` reads quoted line breaks inside values on the first way, one split a
+    file; the second way works line by line and refuses it.
     """
     schema = text_schema(header)
     if comment:
-        return read_csv(spark, path, schema, comment)
+        return read_csv(spark, path, schema, comment, line_breaks)
+    if line_breaks:
+        raise ValueError("quoted line breaks need a preamble of comments")
     lines = _lines(spark, path).mapInArrow(_rows_after(list(header)), "value string")
     return lines.where(F.trim("value") != "").select(_parsed(schema).alias("_row")).select("_row.*")
 

@@ -62,20 +62,30 @@ def load_once(df: DataFrame, path: str) -> bool:
     return True
 
 
-def insert_if_absent(df: DataFrame, path: str, key: Sequence[str]) -> None:
+def insert_if_absent(
+    df: DataFrame, path: str, key: Sequence[str], partition: str | None = None
+) -> None:
     """Append the rows whose key the table lacks. Running it again adds nothing.
 
-    The write is one atomic job; two writers at once on the same table are not
-    guarded against.
+    ``partition``, a key column the table is partitioned by, limits the look at the table
+    to the partitions that the rows touch; their values reach the driver. Readers may see
+    a part of an append while it is written, and two writers at once on the same table
+    are not guarded against.
     """
     present = existing_rows(df, path)
+    if present is not None and partition:
+        touched = [r[0] for r in df.select(partition).distinct().collect()]
+        present = present.where(F.col(partition).isin(touched) | F.col(partition).isNull())
     append_table(keep_first(df, key) if present is None else absent_rows(df, present, key), path)
 
 
-def write_csv(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
-    """CSV with a header; ``sort`` orders rows across the part files."""
-    ordered = df.orderBy(*sort) if sort else df
-    ordered.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, sort: Sequence[str] = (), line_breaks: bool = False) -> None:
+    """CSV with a header; ``sort`` orders rows across the part files.
+
+    ``line_breaks`` doubles quotes inside values, for ``read_csv`` with the same setting.
+    """
+    writer = (df.orderBy(*sort) if sort else df).write.mode("overwrite").option("header", True)
+    (writer.option("escape", '"') if line_breaks else writer).csv(path)
 
 
 def export_queries(queries: Mapping[str, DataFrame], folder: str) -> dict[str, str]:

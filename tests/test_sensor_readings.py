@@ -6,6 +6,7 @@ import datetime as dt
 from collections import defaultdict
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from obslake.operators import keys, quality
@@ -88,10 +89,10 @@ def test_star_schema(fact, dim, clean):
     assert rows(dim.select("deployment_id", "deployment_code", "nominal_depth_m"))[0][0:2] == (1, "D1")
     assert dim.count() == 4 and fact.count() == clean.count()
     assert plan.constraints(fact, dim).where("violations > 0").isEmpty()
-    assert keys.require_resolved(fact, "deployment_id") is fact
+    assert same(keys.require_resolved(fact, "deployment_id"), fact)
     orphaned = plan.readings(clean, dim.where("deployment_id < 4"))
-    with pytest.raises(ValueError, match="deployment_id"):
-        keys.require_resolved(orphaned, "deployment_id")
+    with pytest.raises(PySparkException, match="deployment_id"):
+        keys.require_resolved(orphaned, "deployment_id").collect()
     report = plan.constraints(orphaned, dim)
     assert report.where("rule = 'deployment present'").first()["violations"] > 0
 
