@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.llm import blocks as B
@@ -136,7 +136,7 @@ def near_duplicate_groups(
     told = answers.select("_block", "_owner", "_data", *no_node).unionByName(read)
 
     profile_schema = pa.schema([
-        ("_node", pa.int64()), ("_n", pa.int64()), ("_l", pa.int32()), ("_central", pa.float64()),
+        ("_node", pa.int64()), ("_n", pa.int64()), ("_m", pa.int64()), ("_l", pa.int32()), ("_central", pa.float64()),
         ("_prefix", pa.list_(pa.int64())), ("_shared", pa.list_(pa.int64())),
     ])
 
@@ -158,75 +158,102 @@ def near_duplicate_groups(
                 continue
             order = np.lexsort((mine, held))
             mine, held = mine[order], held[order]
-            choice = prefix_choice(held, percent)
-            length = n - -(-percent * n // 100) + choice
-            shared = held > 1
-            prefix = mine[:length][shared[:length]]
-            if len(prefix) >= 1:
-                out.append((node_of[key], n, choice, float(np.log(held).sum() / n), prefix.view(np.int64), mine[shared].view(np.int64)))
-        return _rows(profile_schema, list(zip(*out)) if out else [[]] * 6)
+            shared, least = held > 1, -(-percent * n // 100)
+            if shared.sum() >= least:  # else no set holds enough of its shingles
+                choice = prefix_choice(held, percent)
+                length = n - least + choice
+                prefix = mine[:length][shared[:length]]
+                out.append((node_of[key], n, int(shared.sum()), choice, float(np.log(held).sum() / n), prefix.view(np.int64), mine[shared].view(np.int64)))
+        return _rows(profile_schema, list(zip(*out)) if out else [[]] * 7)
 
     profiles = stored(
         dealt.cogroup(told.groupBy("_block")).applyInArrow(
-            profile, "_node long, _n long, _l int, _central double, _prefix array<long>, _shared array<long>"
+            profile, "_node long, _n long, _m long, _l int, _central double, _prefix array<long>, _shared array<long>"
         ),
         "shingle-profiles",
     )
-    postings = profiles.select("_node", "_n", "_l", "_central", F.explode("_prefix").alias("_token"))
+    postings = profiles.select("_node", "_n", "_m", "_l", "_central", F.explode("_prefix").alias("_token"))
     shared_by = postings.groupBy("_token").agg(F.min("_node").alias("_low"), F.max("_node").alias("_high"))
     postings = stored(
         postings.join(shared_by.where("_low <> _high").select("_token"), "_token"), "shingle-postings"
     )
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The links among candidate pairs (_a, _b)."""
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Candidate pairs (_a, _b) with the sizes of both sets and of their intersection."""
         sides = [profiles.select(F.col("_node").alias(c), F.col("_n").alias(c + "n"), F.col("_shared").alias(c + "s")) for c in ("_a", "_b")]
-        both = F.size(F.array_intersect("_as", "_bs"))
-        return (
-            pairs.join(sides[0], "_a").join(sides[1], "_b")
-            .where(both * 100 >= (F.col("_an") + F.col("_bn") - both) * percent)
-            .select("_a", "_b")
-        )
+        both = F.size(F.array_intersect("_as", "_bs")).cast("long")
+        joined = pairs.join(sides[0], "_a").join(sides[1], "_b")
+        return joined.select("_a", "_b", "_an", "_bn", both.alias("_both"))
+
+    similar = F.col("_both") * 100 >= (F.col("_an") + F.col("_bn") - F.col("_both")) * percent
 
-    def sizes_fit(a: str, b: str):
-        return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+    def may_link(x: str, y: str) -> Column:
+        """Whether both sets have enough shared shingles for an intersection of the size it takes."""
+        needed = (F.col(f"{x}._n") + F.col(f"{y}._n")) * percent
+        return F.least(f"{x}._m", f"{y}._m", f"{x}._n", f"{y}._n") * (100 + percent) >= needed
 
     # Every node against the most central node it shares a posting list with.
-    centre = postings.groupBy("_token").agg(F.max(F.struct("_central", "_node", "_n")).alias("_c"))
+    centre = postings.groupBy("_token").agg(F.max(F.struct("_central", "_node", "_n", "_m")).alias("_c"))
+    centre = centre.select("_token", "_c.*")
     star = (
-        postings.join(centre, "_token")
-        .where((F.col("_node") != F.col("_c._node")) & sizes_fit("_n", "_c._n"))
-        .groupBy("_node", F.col("_c._node").alias("_b"), F.col("_c._central").alias("_central"))
+        postings.alias("x").join(centre.alias("y"), "_token")
+        .where((F.col("x._node") != F.col("y._node")) & may_link("x", "y"))
+        .groupBy("x._node", F.col("y._node").alias("_b"), "y._central")
         .agg(F.count(F.lit(1)).alias("_times"))
         .groupBy(F.col("_node").alias("_a"))
         .agg(F.max(F.struct("_times", "_central", "_b")).alias("_best"))
         .select("_a", "_best._b")
     )
-    star_links = stored(verified(star), "star-links")
+    star = stored(compared(star), "star-pairs")
+    star_links = star.where(similar).select("_a", "_b")
     together = stored(components(star_links), "star-components")
 
     # All other candidate pairs: of each list, only nodes of different components meet.
-    placed = postings.join(together, "_node", "left").withColumn("_component", F.coalesce("_component", "_node"))
-    placed = stored(placed.select("_token", "_node", "_n", "_l", "_component"), "placed-postings")
-    mixed = (
-        placed.groupBy("_token", "_component").agg(F.count(F.lit(1)).alias("_nodes"))
-        .groupBy("_token").agg(F.max(F.struct("_nodes", "_component")).alias("_most"), F.count(F.lit(1)).alias("_parts"))
-        .where("_parts > 1").select("_token", F.col("_most._component").alias("_major"))
+    known = star.select(F.col("_a").alias("_node"), F.col("_b").alias("_centre"), F.col("_both").alias("_with"))
+    placed = postings.join(together, "_node", "left").join(known, "_node", "left").select(
+        "_token", "_node", "_n", "_m", "_l", F.coalesce("_component", "_node").alias("_component"),
+        F.coalesce("_centre", "_node").alias("_centre"), F.coalesce("_with", "_m").alias("_with"),
+    )
+    placed = stored(placed, "placed-postings")
+
+    different = F.col("x._component") != F.col("y._component")
+    # two nodes outside the major component would meet twice
+    once = (F.col("y._component") == F.col("y._major")) | (F.col("x._node") < F.col("y._node"))
+    pair = [F.least("x._node", "y._node").alias("_a"), F.greatest("x._node", "y._node").alias("_b")]
+
+    def beside_major(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        """Rows of keys with several components, and those of them outside the key's largest one."""
+        parts = (
+            rows.groupBy(key, "_component").agg(F.count(F.lit(1)).alias("_nodes"))
+            .groupBy(key).agg(F.max(F.struct("_nodes", "_component")).alias("_most"), F.count(F.lit(1)).alias("_parts"))
+            .where("_parts > 1").select(key, F.col("_most._component").alias("_major"))
+        )
+        meeting = rows.join(parts, key)
+        return meeting, meeting.where(F.col("_component") != F.col("_major"))
+
+    # Nodes compared with the same centre: the intersection is at most what both share with
+    # it and what either shares with anyone beyond it.
+    beyond = [F.col(f"{side}._m") - F.col(f"{side}._with") for side in "xy"]
+    most = F.least("x._with", "y._with") + F.least(*beyond)
+    enough = most * (100 + percent) >= (F.col("x._n") + F.col("y._n")) * percent
+    around, few = beside_major(placed.drop("_token", "_l").distinct(), "_centre")
+    near = (
+        few.alias("x").join(around.alias("y"), "_centre")
+        .where(different & once & may_link("x", "y") & enough)
+        .select(*pair)
     )
-    meeting = placed.join(mixed, "_token")
-    few = meeting.where(F.col("_component") != F.col("_major"))
-    met = (
-        few.alias("x").join(meeting.alias("y"), "_token")
-        .where(F.col("x._component") != F.col("y._component"))
-        # two nodes outside the major component would meet twice
-        .where((F.col("y._component") == F.col("y._major")) | (F.col("x._node") < F.col("y._node")))
-        .where(sizes_fit("x._n", "y._n"))
-        .groupBy(F.least("x._node", "y._node").alias("_a"), F.greatest("x._node", "y._node").alias("_b"))
+    # Nodes of different centres meet in posting lists, often enough to be candidates.
+    listed, few = beside_major(placed, "_token")
+    far = (
+        few.alias("x").join(listed.alias("y"), "_token")
+        .where(different & once & may_link("x", "y") & (F.col("x._centre") != F.col("y._centre")))
+        .groupBy(*pair)
         .agg(F.count(F.lit(1)).alias("_times"), F.min(F.least("x._l", "y._l")).alias("_l"))
         .where("_times >= _l")
         .select("_a", "_b")
     )
-    links = star_links.unionByName(verified(met))
+    met = near.unionByName(far)
+    links = star_links.unionByName(compared(met).where(similar).select("_a", "_b"))
     grouped = components(links)
 
     full = documents.where("_n > 0")
