@@ -49,13 +49,15 @@ def op7_mix_sources(t: Tables):
                  CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
                  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
                  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+                 len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echoes,
                  coalesce(c.n, 0) AS n_repeat_words
           FROM d LEFT JOIN c ON c.doc_id = d.doc_id),
-    f AS (SELECT doc_id, n_words, word_chars, n_symbols, n_repeat_words, len(ls) AS n_lines,
+    f AS (SELECT doc_id, n_words, word_chars, n_symbols, n_repeat_words, n_echoes, len(ls) AS n_lines,
                  CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
                  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines
+           NOT (base_failed OR 100 * n_symbols > 10 * n_words
+                OR n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines OR 100 * n_echoes > 30 * n_words
                 OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
     FROM f
     """

@@ -18,7 +18,9 @@ from obslake.llm.words import SPACE, text_or_empty, together, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_echoes", "n_repeat_words",
+)
 
 
 @dataclass(frozen=True)
@@ -34,9 +36,10 @@ RULES = (
     Rule("few_words", 0, "n_words < 10"),
     Rule("repeated_words", 1, "100 * n_repeat_words > 20 * n_words"),
     Rule("symbols", 2, "100 * n_symbols > 10 * n_words"),
-    Rule("repeated_lines", 3, "100 * n_dup_lines > 30 * n_lines"),
+    Rule("repeated_lines", 3, "n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines"),
     Rule("short_words", 4, "word_chars < 2 * n_words"),
     Rule("long_words", 5, "word_chars > 20 * n_words"),
+    Rule("echoes", 6, "100 * n_echoes > 30 * n_words"),
 )
 BASE = ("few_words", "repeated_words")
 POLICIES: Mapping[str, Sequence[str]] = {
@@ -54,7 +57,8 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the measurements of each whole text.
 
     Words are runs without ASCII white space; ``n_repeat_words`` counts words inside
-    five-word windows found at least twice in the text. Null text counts as empty, all
+    five-word windows found at least twice in the text, ``n_echoes`` words equal to the one
+    before. Null text counts as empty, all
     measurements 0. Columns named like the measurements are replaced.
     """
     own = [c for c in df.columns if c not in MEASURES]
@@ -80,6 +84,7 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
             "n_symbols",
             F.size("_spoken").cast("bigint").alias("n_lines"),
             (F.size("_spoken") - F.size(F.array_distinct("_spoken"))).cast("bigint").alias("n_dup_lines"),
+            F.size(F.filter("_words", lambda w, i: w.eqNullSafe(F.get("_words", i - 1)))).cast("bigint").alias("n_echoes"),
             F.when(F.size("_words") >= WINDOW, windows).alias("_windows"),
         )
     )
