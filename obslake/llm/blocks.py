@@ -73,11 +73,11 @@ def chained(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mixed(a * U(0x9E3779B97F4A7C15) + b)
 
 
-_BASE = 0xD1342543DE82EF95
-_INVERSE = pow(_BASE, -1, 1 << 64)
+BASE = 0xD1342543DE82EF95
+INVERSE = pow(BASE, -1, 1 << 64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE = mixed(np.arange(1, 257, dtype=U))
+BYTE_HASH = mixed(np.arange(1, 257, dtype=U))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -108,8 +108,8 @@ def word_hashes(texts: Sequence[bytes], piece: int = 1 << 20) -> tuple[np.ndarra
         if len(b) and not space[-1]:
             last = np.append(last, len(b))[: len(first)]
         total = np.zeros(len(b) + 1, U)
-        np.cumsum(_BYTE[_LOWER[b]] * powers(_BASE, len(b)), out=total[1:])
-        found.append(mixed((total[last] - total[first]) * powers(_INVERSE, len(b))[first]))
+        np.cumsum(BYTE_HASH[_LOWER[b]] * powers(BASE, len(b)), out=total[1:])
+        found.append(mixed((total[last] - total[first]) * powers(INVERSE, len(b))[first]))
         ends = np.cumsum([len(t) + 1 for t in texts[begin:end]])
         counts[begin:end] = np.diff(np.searchsorted(first, ends), prepend=0)
         begin = end
@@ -248,11 +248,16 @@ def _narrow(values: np.ndarray) -> np.ndarray:
     return values.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if largest <= np.iinfo(t).max))
 
 
-def answered(asked: DataFrame, summary: Callable[[np.ndarray, np.ndarray], tuple[int, ...]] | None = None) -> DataFrame:
+def answered(
+    asked: DataFrame,
+    summary: Callable[[np.ndarray, np.ndarray], tuple[int, ...]] | None = None,
+    reply: Callable[[int, np.ndarray], np.ndarray] | None = None,
+) -> DataFrame:
     """Add up the values of equal keys and send every block the totals of the keys it asked for.
 
     ``asked`` has rows (_owner, _block, _data). The answer has rows (_block, _owner, _data);
-    with ``summary``, a row of block -1 per owner holds numbers over all its keys.
+    ``reply`` turns an owner's number and totals, in the order of its keys, into what is sent
+    instead of the totals; with ``summary``, a row of block -1 per owner holds numbers over all its keys.
     """
     schema = pa.schema([("_block", pa.int32()), ("_owner", pa.int32()), ("_data", pa.binary()), ("_summary", pa.list_(pa.int64()))])
 
@@ -266,9 +271,10 @@ def answered(asked: DataFrame, summary: Callable[[np.ndarray, np.ndarray], tuple
             values.append(np.array(counts, np.int64).T.reshape(len(first) + len(steps), len(counts)))
             sizes.append(len(keys[-1]))
         distinct, where, sums = distinct_keys(np.concatenate(keys), np.concatenate(values))
+        sent = reply(owner, sums) if reply else sums
         out, at = [], 0
         for block, size in zip(blocks, sizes):
-            totals = sums[where[at : at + size]]
+            totals = sent[where[at : at + size]]
             out.append((block, owner, packed([_narrow(column) for column in totals.T]), None))
             at += size
         if summary:

@@ -1,12 +1,14 @@
 """Removal of long repeated byte strings by distributed prefix doubling.
 
-Every position has the rank of the string that starts there; two ranks at an offset give
-the rank of the string twice as long, and positions whose rank is unique drop out. The
-first ranks, of half the length, are compared only at sampled positions: each window of
-``length`` bytes is spoken for by the least-hashed half-length string inside it, so equal
-windows are spoken for by equal strings, and a window whose spokesman occurs once is
-unique. At the positions that remain, pairs of ranks half a length apart are sorted over
-the cluster, and a position whose pair occurs again is a repeat.
+Every position has a rank for the string that starts there. The pair of the ranks at a
+position and at an offset is the rank of a longer string: all pairs are sorted over the
+cluster and ranked anew, and positions whose rank is unique drop out. The offsets grow
+from a quarter of the length to half of it; what is left then is past the threshold, a
+repeat of the whole length. The first ranks are hashes that each task names for itself.
+
+Few positions need to take part. Each window of ``length`` bytes is spoken for by the
+least-hashed half-length string inside it, so equal windows are spoken for by equal
+strings, and windows whose spokesman occurs once are unique from the start.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +32,7 @@ PIECE = 1 << 20  # windows looked at together
 def _rank(body: np.ndarray, length: int) -> np.ndarray:
     """A 64-bit name of the string of ``length`` bytes at each position."""
     total = np.zeros(len(body) + 1, U)
-    np.cumsum(B._BYTE[body] * _forward(len(body)), out=total[1:])
+    np.cumsum(B.BYTE_HASH[body] * _forward(len(body)), out=total[1:])
     ends = total[length:] - total[: len(total) - length]
     return B.mixed(ends * _backward(len(ends)))
 
@@ -44,11 +47,11 @@ def _table(name: str, base: int, n: int) -> np.ndarray:
 
 
 def _forward(n: int) -> np.ndarray:
-    return _table("forward", B._BASE, n)
+    return _table("forward", B.BASE, n)
 
 
 def _backward(n: int) -> np.ndarray:
-    return _table("backward", B._INVERSE, n)
+    return _table("backward", B.INVERSE, n)
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -77,8 +80,12 @@ def spokesmen(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def window_ranks(text: bytes, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
-    """Ranks of the whole windows from ``first`` to ``last``: pairs of ranks half a length apart."""
+def first_pairs(text: bytes, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
+    """Sort keys of the strings of ``length`` bytes at all positions of the intervals.
+
+    Each is the pair of two ranks of half that length, the second at the offset where the
+    string's other half begins.
+    """
     half, found = -(-length // 2), []
     for a, b in zip(first.tolist(), last.tolist()):
         for at in range(a, b + 1, PIECE):
@@ -88,6 +95,29 @@ def window_ranks(text: bytes, first: np.ndarray, last: np.ndarray, length: int)
     return np.concatenate(found) if found else np.zeros(0, U)
 
 
+def next_pairs(
+    ranks: np.ndarray, ranked: tuple[np.ndarray, np.ndarray], first: np.ndarray, last: np.ndarray, offset: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sort keys of rank pairs ``offset`` apart, and which positions still have them.
+
+    ``ranks`` holds the ranks of all positions of the ``ranked`` intervals, 0 for unique
+    ones; asked for are the positions of the intervals from ``first`` to ``last``.
+    """
+    starts, stops = ranked
+    before = np.cumsum(stops - starts + 1) - (stops - starts + 1)
+    at = _positions(first, last)
+    inside = np.searchsorted(starts, at, side="right") - 1
+    place = before[inside] + at - starts[inside]
+    a, b = ranks[place], ranks[place + offset]
+    alive = (a > 0) & (b > 0)
+    return B.chained(a[alive].astype(U), b[alive].astype(U)), alive
+
+
+def _positions(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    sizes = last - first + 1
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
+
+
 def joined_up(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Neighbouring intervals as one."""
     new = np.ones(len(first), bool)
@@ -98,9 +128,7 @@ def joined_up(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def covered(first: np.ndarray, last: np.ndarray, repeats: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs [start, end) of bytes covered by the repeated windows."""
-    sizes = last - first + 1
-    at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
-    at = at[repeats]
+    at = _positions(first, last)[repeats]
     if not len(at):
         return at, at
     begin = np.ones(len(at), bool)
@@ -193,39 +221,83 @@ def repeated_spans(
             spans = slice(stops[i] - n_spans[i], stops[i])
             yield key, whole[ends[i] - n_bytes[i] : ends[i]], first[spans], last[spans]
 
-    def pairs_of(data: bytes) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
-        items = list(texts_left(data))
-        ranks = np.concatenate([window_ranks(body, first, last, length) for _, body, first, last in items])
-        return items, *B.distinct_keys(ranks, np.ones((len(ranks), 1), np.int64))
+    half = -(-length // 2)
+    offset = length - half
+
+    def ones(keys: np.ndarray) -> np.ndarray:
+        return np.ones((len(keys), 1), np.int64)
+
+    def half_keys(items: list[tuple]) -> tuple:
+        """The positions whose half-length ranks are needed, with their sort keys."""
+        spans = [joined_up(first, last + offset) for _, _, first, last in items]
+        keys = np.concatenate([first_pairs(body, *span, half) for (_, body, _, _), span in zip(items, spans)])
+        return spans, *B.distinct_keys(keys, ones(keys))
 
-    def ask_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask_halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, data in zip(batch.column("_block").to_pylist(), batch.column("_left").to_pylist()):
-                _, keys, _, held = pairs_of(data)
+                _, keys, _, held = half_keys(list(texts_left(data)))
                 yield from table(questions(number, keys, held, 64)).to_batches()
 
-    repeats = B.answered(left.mapInArrow(ask_pairs, asked_names)).select("_block", "_owner", "_data")
+    def ranked(owner: int, sums: np.ndarray) -> np.ndarray:
+        """New ranks in sort order, 0 for strings that occur once; no two owners give the same."""
+        again = sums[:, 0] > 1
+        return np.where(again, np.cumsum(again) * owners + owner, 0)[:, None]
+
+    ranks = stored(
+        B.answered(left.mapInArrow(ask_halves, asked_names), reply=ranked).select("_block", "_owner", "_data"),
+        "half-ranks",
+    )
+
+    def whole_keys(data: bytes, answers: pa.Table) -> tuple:
+        """The texts, which of their windows still have two ranks, and the pairs' sort keys."""
+        items = list(texts_left(data))
+        spans, _, where, _ = half_keys(items)
+        new = B.totals_in_order(answers, 1)[where, 0]
+        found, end = [], 0
+        for (_, _, first, last), span in zip(items, spans):
+            n = int((span[1] - span[0] + 1).sum())
+            found.append(next_pairs(new[end : end + n], span, first, last, offset))
+            end += n
+        keys = np.concatenate([f[0] for f in found])
+        return items, [f[1] for f in found], *B.distinct_keys(keys, ones(keys))
+
+    def ask_wholes(candidates: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        for number, data in zip(candidates.column("_block").to_pylist(), candidates.column("_left").to_pylist()):
+            _, _, keys, _, held = whole_keys(data, answers)
+            if len(keys):
+                out += questions(number, keys, held, 64)
+        return table(out)
+
+    by_block = left.groupBy("_block")
+    asked = by_block.cogroup(ranks.groupBy("_block")).applyInArrow(ask_wholes, asked_names)
+    repeats = B.answered(asked).select("_block", "_owner", "_data")
+    answers = ranks.withColumn("_whole", F.lit(False)).unionByName(repeats.withColumn("_whole", F.lit(True)))
     results = pa.schema([
         ("_k1", pa.int64()), ("_k2", pa.int64()), ("_kept", pa.string()),
         ("_spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
     ])
 
-    def remove(candidates: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
+    def remove(candidates: pa.Table, answers: pa.Table) -> pa.Table:
+        out, whole = [], answers.column("_whole")
         for data in candidates.column("_left").to_pylist():
-            items, _, where, _ = pairs_of(data)
-            again = B.totals_in_order(right, 1)[where, 0] > 1
+            items, alive, _, where, _ = whole_keys(data, answers.filter(pc.invert(whole)))
+            totals = B.totals_in_order(answers.filter(whole), 1)
+            again = totals[where, 0] > 1 if len(where) else np.zeros(0, bool)
             end = 0
-            for key, body, first, last in items:
-                n = int((last - first + 1).sum())
-                starts, ends = (x.tolist() for x in covered(first, last, again[end : end + n], length))
+            for (key, body, first, last), living in zip(items, alive):
+                n = int(living.sum())
+                repeated = np.zeros(len(living), bool)
+                repeated[living] = again[end : end + n]
                 end += n
+                starts, ends = (x.tolist() for x in covered(first, last, repeated, length))
                 if starts:
                     kept = hashlib.sha256(without(body, starts, ends)).hexdigest()
                     out.append((*key, kept, [dict(start=a, end=b) for a, b in zip(starts, ends)]))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, results)], schema=results)
 
-    found = left.groupBy("_block").cogroup(repeats.groupBy("_block")).applyInArrow(
+    found = by_block.cogroup(answers.groupBy("_block")).applyInArrow(
         remove, f"_k1 long, _k2 long, _kept string, _spans {_SPANS}"
     )
     copied = long.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
