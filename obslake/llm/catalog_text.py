@@ -27,7 +27,6 @@ def op5_language_id(t: Tables):
 @query()
 def op10_toxicity(t: Tables):
     held_out = fold("doc_id", 5) == 0
-    labelled = t.documents.select("doc_id", "text").join(t.labels.where(~held_out).select("doc_id", "toxic"), "doc_id")
-    model = toxicity.train(labelled)
+    model = toxicity.train(t.documents, t.labels.where(~held_out))
     scored = toxicity.score_documents(t.documents.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")

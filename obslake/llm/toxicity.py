@@ -22,6 +22,7 @@ from obslake.llm.worker import memory
 from obslake.session import stored
 
 CACHED_WORDS = 400_000
+COUNTED_TOGETHER = 200  # documents whose terms a task holds at a time
 WORDS = re.compile(r"[^\W\d_]+")
 # ASCII bytes that are no letters become spaces; what else parts words is found per word.
 _LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -99,15 +100,21 @@ class _Matcher:
     def __init__(self, model: ToxicityModel) -> None:
         self.root = build_trie(model.terms, model.stems)
         self.fuzzy_from = model.fuzzy_from
-        entries = [*model.terms, *model.stems]
-        # Within one edit, one of the first two pairs of letters is intact and hardly moved.
-        self.heads = {e[:2] for e in entries}
-        self.next = {e[2:4] for e in entries}
+        self.terms, self.stems = frozenset(model.terms), frozenset(model.stems)
+        self.stem_lengths = sorted({len(stem) for stem in model.stems})
+        # Within one edit of an entry, one of its first two parts is intact and hardly moved.
+        self.part = max(1, model.fuzzy_from // 2)
+        fuzzy = [e for e in (*model.terms, *model.stems) if len(e) >= model.fuzzy_from]
+        self.heads = {e[: self.part] for e in fuzzy}
+        self.tails = {e[self.part : 2 * self.part] for e in fuzzy}
         self.seen: set[bytes] = set()
         self.found: dict[bytes, dict[str, int]] = {}
 
     def edits(self, word: str) -> int | None:
-        near = word[:2] in self.heads or not self.next.isdisjoint((word[1:3], word[2:4], word[3:5]))
+        if word in self.terms or any(word[:n] in self.stems for n in self.stem_lengths):
+            return 0
+        n = self.part
+        near = word[:n] in self.heads or any(word[k : k + n] in self.tails for k in (n - 1, n, n + 1))
         found = match(word, self.root, self.fuzzy_from) if near else None
         return found and found[1]
 
@@ -152,16 +159,20 @@ def _features(text: str | None, matcher: _Matcher, window: int) -> tuple[float,
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of either label that hold each word or stem; a stem ends in '*'."""
-    found: tuple[Counter, Counter] = Counter(), Counter()
+    def rows(found: tuple[Counter, Counter]) -> pa.RecordBatch:
+        terms = list(found[0].keys() | found[1].keys())
+        columns = [pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in found)]
+        return pa.record_batch(columns, names=["term", "clean", "toxic"])
+
     for batch in batches:
-        for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = set(WORDS.findall((text or "").lower()))
-            stems = {w[:n] + "*" for w in words for n in STEMS if len(w) >= n}
-            found[bool(toxic)].update(words)
-            found[bool(toxic)].update(stems)
-    terms = list(found[0] | found[1])
-    columns = [pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in found)]
-    yield pa.record_batch(columns, names=["term", "clean", "toxic"])
+        for at in range(0, batch.num_rows, COUNTED_TOGETHER):
+            found: tuple[Counter, Counter] = Counter(), Counter()
+            part = batch.slice(at, COUNTED_TOGETHER)
+            for toxic, text in zip(part.column(0).to_pylist(), part.column(1)):
+                words = set(WORDS.findall((text.as_py() or "").lower()))
+                found[bool(toxic)].update(words)
+                found[bool(toxic)].update({w[:n] + "*" for w in words for n in STEMS if len(w) >= n})
+            yield rows(found)
 
 
 def _lexicon(counts: Mapping[str, int], least: float) -> tuple[tuple[str, ...], tuple[str, ...]]:
@@ -200,10 +211,11 @@ def _fit(features: np.ndarray, labels: np.ndarray, ridge: float = 0.05, rounds:
 
 def train(
     df: DataFrame,
+    labels: DataFrame | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
     toxic: str = "toxic",
-    sample: int = 6000,
+    sample: int = 4000,
     entries: int = 512,
     least_docs: int = 5,
     least_share: float = 0.01,
@@ -213,21 +225,24 @@ def train(
 ) -> ToxicityModel:
     """Lexicon and weights from at most ``sample`` rows of each label, chosen by a hash of the id.
 
-    ``df`` holds text and a 0/1 label; rows with a null label are left out. An entry must
+    ``df`` holds ids and texts, ``labels`` ids and 0/1 labels (by default ``df`` does);
+    rows with a null label are left out. An entry must
     be in ``least_docs`` toxic rows, in ``least_share`` of them, and be ``odds`` times as frequent there as in clean
     ones; the ``entries`` most frequent are kept. Without both labels every score is the
     share of toxic rows.
     """
-    rows = df.where(F.col(toxic).isNotNull()).select(
-        F.col(doc_id).alias("_id"), (F.col(toxic) > 0).cast("int").alias("_toxic"), F.col(text).alias("_text")
+    marked = (df if labels is None else labels).where(F.col(toxic).isNotNull()).select(
+        F.col(doc_id).alias("_id"), (F.col(toxic) > 0).cast("int").alias("_toxic")
     )
-    drawn = None
-    for label in (0, 1):
-        ids = rows.where(F.col("_toxic") == label).select("_id", "_toxic").orderBy(F.xxhash64("_id"), "_id").limit(sample)
-        drawn = ids if drawn is None else drawn.unionByName(ids)
-    chosen = rows.join(drawn.distinct(), ["_id", "_toxic"], "left_semi").select("_toxic", "_text")
-    chosen = stored(chosen, "toxicity-sample")
-    sizes = {r["_toxic"]: r["n"] for r in drawn.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    drawn = [
+        marked.where(F.col("_toxic") == label).orderBy(F.xxhash64("_id"), "_id").limit(sample).distinct()
+        for label in (0, 1)
+    ]
+    # At most twice ``sample`` ids: small enough to send to every task, so no text is shuffled.
+    ids = F.broadcast(drawn[0].unionByName(drawn[1]))
+    texts = df.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    chosen = stored(texts.join(ids, "_id").select("_toxic", "_text"), "toxicity-sample")
+    sizes = {r["_toxic"]: r["n"] for r in chosen.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     clean, bad = sizes.get(0, 0), sizes.get(1, 0)
     if not clean or not bad:
         share = bad / max(1, clean + bad)
