@@ -28,7 +28,9 @@ from obslake.llm.worker import memory
 from obslake.llm.words import text_or_empty
 from obslake.session import stored
 
-CACHED_WORDS = 700_000
+CACHED_WORDS = 600_000
+HANDED_ON = 1 << 20  # tokens of pieces that are handed on together
+PLACED_TOGETHER = 1000  # pieces
 END = b"\0\0\0\0"
 MARKS = b".,!?;:"
 
@@ -261,8 +263,15 @@ _PIECES = (
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool):
     part, seen = TaskContext.get().partitionId(), Counter()
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
+    names = [f.split()[0] for f in _PIECES.split(", ")]
+
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*out) if out else [()] * 8
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
     for batch in batches:
-        out = []
+        out, tokens = [], 0
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             body = token_bytes(text.as_py(), path) + END
             for number, start in enumerate(range(0, len(body), 4 * capacity)):
@@ -270,10 +279,11 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_id
                 length = len(ids) // 4
                 out.append((doc, number, start // 4, length, zlib.crc32(ids), ids if with_ids else None, part, seen[length]))
                 seen[length] += 1
-        columns = list(zip(*out)) if out else [()] * 8
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
-        names = [f.split()[0] for f in _PIECES.split(", ")]
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+                tokens += length
+            if tokens >= HANDED_ON:
+                yield rows(out)
+                out, tokens = [], 0
+        yield rows(out)
 
 
 def pack(
@@ -314,7 +324,7 @@ def pack(
     )
 
     def place(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
+        for batch in (b.slice(at, PLACED_TOGETHER) for b in batches for at in range(0, b.num_rows, PLACED_TOGETHER)):
             length = batch.column("length").to_numpy()
             number = batch.column("_number").to_numpy()
             sequence, offset = np.empty_like(number), np.empty_like(number)
