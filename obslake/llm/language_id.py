@@ -40,7 +40,7 @@ def _trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     bucket = (code * np.uint32(0x9E3779B1)) >> np.uint32(16)
     # The trigram that starts at a word's last letter would hold the next word's first.
     spans_two = b[1:-1] == 32
-    starts = np.flatnonzero(b[:-2] == 32)[:-1]
+    starts = np.flatnonzero(b[:-2] == 32)
     keep = ~spans_two
     shift = np.cumsum(keep) - keep
     return bucket[keep].astype(np.int64), shift[starts]

@@ -69,6 +69,23 @@ def test_odd_texts_have_a_language_or_none(spark, model, odd, empty):
     assert {r["lang_pred"] for r in language_id.detect(odd, nothing).collect()} == {"und"}
 
 
+@pytest.mark.parametrize(("text", "words"), [("a", 1), ("hello", 1), ("Avec.", 1), ("hello big world", 3), (" 12 ", 0)])
+def test_every_word_has_a_start(text, words):
+    bucket, starts = language_id._trigrams(text)
+    assert len(starts) == words and (starts < len(bucket)).all()
+
+
+def test_one_word_texts_have_a_language(spark, model):
+    rows = [(1, "sleeps", "en"), (2, "Schläft.", "de"), (3, "paresseux!", "fr"), (4, "winternächte", "de"), (5, "12.", "en")]
+    docs = spark.createDataFrame([(i, t, l, "s", len(t)) for i, t, l in rows], SHAPE)
+    found = {r["doc_id"]: r for r in language_id.detect(docs, model).collect()}
+    assert all((found[i]["lang_pred"], found[i]["score"]) == (l, 1) for i, _, l in rows[:4])
+    assert (found[5]["lang_pred"], found[5]["score"]) == ("und", 0)
+    # The last word counts on its own, not as part of the one before.
+    last = language_id.detect(spark.createDataFrame([(1, "schläft paresseux")], "doc_id long, text string"), model, penalty=0.0)
+    assert {p["lang"]: p["share"] for p in last.first()["languages"]} == pytest.approx({"de": 0.5, "fr": 0.5}, abs=0.05)
+
+
 def test_labels_are_no_input(spark, model):
     rows = [(1, prose("de", 50, random.Random(1)), "en", "x", 0)]
     got = language_id.detect(spark.createDataFrame(rows, SHAPE), model).first()

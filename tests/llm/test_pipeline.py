@@ -8,6 +8,7 @@ import corpus_pipeline
 from obslake.llm import language_id
 from obslake.session import stored
 from tests.conftest import SMALL
+from tests.llm.conftest import SHAPE
 from tests.llm.test_corpus import grouped, words
 from tests.llm.test_native import filled
 
@@ -73,6 +74,12 @@ def test_stages(spark, texts):
         assert sum(r["piece"] == 0 for r in pieces[i]) == 1
 
 
+def test_one_word_texts_pass_the_language_stage(spark):
+    rows = [(i, text, "en", "s", len(text)) for i, text in enumerate(["hello", "Hello.", "hello world", "12", "..."])]
+    kept = corpus_pipeline.known_language(spark, spark.createDataFrame(rows, SHAPE), SMALL)
+    assert sorted(r["text"] for r in kept.collect()) == ["Hello.", "hello", "hello world"]
+
+
 def test_run_is_its_stages(spark, texts):
     first = corpus_pipeline.run(spark, SMALL).collect()
     again = corpus_pipeline.run(spark, SMALL).collect()
