@@ -52,9 +52,9 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them.
 
-    ``taken`` words of a document of ``size`` words are whole copies and, for the rest, a
-    copy that ends with the last word taken. Documents of which nothing is taken go, and
-    so do those without a word or an id. Ids repeat with the copies (rows that share an id are taken
+    Documents are drawn whole, once or more often; only where the quota of a shard (about a
+    million words of a source) ends, its last document has a copy that ends with the last
+    word taken. Documents of which nothing is taken go, and so do those without a word or an id. Ids repeat with the copies (rows that share an id are taken
     alike); n_chars follows the text.
     """
     docs = docs.select(*COLUMNS)

@@ -1,9 +1,9 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
-Each source is cut into shards by a seeded hash, and each shard into blocks of equally
-many words. The blocks of the mix are dealt to the shards by the highest quotients
-target / (2 * seats + 1); within a shard a seeded draw says which blocks are taken, and
-how often. Built-in functions only; the driver sees sums, never sources or documents.
+Each source is cut into shards by a seeded hash. The mix is dealt to the shards in blocks
+of equally many words by the highest quotients target / (2 * seats + 1); a shard fills its
+quota with whole documents in a seeded order, round after round. Built-in functions only;
+the driver sees sums, never sources or documents.
 """
 
 from __future__ import annotations
@@ -106,8 +106,10 @@ def mix_sources(
 ) -> DataFrame:
     """Per row of ``df``: its id, source, size, source_size, target of its source, and taken words.
 
-    ``taken`` counts the words of the blocks drawn, repeats included, and never exceeds
-    ``most`` times the size. The draw depends on ids, sizes and ``seed`` alone.
+    ``taken`` counts the words drawn, repeats included, and never exceeds ``most`` times the
+    size. It is a multiple of the size, so documents are drawn whole, except for the one
+    document of a shard at which its quota ends. The draw depends on ids, sizes and ``seed``
+    alone.
 
     Null text has size 0 and nothing is taken of it; a null source is a source, the last.
     Null and repeated ids are rows of their own; equal rows are interchangeable. Other
@@ -143,36 +145,21 @@ def mix_sources(
     total = cells.agg(F.sum("_cell_target")).first()[0] or 0
     quotas = apportion(cells, "_cell_target", "_most", max(round(total / block_words), 1), ["_source", "_shard"])
 
-    cell = Window.partitionBy("_source", "_shard")
-    drawn = F.row_number().over(cell.orderBy(F.xxhash64(F.lit(seed), "_source", "_shard", "_block"), "_block"))
-    blocks = (
-        quotas.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1)).alias("_block"))
-        .withColumn("_drawn", drawn)
-        .select(
-            "_source", "_shard", "_block",
-            (F.floor(F.col("_seats") / F.col("_blocks"))
-             + (F.col("_drawn") <= F.col("_seats") % F.col("_blocks")).cast("bigint")).alias("_times"),
-        )
-    )
-    end = F.sum("_size").over(
-        cell.orderBy(F.xxhash64(F.lit(seed + 1), "_id"), "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    placed = rows.where("_size > 0").withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_size"))
-    pieces = placed.withColumn(
-        "_block", F.explode(F.sequence(F.floor(F.col("_start") / block_words), F.floor((F.col("_end") - 1) / block_words)))
+    cell = Window.partitionBy("_source", "_shard").orderBy(F.xxhash64(F.lit(seed), "_id"), "_id", "_size")
+    placed = rows.where("_size > 0").withColumn(
+        "_start", F.sum("_size").over(cell.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")
     )
-    block = F.col("_a._block")
-    overlap = F.least("_end", (block + 1) * block_words) - F.greatest("_start", block * block_words)
-    same = F.col("_a._source").eqNullSafe(F.col("_b._source")) & (F.col("_a._shard") == F.col("_b._shard")) & (
-        F.col("_a._block") == F.col("_b._block")
-    )
-    taken = (
-        # Spark takes exploded rows for as few as it had before, and would broadcast the blocks.
-        pieces.alias("_a").join(blocks.alias("_b").hint("merge"), same)
-        .select("_a.*", (overlap * F.col("_times")).alias("_got"))
-        .groupBy("_source", "_shard", "_start", "_id", "_size", "_source_size", "_target")
-        .agg(F.sum("_got").cast("bigint").alias("_taken"))
-        .select("_id", "_source", "_size", "_source_size", "_target", "_taken")
+    # What each document gives whole times, and how many words of the next round the cell still takes.
+    rounds = quotas.select(
+        "_source", "_shard",
+        F.floor(F.col("_seats") / F.col("_blocks")).alias("_rounds"),
+        (F.col("_seats") % F.col("_blocks") * block_words).alias("_left"),
+    )
+    same = F.col("_a._source").eqNullSafe(F.col("_b._source")) & (F.col("_a._shard") == F.col("_b._shard"))
+    last = F.least(F.greatest(F.col("_left") - F.col("_start"), F.lit(0)), F.col("_size"))
+    taken = placed.alias("_a").join(rounds.alias("_b"), same).select(
+        "_id", "_a._source", "_size", "_source_size", "_target",
+        (F.col("_rounds") * F.col("_size") + last).cast("bigint").alias("_taken"),
     )
     none = rows.where("_size = 0").select(
         "_id", "_source", "_size", "_source_size", "_target", F.lit(0).cast("bigint").alias("_taken")

@@ -111,6 +111,20 @@ def test_mix_reaches_its_targets(spark):
     assert sorted((r["doc_id"], r["taken"]) for r in again) == sorted((r["doc_id"], r["taken"]) for r in found)
 
 
+def test_documents_are_drawn_whole(spark):
+    rows = [(i, " ".join(["w"] * (150 + 7 * i)), "abc"[i % 3]) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix_sources(df).collect()
+    parted = Counter(r["source"] for r in found if r["taken"] % r["size"])
+    assert max(parted.values(), default=0) <= 1  # one shard a source
+    times = {s: Counter(r["taken"] // r["size"] for r in found if r["source"] == s) for s in "abc"}
+    assert times["a"][0] >= 10 and times["a"][1] >= 10  # weight 1 of 6: about half the words
+    other = mixing.mix_sources(df, seed=8).collect()
+    drawn = [{r["doc_id"] for r in got if r["taken"]} for got in (found, other)]
+    assert drawn[0] != drawn[1]
+    assert sum(r["taken"] for r in found) == pytest.approx(sum(r["size"] for r in found), abs=64 * 3)
+
+
 def test_seats_are_those_of_the_highest_quotients(spark):
     targets = [53.0, 24.0, 24.0, 3.0, 0.5, 71.3]
     cells = spark.createDataFrame([(i, t, 12) for i, t in enumerate(targets)], "c long, t double, m long")

@@ -80,6 +80,14 @@ def test_one_word_texts_pass_the_language_stage(spark):
     assert sorted(r["text"] for r in kept.collect()) == ["Hello.", "hello", "hello world"]
 
 
+def test_the_mix_keeps_the_ends_of_documents(spark):
+    rows = [(i, " ".join(f"w{j}" for j in range(400)) + f" end{i}", "en", "abc"[i % 3], 0) for i in range(60)]
+    mix = corpus_pipeline.mixed(spark, spark.createDataFrame(rows, SHAPE), SMALL).collect()
+    for source in "abc":
+        texts = [r["text"] for r in mix if r["source"] == source]
+        assert sum(not t.split()[-1].startswith("end") for t in texts) <= 1 < len(texts)
+
+
 def test_run_is_its_stages(spark, texts):
     first = corpus_pipeline.run(spark, SMALL).collect()
     again = corpus_pipeline.run(spark, SMALL).collect()
