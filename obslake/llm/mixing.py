@@ -15,6 +15,8 @@ from obslake.llm.words import text_or_empty, word_count
 from obslake.operators.keys import number_rows
 from obslake.session import stored
 
+BLOCKS = 64  # of the smallest target at least, unless a block is one word
+
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
     """Per source its size, its weight and its target in words.
@@ -66,14 +68,15 @@ def apportion(cells: DataFrame, target: str, most: str, seats: int, order: list[
     if not total or seats <= 0:
         return cells.withColumn("_seats", F.lit(0).cast("bigint"))
     # Rounding errs by at most half a seat a row: the first divisor deals no seat too many,
-    # the second, lowered where rows are at their limit, deals enough.
+    # the second, lowered step by step where rows are at their limit, deals enough.
     sure = rounded(total / (seats - n / 2)) if seats > n / 2 else F.lit(0).cast("bigint")
-    divisor = total / (seats + n / 2)
+    spare = n / 2
     while True:
+        divisor = total / (seats + spare)
         dealt, limit = cells.agg(F.sum(rounded(divisor)), F.sum(most)).first()
         if dealt >= min(seats, limit):
             break
-        divisor *= 0.75
+        spare *= 2
     cells = cells.withColumns({"_sure": sure, "_highest": rounded(divisor)})
     left = seats - cells.agg(F.sum("_sure")).first()[0]
     claims = (
@@ -108,8 +111,8 @@ def mix_sources(
 
     ``taken`` counts the words drawn, repeats included, and never exceeds ``most`` times the
     size. It is a multiple of the size, so documents are drawn whole, except for the one
-    document of a shard at which its quota ends. The draw depends on ids, sizes and ``seed``
-    alone.
+    document of a shard at which its quota ends. Blocks have ``block_words`` words, or fewer
+    where a shard's target is small. The draw depends on ids, sizes and ``seed`` alone.
 
     Null text has size 0 and nothing is taken of it; a null source is a source, the last.
     Null and repeated ids are rows of their own; equal rows are interchangeable. Other
@@ -138,12 +141,15 @@ def mix_sources(
         cells.select(
             "_source", "_shard", "_cell_size",
             (F.col("_of") * F.col("_cell_size") / F.col("_whole")).alias("_cell_target"),
-            F.ceil(F.col("_cell_size") / block_words).alias("_blocks"),
-        ).withColumn("_most", F.col("_blocks") * most),
+        ),
         "mix-shards",
     )
-    total = cells.agg(F.sum("_cell_target")).first()[0] or 0
-    quotas = apportion(cells, "_cell_target", "_most", max(round(total / block_words), 1), ["_source", "_shard"])
+    total, least = cells.agg(F.sum("_cell_target"), F.min(F.when(F.col("_cell_target") > 0, F.col("_cell_target")))).first()
+    # A block is a small part of every shard's target, so that none is lost to rounding.
+    block = max(1, min(block_words, int((least or 0) // BLOCKS)))
+    cells = cells.withColumn("_most", F.ceil(F.col("_cell_size") * most / block))
+    quotas = apportion(cells, "_cell_target", "_most", max(round((total or 0) / block), 1), ["_source", "_shard"])
+    quota = F.least(F.col("_seats") * block, F.col("_cell_size") * most)
 
     cell = Window.partitionBy("_source", "_shard").orderBy(F.xxhash64(F.lit(seed), "_id"), "_id", "_size")
     placed = rows.where("_size > 0").withColumn(
@@ -152,8 +158,7 @@ def mix_sources(
     # What each document gives whole times, and how many words of the next round the cell still takes.
     rounds = quotas.select(
         "_source", "_shard",
-        F.floor(F.col("_seats") / F.col("_blocks")).alias("_rounds"),
-        (F.col("_seats") % F.col("_blocks") * block_words).alias("_left"),
+        F.floor(quota / F.col("_cell_size")).alias("_rounds"), (quota % F.col("_cell_size")).alias("_left"),
     )
     same = F.col("_a._source").eqNullSafe(F.col("_b._source")) & (F.col("_a._shard") == F.col("_b._shard"))
     last = F.least(F.greatest(F.col("_left") - F.col("_start"), F.lit(0)), F.col("_size"))

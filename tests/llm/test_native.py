@@ -125,6 +125,18 @@ def test_documents_are_drawn_whole(spark):
     assert sum(r["taken"] for r in found) == pytest.approx(sum(r["size"] for r in found), abs=64 * 3)
 
 
+def test_small_sources_reach_their_targets(spark):
+    words = {"a": 40, "b": 30, "c": 9000, "d": 21, "e": 60, "f": 130}
+    rows = [(i, " ".join(["w"] * (n // 2 + odd)), s) for i, (s, n, odd) in enumerate(
+        (s, n, odd * (n % 2)) for s, n in words.items() for odd in (0, 1)
+    )]
+    found = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1, 2, 3000)).collect()
+    targets = filled(words, (1, 2, 3000))
+    assert min(targets.values()) < 32
+    for source, target in targets.items():
+        assert sum(r["taken"] for r in found if r["source"] == source) == pytest.approx(target, abs=1.01)
+
+
 def test_seats_are_those_of_the_highest_quotients(spark):
     targets = [53.0, 24.0, 24.0, 3.0, 0.5, 71.3]
     cells = spark.createDataFrame([(i, t, 12) for i, t in enumerate(targets)], "c long, t double, m long")
