@@ -175,25 +175,42 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows(found)
 
 
-def _lexicon(counts: Mapping[str, int], least: float) -> tuple[tuple[str, ...], tuple[str, ...]]:
-    """Whole words, and the longest stems that keep nearly all documents of shorter ones."""
+def _lexicon(counts: Mapping[str, int], least: float, entries: int) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Whole words, and the longest stems that keep nearly all documents of shorter ones.
+
+    The ``entries`` in most documents are kept, counted once stems are merged.
+    """
     stems = {t[:-1]: n for t, n in counts.items() if t.endswith("*")}
     words = {t: n for t, n in counts.items() if not t.endswith("*")}
-    kept_stems, kept_words = [], []
+    longer: dict[str, list[str]] = {}
+    for stem in stems:
+        longer.setdefault(stem[:-1], []).append(stem)
+    begun: dict[str, list[str]] = {}
+    for word in words:
+        for n in STEMS:
+            if len(word) >= n:
+                begun.setdefault(word[:n], []).append(word)
+    kept_stems, kept_words = {}, {}
+
+    def covered(word: str) -> bool:
+        return any(word[:n] in kept_stems for n in STEMS)
+
     for stem in sorted(stems, key=len):
-        if any(stem.startswith(k) for k in kept_stems):
+        if covered(stem):
             continue
         n, best = stems[stem], stem
-        while longer := [s for s in stems if len(s) == len(best) + 1 and s.startswith(best) and stems[s] >= 0.9 * n]:
-            best = longer[0]
-        whole = [w for w in words if w.startswith(best) and words[w] >= 0.9 * n]
+        while more := [s for s in longer.get(best, ()) if stems[s] >= 0.9 * n]:
+            best = more[0]
+        whole = [w for w in begun.get(best, ()) if words[w] >= 0.9 * n]
         if whole:
-            kept_words.append(min(whole, key=len))
+            word = min(whole, key=len)
+            kept_words[word] = words[word]
         else:
-            kept_stems.append(best)
-    covered = tuple(sorted(set(kept_stems)))
-    rest = [w for w in words if words[w] >= least and not w.startswith(covered or ("\0",))]
-    return tuple(sorted({*kept_words, *rest})), covered
+            kept_stems[best] = stems[best]
+    kept_words |= {w: n for w, n in words.items() if n >= least and not covered(w)}
+    found = [(-n, w, kind) for kind, kept in enumerate((kept_words, kept_stems)) for w, n in kept.items()]
+    most = sorted(found)[:entries]
+    return tuple(tuple(sorted(w for _, w, k in most if k == kind)) for kind in (0, 1))
 
 
 def _fit(features: np.ndarray, labels: np.ndarray, ridge: float = 0.05, rounds: int = 50) -> np.ndarray:
@@ -215,10 +232,10 @@ def train(
     doc_id: str = "doc_id",
     text: str = "text",
     toxic: str = "toxic",
-    sample: int = 4000,
+    sample: int = 6000,
     entries: int = 512,
     least_docs: int = 5,
-    least_share: float = 0.01,
+    least_share: float = 0.001,
     odds: float = 20.0,
     fuzzy_from: int = 6,
     window: int = 6,
@@ -228,7 +245,7 @@ def train(
     ``df`` holds ids and texts, ``labels`` ids and 0/1 labels (by default ``df`` does);
     rows with a null label are left out. An entry must
     be in ``least_docs`` toxic rows, in ``least_share`` of them, and be ``odds`` times as frequent there as in clean
-    ones; the ``entries`` most frequent are kept. Without both labels every score is the
+    ones; of what is left once stems are merged, the ``entries`` most frequent are kept. Without both labels every score is the
     share of toxic rows.
     """
     marked = (df if labels is None else labels).where(F.col(toxic).isNotNull()).select(
@@ -255,10 +272,9 @@ def train(
         .where((F.col("toxic") >= least) & (F.col("toxic") * clean >= F.lit(odds) * bad * (F.col("clean") + 0.5)))
         .where(F.length("term") >= 4)
         .orderBy(F.col("toxic").desc(), "term")
-        .limit(entries)
         .collect()
     )
-    terms, stems = _lexicon({r["term"]: r["toxic"] for r in counts}, least)
+    terms, stems = _lexicon({r["term"]: r["toxic"] for r in counts}, least, entries)
     bare = ToxicityModel(terms, stems, (0.0,) * (len(FEATURES) + 1), fuzzy_from, window)
     seen = chosen.mapInArrow(_scorer(bare, "_text", features=True), "_toxic int, _features array<double>").toPandas()
     weights = _fit(np.array(seen["_features"].tolist()), seen["_toxic"].to_numpy(float))

@@ -141,6 +141,17 @@ def test_held_out_toxicity(spark):
     assert np.mean([r["predicted"] for r in bad]) > 0.5
 
 
+def test_rare_terms_and_stems_before_the_limit(spark):
+    """150 terms, each in under 1 % of the toxic rows; their stems do not use up the entries."""
+    rng = random.Random(6)
+    terms = ["".join(rng.choice("bcdfgjklmnpqvwxz") for _ in range(9)) for _ in range(150)]
+    rows = [(i, f"{prose('en', 10, rng)} {terms[i % 150]}", 1) for i in range(1800)]
+    rows += [(5000 + i, prose("en", 10, rng), 0) for i in range(1800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(df, entries=150)
+    assert set(model.terms) == set(terms) and not model.stems
+
+
 def test_misspelled_terms_and_odd_tables(spark, odd, empty):
     rng = random.Random(4)
     rows = [(i, prose("en", 30, rng) + (" worthless scoundrels" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(90)]
