@@ -117,14 +117,17 @@ def top_k(
     several vectors is never its own neighbour. Other columns do not matter. An empty
     table, or no query, gives an empty result.
     """
-    spark, keep = df.sparkSession, k + 1
+    spark = df.sparkSession
     rows = df.select(
         F.col(vec_id).cast("long").alias("_id"), F.col(vector).alias("_x"), F.coalesce(queries, F.lit(False)).alias("_query")
     ).where(F.col("_id").isNotNull() & usable(F.col("_x")))
     rows = stored(
         rows.select("_id", quantised(F.col("_x"), scale).alias("_v"), "_query").distinct(), "vectors"
     )
-    # Equal vectors are one candidate: nobody needs more than the k + 1 smallest ids of them.
+    # As many of the best rows as a query id has vectors may be its own.
+    own = rows.groupBy("_id").agg(F.max("_query").alias("_query"), F.count_distinct("_v").alias("_n"))
+    keep = k + (own.where("_query").agg(F.max("_n")).first()[0] or 0)
+    # Equal vectors are one candidate: nobody needs more than the ``keep`` smallest ids of them.
     nth = F.row_number().over(Window.partitionBy("_v").orderBy("_id"))
     smallest = (
         rows.select("_v", "_id").distinct().withColumn("_nth", nth).where(F.col("_nth") <= keep)

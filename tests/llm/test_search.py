@@ -41,6 +41,15 @@ def test_against_brute_force(spark, annulus):
     assert {tuple(r) for r in got.collect()} == brute(rows, lambda i: i % 10 == 0, 5, 256)
 
 
+def test_ids_with_many_vectors_get_all_their_hits(spark):
+    rng = random.Random(12)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(1, 60)]
+    rows += [(0, [5 + rng.random(), 5.0, 5.0, 5.0]) for _ in range(9)]  # their best hits are each other
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nearest.top_k(df, F.col("vec_id") == 0, pivots=3, annulus_rows=8, first=1).collect()
+    assert len(got) == 9 * 5 and {tuple(r) for r in got} == brute(rows, lambda i: i == 0, 5, 256)
+
+
 def test_few_candidates_and_odd_tables(spark):
     shape = "vec_id long, embedding array<float>"
     ask = F.col("vec_id") % 2 == 0
