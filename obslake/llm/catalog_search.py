@@ -1,11 +1,11 @@
-"""The query over exact top-k search."""
+"""The queries over embeddings: search and whitening."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from obslake.catalog.registry import Tables
-from obslake.llm import nearest
+from obslake.llm import nearest, polytope, whitening
 from obslake.llm.registry import query
 
 
@@ -25,3 +25,18 @@ from obslake.llm.registry import query
 )
 def op9_top_k(t: Tables):
     return nearest.top_k(t.embeddings, F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op12_nearest(t: Tables):
+    return polytope.nearest(t.embeddings, F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op13_whitening(t: Tables):
+    rows = whitening.whiten(t.embeddings)
+    each = F.posexplode("whitened").alias("_at", "_value")
+    return rows.select("vec_id", "n", "deviation", "explained", "identity_error", each).select(
+        "vec_id", (F.col("_at") + 1).alias("component"), "n", "deviation", F.col("_value").alias("whitened"),
+        F.col("explained")[F.col("_at")].alias("explained"), "identity_error",
+    )
