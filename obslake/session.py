@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python sees batches of bounded size, however long the texts are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
