@@ -16,6 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from obslake.llm.words import widened
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -202,8 +205,7 @@ def detect(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part_type = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
         for batch in batches:
-            at = batch.schema.get_field_index(text)
-            texts = batch.column(at).to_pylist()
+            texts = batch.column(own.index(text)).to_pylist()
             tags, scores, parts = [], [], []
             begin = held = 0
             for i, one in enumerate(texts):
@@ -216,9 +218,8 @@ def detect(
             new.append(pa.array([[dict(lang=a, share=b) for a, b in p] for p in parts], part_type))
             yield pa.record_batch([*batch.columns, *new], names=[*batch.schema.names, lang_pred, score, languages])
 
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*own).schema)
-    added = f"`{lang_pred}` string, `{score}` double, `{languages}` array<struct<lang:string,share:double>>"
-    return df.select(*own).mapInArrow(run, f"{shape}, {added}")
+    added = StructType.fromDDL(f"`{lang_pred}` string, `{score}` double, `{languages}` array<struct<lang:string,share:double>>")
+    return widened(df, own, run, added)
 
 
 def accepted(lang_pred: Column, score: Column, least_share: float = 0.5) -> Column:

@@ -28,9 +28,8 @@ from obslake.llm.worker import memory
 from obslake.llm.words import text_or_empty
 from obslake.session import stored
 
-CACHED_WORDS = 600_000
-HANDED_ON = 1 << 20  # tokens of pieces that are handed on together
-PLACED_TOGETHER = 1000  # pieces
+CACHED_WORDS = 200_000
+HANDED_ON = 1 << 18  # tokens of pieces that are handed on together
 END = b"\0\0\0\0"
 MARKS = b".,!?;:"
 
@@ -257,17 +256,17 @@ def token_bytes(text: str, path: str) -> bytes:
 
 
 _PIECES = (
-    "_id long, piece int, start long, length long, ids_crc32 long, ids binary, _part int, _nth long"
+    "_id long, piece int, start long, length long, ids_crc32 long, ids binary, _part int, _nth long, _row long"
 )
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool):
-    part, seen = TaskContext.get().partitionId(), Counter()
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
+    part, seen, row = TaskContext.get().partitionId(), Counter(), 0
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64())
     names = [f.split()[0] for f in _PIECES.split(", ")]
 
     def rows(out: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*out) if out else [()] * 8
+        columns = zip(*out) if out else [()] * len(kinds)
         return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     for batch in batches:
@@ -277,8 +276,9 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_id
             for number, start in enumerate(range(0, len(body), 4 * capacity)):
                 ids = body[start : start + 4 * capacity]
                 length = len(ids) // 4
-                out.append((doc, number, start // 4, length, zlib.crc32(ids), ids if with_ids else None, part, seen[length]))
+                out.append((doc, number, start // 4, length, zlib.crc32(ids), ids if with_ids else None, part, seen[length], row))
                 seen[length] += 1
+                row += 1
                 tokens += length
             if tokens >= HANDED_ON:
                 yield rows(out)
@@ -317,14 +317,14 @@ def pack(
     before = per_part.select(
         "length", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
+    # Ids never pass through Python again: places are found for numbers and joined to them.
+    own = [] if with_ids else [F.col("_id").alias(doc_id), "piece", "start", "ids_crc32"]
     numbered = pieces.join(before, ["length", "_part"]).select(
-        F.col("_id").alias(doc_id), "piece", "start", "length", "ids_crc32",
-        *(["ids"] if with_ids else []),
-        (F.col("_before") + F.col("_nth")).alias("_number"),
-    )
+        *own, "length", "_part", "_row", (F.col("_before") + F.col("_nth")).alias("_number")
+    )
 
     def place(batches: Iterator[pa.RecordBatch]):
-        for batch in (b.slice(at, PLACED_TOGETHER) for b in batches for at in range(0, b.num_rows, PLACED_TOGETHER)):
+        for batch in batches:
             length = batch.column("length").to_numpy()
             number = batch.column("_number").to_numpy()
             sequence, offset = np.empty_like(number), np.empty_like(number)
@@ -340,4 +340,9 @@ def pack(
             yield pa.record_batch([*kept.columns, pa.array(sequence), pa.array(offset)], names=names)
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema if f.name != "_number"]
-    return numbered.mapInArrow(place, ", ".join([*fields, "sequence_id long", "offset long"]))
+    placed = numbered.mapInArrow(place, ", ".join([*fields, "sequence_id long", "offset long"]))
+    if not with_ids:
+        return placed.drop("_part", "_row")
+    return pieces.join(placed.drop("length"), ["_part", "_row"]).select(
+        F.col("_id").alias(doc_id), "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"
+    )

@@ -17,7 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from obslake.llm.words import widened
 from obslake.llm.worker import memory
 from obslake.session import stored
 
@@ -276,12 +278,12 @@ def train(
     )
     terms, stems = _lexicon({r["term"]: r["toxic"] for r in counts}, least, entries)
     bare = ToxicityModel(terms, stems, (0.0,) * (len(FEATURES) + 1), fuzzy_from, window)
-    seen = chosen.mapInArrow(_scorer(bare, "_text", features=True), "_toxic int, _features array<double>").toPandas()
+    seen = chosen.mapInArrow(_scorer(bare, 1, features=True), "_toxic int, _features array<double>").toPandas()
     weights = _fit(np.array(seen["_features"].tolist()), seen["_toxic"].to_numpy(float))
     return ToxicityModel(terms, stems, tuple(map(float, weights)), fuzzy_from, window)
 
 
-def _scorer(model: ToxicityModel, text: str, features: bool = False, names: Sequence[str] = ()):
+def _scorer(model: ToxicityModel, at: int, features: bool = False, names: Sequence[str] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matchers = memory("toxicity")
         if model not in matchers:
@@ -289,7 +291,7 @@ def _scorer(model: ToxicityModel, text: str, features: bool = False, names: Sequ
             matchers[model] = _Matcher(model)
         matcher, weights = matchers[model], np.array(model.weights)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text))
+            texts = batch.column(at)
             found = [_features(t.as_py(), matcher, model.window) for t in texts]
             if features:
                 yield pa.record_batch(
@@ -313,6 +315,5 @@ def score_documents(
     names of the new ones are replaced.
     """
     own = [c for c in df.columns if c not in (score, predicted)]
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*own).schema)
-    run = _scorer(model, text, names=(score, predicted))
-    return df.select(*own).mapInArrow(run, f"{shape}, `{score}` double, `{predicted}` int")
+    run = _scorer(model, own.index(text), names=(score, predicted))
+    return widened(df, own, run, StructType.fromDDL(f"`{score}` double, `{predicted}` int"))

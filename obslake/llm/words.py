@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SPACE = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,6 +45,21 @@ def fold(column: str | Column, folds: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % folds
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots or backticks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def widened(df: DataFrame, own: list[str], run: Callable, added: StructType) -> DataFrame:
+    """Columns ``own`` as they are and those that ``run`` adds to each batch of them.
+
+    ``run`` sees columns by position, so that any name may be among them.
+    """
+    plain = df.select(*[F.col(quoted(c)).alias(f"_{i}") for i, c in enumerate(own)])
+    shape = StructType([*plain.schema.fields, *added.fields])
+    return plain.mapInArrow(run, shape).toDF(*own, *added.names)
+
+
 def together(columns: list[str], name: str = "_own") -> Column:
     """The caller's columns as one, so that no name of theirs meets one of ours."""
-    return F.struct(*[F.col(f"`{c}`").alias(c) for c in columns]).alias(name)
+    return F.struct(*[F.col(quoted(c)).alias(c) for c in columns]).alias(name)

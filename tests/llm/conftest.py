@@ -37,8 +37,8 @@ def odd(spark):
         (None, "no id at all here", "en", "a", 1),
         (8, "12 + 34 = 46 !!", "en", None, 1),
     ]
-    shape = SHAPE + ", _text string, _id long, n_lines long, size string, score string, _own int"
-    return spark.createDataFrame([(*r, "x", 7, 9, "y", "z", 3) for r in rows], shape)
+    shape = SHAPE + ", _text string, _id long, n_lines long, size string, score string, _own int, `a.b` string, `c``d` int"
+    return spark.createDataFrame([(*r, "x", 7, 9, "y", "z", 3, "dot", 4) for r in rows], shape)
 
 
 @pytest.fixture(scope="session")
