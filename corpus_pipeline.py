@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.llm import language_id, line_dedup, mixing, near_duplicates, packing
-from obslake.llm.words import text_or_empty
 from obslake.session import ready, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -50,28 +49,19 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them.
+    """Documents as often as the mix takes them, always whole.
 
-    Documents are drawn whole, once or more often; only where the quota of a shard (about a
-    million words of a source) ends, its last document has a copy that ends with the last
-    word taken. Documents of which nothing is taken go, and so do those without a word or an id. Ids repeat with the copies (rows that share an id are taken
-    alike); n_chars follows the text.
+    The one document at which the quota of a shard (about a million words of a source) ends
+    is taken once more if at least half of it is in the quota. Documents of which less is
+    taken go, and so do those without a word or an id. Ids repeat with the copies (rows that
+    share an id are taken alike).
     """
     docs = docs.select(*COLUMNS)
     mix = mixing.mix_sources(docs).where("taken > 0")
     most = mix.groupBy("doc_id").agg(F.max(F.struct("taken", "size")).alias("_most")).select("doc_id", "_most.*")
-    joined = docs.join(most, "doc_id")
-    words = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
-    part = F.array_join(F.slice(words, F.lit(1), (F.col("taken") % F.col("size")).cast("int")), "")
-    copies = joined.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("taken") / F.col("size"))))
-    )
-    text = F.when(F.col("_copy") * F.col("size") <= F.col("taken"), F.col("text")).otherwise(part)
-    return (
-        copies.withColumn("text", text)
-        .withColumn("n_chars", F.length(text_or_empty("text")).cast("bigint"))
-        .select(*COLUMNS)
-    )
+    copies = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).cast("int")
+    times = F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy")
+    return docs.join(most, "doc_id").select(*COLUMNS, times).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
