@@ -172,7 +172,7 @@ def near_duplicate_groups(
         ),
         "shingle-profiles",
     )
-    postings = profiles.select("_node", "_n", "_m", "_l", "_central", F.explode("_prefix").alias("_token"))
+    postings = profiles.select("_node", "_n", "_m", "_l", "_central", F.posexplode("_prefix").alias("_at", "_token"))
     shared_by = postings.groupBy("_token").agg(F.min("_node").alias("_low"), F.max("_node").alias("_high"))
     postings = stored(
         postings.join(shared_by.where("_low <> _high").select("_token"), "_token"), "shingle-postings"
@@ -192,12 +192,22 @@ def near_duplicate_groups(
         needed = (F.col(f"{x}._n") + F.col(f"{y}._n")) * percent
         return F.least(f"{x}._m", f"{y}._m", f"{x}._n", f"{y}._n") * (100 + percent) >= needed
 
+    def in_reach(x: str, y: str) -> Column:
+        """Whether a common shingle stands where it can in two similar sets.
+
+        As both sets are in the same order, they share no more shingles before it than the
+        shorter of both beginnings holds, and from it on no more than the shorter of both ends.
+        """
+        rests = [F.col(f"{side}._m") - F.col(f"{side}._at") for side in (x, y)]
+        most = F.least(f"{x}._at", f"{y}._at") + F.least(*rests)
+        return most * (100 + percent) >= (F.col(f"{x}._n") + F.col(f"{y}._n")) * percent
+
     # Every node against the most central node it shares a posting list with.
-    centre = postings.groupBy("_token").agg(F.max(F.struct("_central", "_node", "_n", "_m")).alias("_c"))
+    centre = postings.groupBy("_token").agg(F.max(F.struct("_central", "_node", "_n", "_m", "_at")).alias("_c"))
     centre = centre.select("_token", "_c.*")
     star = (
         postings.alias("x").join(centre.alias("y"), "_token")
-        .where((F.col("x._node") != F.col("y._node")) & may_link("x", "y"))
+        .where((F.col("x._node") != F.col("y._node")) & in_reach("x", "y"))
         .groupBy("x._node", F.col("y._node").alias("_b"), "y._central")
         .agg(F.count(F.lit(1)).alias("_times"))
         .groupBy(F.col("_node").alias("_a"))
@@ -211,7 +221,7 @@ def near_duplicate_groups(
     # All other candidate pairs: of each list, only nodes of different components meet.
     known = star.select(F.col("_a").alias("_node"), F.col("_b").alias("_centre"), F.col("_both").alias("_with"))
     placed = postings.join(together, "_node", "left").join(known, "_node", "left").select(
-        "_token", "_node", "_n", "_m", "_l", F.coalesce("_component", "_node").alias("_component"),
+        "_token", "_at", "_node", "_n", "_m", "_l", F.coalesce("_component", "_node").alias("_component"),
         F.coalesce("_centre", "_node").alias("_centre"), F.coalesce("_with", "_m").alias("_with"),
     )
     placed = stored(placed, "placed-postings")
@@ -236,7 +246,7 @@ def near_duplicate_groups(
     beyond = [F.col(f"{side}._m") - F.col(f"{side}._with") for side in "xy"]
     most = F.least("x._with", "y._with") + F.least(*beyond)
     enough = most * (100 + percent) >= (F.col("x._n") + F.col("y._n")) * percent
-    around, few = beside_major(placed.drop("_token", "_l").distinct(), "_centre")
+    around, few = beside_major(placed.drop("_token", "_at", "_l").distinct(), "_centre")
     near = (
         few.alias("x").join(around.alias("y"), "_centre")
         .where(different & once & may_link("x", "y") & enough)
@@ -246,7 +256,7 @@ def near_duplicate_groups(
     listed, few = beside_major(placed, "_token")
     far = (
         few.alias("x").join(listed.alias("y"), "_token")
-        .where(different & once & may_link("x", "y") & (F.col("x._centre") != F.col("y._centre")))
+        .where(different & once & in_reach("x", "y") & (F.col("x._centre") != F.col("y._centre")))
         .groupBy(*pair)
         .agg(F.count(F.lit(1)).alias("_times"), F.min(F.least("x._l", "y._l")).alias("_l"))
         .where("_times >= _l")
