@@ -204,7 +204,9 @@ def exported_lines(df: DataFrame, path: str, key: str, preamble: list[str]) -> N
     heads = spark.range(files).select(
         F.col("id").cast("int").alias("file"), F.lit(0).alias("at"), F.lit(top).alias("value")
     )
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    quoted = lambda x: F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))
+    fields = [F.when(text(c).rlike('["\n,]'), quoted(text(c))).otherwise(text(c)) for c in df.columns]
     body = df.select(
         F.pmod(F.xxhash64(key), F.lit(files)).cast("int").alias("file"),
         F.lit(1).alias("at"),
@@ -218,13 +220,22 @@ CUSTOMER_FIELDS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegm
 GLOSSARY = ["Customer export, version 2", "c_acctbal,account balance in dollars", "", "c_custkey,key"]
 
 
-@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, NULLIF(c_mktsegment, 'MACHINERY') AS c_mktsegment FROM customer")
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name || chr(10) || chr(10) || 'of "' || c_mktsegment || '", again' || chr(10)
+       ELSE c_name END AS c_name, c_nationkey, c_acctbal, NULLIF(c_mktsegment, 'MACHINERY') AS c_mktsegment FROM customer"""
+)
 def q_preamble_csv(t: Tables) -> DataFrame:
-    """Customers written below a glossary, found again by the header's content."""
+    """Customers, a third with line breaks and quotes in their name, written below a glossary.
+
+    They are found again by the header's content.
+    """
     path = new_path(t.spark, "glossary")
     blank = F.when(F.col("c_mktsegment") == "MACHINERY", "").otherwise(F.col("c_mktsegment"))
-    exported_lines(t.customer.withColumn("c_mktsegment", blank), path, "c_custkey", GLOSSARY)
-    rows = delimited.read_below_preamble(t.spark, path, CUSTOMER_FIELDS)
+    long_name = F.concat("c_name", F.lit('\n\nof "'), "c_mktsegment", F.lit('", again\n'))
+    name = F.when(F.col("c_custkey") % 3 == 0, long_name).otherwise(F.col("c_name"))
+    written = t.customer.select("c_custkey", name.alias("c_name"), "c_nationkey", "c_acctbal", blank.alias("c_mktsegment"))
+    exported_lines(written, path, "c_custkey", GLOSSARY)
+    rows = delimited.read_below_preamble(t.spark, path, CUSTOMER_FIELDS, line_breaks=True)
     types = dict(t.customer.dtypes)
     return typed(rows, {c: (c, types[c]) for c in CUSTOMER_FIELDS})
 

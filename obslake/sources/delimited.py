@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obslake.session import stored
+
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
     """All columns as text, in the given order."""
@@ -55,60 +57,91 @@ def read_below_preamble(
     """Verbatim text rows below a preamble of unknown length; blank becomes NULL.
 
     A preamble whose lines all start with ``comment`` is left to the CSV reader.
-    Otherwise the rows start after the first line that equals the header: that line
-    lies in the first split of its file, so each task can tell by itself where its
-    rows begin, and files stay splittable. A file without the header is an error.
-    ``line_breaks`` reads quoted line breaks inside values on the first way, one split a
-    file; the second way works line by line and refuses it.
+    Otherwise the rows start after the first line that equals the header. Its place is
+    found once for every file and written down; files stay splittable, and no line
+    passes through Python. A file without the header is an error.
+
+    ``line_breaks`` reads quoted line breaks inside values; they come back as newlines. On
+    the first way a file is then one split, on the second it is not.
     """
     schema = text_schema(header)
     if comment:
         return read_csv(spark, path, schema, comment, line_breaks)
-    if line_breaks:
-        raise ValueError("quoted line breaks need a preamble of comments")
-    lines = _lines(spark, path).mapInArrow(_rows_after(list(header)), "value string")
-    return lines.where(F.trim("value") != "").select(_parsed(schema).alias("_row")).select("_row.*")
-
-
-def _parsed(schema: T.StructType) -> Column:
+    lines = _lines(spark, path)
+    headers = stored(_header_places(lines, header), "headers")
+    refused = F.raise_error(F.concat(F.lit(f"no header line {list(header)} in "), F.col("file")))
+    place = F.when(F.col("_header").isNull(), refused.cast(headers.schema["_header"].dataType))
+    below = lines.join(headers, "file").where(F.struct("block", "at") > place.otherwise(F.col("_header")))
+    records = _whole_records(below) if line_breaks else below.select("value")
+    options = {"mode": "FAILFAST"} | ({"escape": '"'} if line_breaks else {})
     ddl = ", ".join(f"`{f.name}` STRING" for f in schema)
-    return F.from_csv("value", ddl, {"mode": "FAILFAST"})
+    return records.where(F.trim("value") != "").select(F.from_csv("value", ddl, options).alias("_row")).select("_row.*")
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines, with the file's name on those of its first split and NULL on all others."""
-    opening = F.col("_metadata.file_block_start") == 0
+    """Lines with their file, the start of their split, and a number that grows along a split."""
     return spark.read.option("recursiveFileLookup", True).text(path).select(
-        "value", F.when(opening, F.col("_metadata.file_path")).alias("file")
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
     )
 
 
-def _fields(line: str) -> list[str]:
-    return next(csv.reader([line.lstrip("﻿").strip()]), [])
-
+def _header_places(lines: DataFrame, header: Sequence[str]) -> DataFrame:
+    """(file, _header): where the first line that equals the header lies, NULL without one."""
+    fields = [f"_{i}" for i in range(len(header) + 1)]
+    line = F.from_csv(F.ltrim(F.col("value"), F.lit("\ufeff")), ", ".join(f"{f} STRING" for f in fields))
+    found = reduce(and_, [line[f].eqNullSafe(F.lit(name)) for f, name in zip(fields, [*header, None])])
+    # Few lines hold the first name: only these are parsed.
+    likely = F.col("value").contains(header[0]) & found
+    return lines.groupBy("file").agg(F.min(F.when(likely, F.struct("block", "at"))).alias("_header"))
 
-def _rows_after(header: list[str]):
-    """Task function: pass on the lines below the header of each file."""
 
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, bool] = {}
-        for batch in batches:
-            values, files = batch.column("value"), batch.column("file")
-            if all(found.get(name) for name in files.unique().drop_null().to_pylist()):
-                yield pa.RecordBatch.from_arrays([values], ["value"])
-                continue
-            keep = []
-            for name, line in zip(files.to_pylist(), values.to_pylist()):
-                below = name is None or found.get(name, False)
-                keep.append(below)
-                if not below:
-                    found[name] = _fields(line) == header
-            yield pa.RecordBatch.from_arrays([values.filter(pa.array(keep))], ["value"])
-        missing = [name for name, seen in found.items() if not seen]
-        if missing:
-            raise ValueError(f"no header line {header} in {missing}")
+def _whole_records(lines: DataFrame) -> DataFrame:
+    """Lines joined to records wherever a quoted value goes on in the next line.
 
-    return rows
+    A record is open behind a line when the number of quotes up to there is odd. Per split
+    the lines with an odd number are counted; their running sum over the splits of a file
+    tells whether a split begins inside a record, and which split that record began in.
+    Lines are then judged split by split, and only those of records with line breaks are
+    brought together. A record, however long, is one value; so is what follows a quote that
+    is never closed.
+    """
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    odd = lines.withColumn("_odd", F.pmod(quotes, F.lit(2)))
+    splits = stored(odd.groupBy("file", "block").agg(F.sum("_odd").alias("_odd_lines")), "quote-parity")
+    if not splits.agg(F.sum("_odd_lines")).first()[0]:
+        return lines.select("value")
+    by_file = Window.partitionBy("file").orderBy("block")
+    earlier = by_file.rowsBetween(Window.unboundedPreceding, -1)
+    began = F.when((F.col("_odd_lines") > 0) | (F.col("_open") == 0), F.col("block"))
+    splits = splits.withColumn("_open", F.coalesce(F.sum("_odd_lines").over(earlier), F.lit(0)) % 2)
+    splits = stored(splits.withColumn("_carried", F.last(began, ignorenulls=True).over(earlier)), "open-records")
+
+    in_split = Window.partitionBy("file", "block").orderBy("at")
+    before = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    opened = (F.col("_open") + F.coalesce(F.sum("_odd").over(before), F.lit(0))) % 2 == 1
+    judged = odd.join(splits, ["file", "block"]).withColumn("_inside", opened)
+    start = F.when(~F.col("_inside"), F.col("at"))
+    judged = judged.withColumns(
+        {
+            "_start": F.last(start, ignorenulls=True).over(in_split),
+            "_last_start": F.max(start).over(Window.partitionBy("file", "block")),
+            "_on": F.col("_inside").cast("int") != F.col("_odd"),
+        }
+    )
+    single = judged.where(~F.col("_inside") & ~F.col("_on")).select("value")
+    # The record still open at the end of a split has no number there: the next split knows it too.
+    left_open = ((F.col("_open") + F.col("_odd_lines")) % 2 == 1) & (F.col("_start") == F.col("_last_start"))
+    pieces = judged.where(F.col("_inside") | F.col("_on")).select(
+        "file", "block", "at", "value",
+        F.when(F.col("_start").isNull(), F.col("_carried")).otherwise(F.col("block")).alias("_from"),
+        F.when(F.col("_start").isNotNull() & ~left_open, F.col("_start")).alias("_number"),
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("block", "at", "value")))
+    whole = pieces.groupBy("file", "_from", "_number").agg(in_order.alias("_pieces"))
+    return single.unionByName(whole.select(F.array_join(F.col("_pieces.value"), "\n").alias("value")))
 
 
 def header_lines(spark: SparkSession, path: str | list[str], comment: str | None = None) -> DataFrame:
@@ -116,20 +149,8 @@ def header_lines(spark: SparkSession, path: str | list[str], comment: str | None
     content = F.trim("value") != ""
     if comment:
         content = content & ~F.col("value").startswith(comment)
-    opening = _lines(spark, path).where(F.col("file").isNotNull() & content)
-    return opening.mapInArrow(_first_lines, "file string, header string")
-
-
-def _first_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task function: the first line of each file; a first split is never shared out."""
-    seen: set[str] = set()
-    for batch in batches:
-        files, values = batch.column("file"), batch.column("value")
-        for name in files.unique().to_pylist():
-            if name not in seen:
-                seen.add(name)
-                line = values[files.index(name).as_py()].as_py()
-                yield pa.RecordBatch.from_pydict({"file": [name], "header": [line]})
+    opening = _lines(spark, path).where((F.col("block") == 0) & content)
+    return opening.groupBy("file").agg(F.min_by("value", "at").alias("header"))
 
 
 def check_header(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -49,6 +51,33 @@ def test_preamble_of_a_file_in_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("split", [300, 5000, 1 << 27])
+def test_quoted_line_breaks_below_a_preamble(spark, tmp_path, split):
+    """Records over many lines and over many splits; quotes in the preamble do not count."""
+    rng = random.Random(split)
+    values = ["x", 'say "no"', "a, b", "one\ntwo", '\n\n"\n', "l\n" * 400, "", " padded "]
+    wanted = [(str(i), rng.choice(values), str(i / 2)) for i in range(400)]
+    for name, part in (("a", wanted[:250]), ("b", wanted[250:]), ("c", [("900", "no breaks", "1")])):
+        with open(tmp_path / f"{name}.csv", "w", newline="") as file:
+            file.write('An "export\n' + "\n".join([*GLOSSARY, ",".join(HEADER)]) + "\n")
+            csv.writer(file, lineterminator="\n").writerows(part)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = rows(delimited.read_below_preamble(spark, str(tmp_path), HEADER, line_breaks=True))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(got) == sorted([(a, b or None, c) for a, b, c in wanted] + [("900", "no breaks", "1")])
+
+
+def test_lines_below_a_preamble_stay_in_the_jvm(spark, tmp_path):
+    path = text_file(tmp_path, "a.csv", [*GLOSSARY, ",".join(HEADER), *DATA])
+    for breaks in (False, True):
+        plan = delimited.read_below_preamble(spark, path, HEADER, line_breaks=breaks)._jdf.queryExecution().toString()
+        assert "Arrow" not in plan and "Python" not in plan
+
+
 def test_file_without_header_is_refused(spark, tmp_path):
     text_file(tmp_path, "a.csv", [*GLOSSARY, ",".join(HEADER), "1,a,2"])
     text_file(tmp_path, "b.csv", ["FID,value,name", "1,2,a"])
