@@ -100,11 +100,11 @@ SELECT * FROM late WHERE NOT EXISTS (
   SELECT 1 FROM early e WHERE e.l_orderkey = late.l_orderkey AND e.l_linenumber = late.l_linenumber)"""
 )
 def q_insert_if_absent(t: Tables) -> DataFrame:
-    """A table loaded with early lines, then with all lines, twice."""
-    path = new_path(t.spark, "lines")
-    tables.insert_if_absent(t.lineitem.where(F.col("l_shipdate") < SEASON_CUT), path, LINE_KEY)
+    """A table in buckets loaded with early lines, then with all lines, twice."""
+    path, buckets = new_path(t.spark, "lines"), int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    tables.insert_if_absent(t.lineitem.where(F.col("l_shipdate") < SEASON_CUT), path, LINE_KEY, buckets)
     for _ in range(2):
-        tables.insert_if_absent(t.lineitem, path, LINE_KEY)
+        tables.insert_if_absent(t.lineitem, path, LINE_KEY, buckets)
     return tables.read_table(t.spark, path)
 
 

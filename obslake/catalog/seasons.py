@@ -143,9 +143,9 @@ def q_rolling_by_entity(t: Tables) -> DataFrame:
     day = F.to_date("o_orderdate").alias("day")
     daily = t.orders.groupBy("o_custkey", day).agg(F.sum(money("o_totalprice")).alias("price"))
     daily, by = stored(daily, "daily"), ["o_custkey"]
-    ranges = balanced_ranges(daily, "day")
+    ranges = balanced_ranges(daily, "day", rows_per_range=50_000)
     changed = stored(series.period_change(daily, "day", "price", by, ranges).drop("change"), "changed")
-    smooth = series.rolling_mean(changed, "day", "price", 3, "rolling", by, ranges, block=1000)
+    smooth = series.rolling_mean(changed, "day", "price", 3, "rolling", by, ranges)
     return doubles(smooth, "price", "previous")
 
 

@@ -3,26 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obslake.session import new_path
+from obslake.operators.ordered import exact_key
+from obslake.session import new_path, stored
 
 
 def keep_first(df: DataFrame, key: Sequence[str], prefer: Sequence[Column] = ()) -> DataFrame:
     """One row per key: the smallest by ``prefer``, then by the remaining columns.
 
-    An aggregate rather than a row_number window, so that copies collapse before the
-    shuffle and a key held by a third of all rows does not land in one task.
+    In two steps. A hash aggregate over the key and the first ranking column finds the keys
+    that rows share, and writes them down; copies of a key held by a third of all rows
+    collapse before its shuffle. Rows of other keys pass as they are, and of the shared keys
+    only rows that tie in the first ranking column are compared by the rest. ``df`` is read
+    three times, the first time without the columns that do not matter there.
     """
     rest = [c for c in df.columns if c not in key]
     if not rest:
         return df.select(*key).distinct()
-    ranking = [p.alias(f"_p{i}") for i, p in enumerate(prefer)]
-    smallest = F.min(F.struct(*ranking, *rest)).alias("_row")
-    kept = df.groupBy(*key).agg(smallest)
-    return kept.select(*key, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
+    names = [f"_p{i}" for i in range(len(prefer))]
+    ranked = df.withColumns(dict(zip(names, prefer)))
+    ranked = ranked.withColumn("_first", exact_key(ranked, [*names, *rest][0]))
+    shared = ranked.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_first").alias("_least"), F.max(F.col("_first").isNull()).alias("_null")
+    )
+    shared = stored(shared.where("_rows > 1"), "shared-keys")
+    same = reduce(and_, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key])
+    alone = df.alias("a").join(shared.alias("b"), same, "left_anti")
+    # A null is less than any value.
+    least = F.when(F.col("_null"), F.col("_first").isNull()).otherwise(F.col("_first") == F.col("_least"))
+    tied = ranked.alias("a").join(shared.alias("b"), same).where(least).select("a.*")
+    first = tied.groupBy(*key).agg(F.min(F.struct(*names, *rest)).alias("_row"))
+    return alone.unionByName(first.select(*key, *[F.col("_row")[c].alias(c) for c in rest]))
 
 
 def derive_dimension(

@@ -231,6 +231,42 @@ def running_count(
     return counted.where(~F.col("_front")).drop("_front", "_before", "_hit", RANGE)
 
 
+def with_rows_before(
+    df: DataFrame, by: Sequence[str], order: str, value: str, count: int, ranges: Ranges, tiebreak: Sequence[str] = ()
+) -> tuple[DataFrame, WindowSpec]:
+    """Rows in ranges, each range with the entity's ``count`` rows before it, and their window.
+
+    The last rows of every (entity, range) are cut out before they are shuffled. A range
+    may be shorter than ``count``: its rows then go on to several later ranges, as far as
+    the rows in between leave room. ``own_rows`` takes the borrowed rows away again.
+    """
+    by, order_by = list(by), [order, *tiebreak]
+    ranged = with_ranges(df, order, ranges, tiebreak)
+    backwards = Window.partitionBy(*by, RANGE).orderBy(*[F.col(c).desc_nulls_last() for c in order_by])
+    kept = list(dict.fromkeys([*by, RANGE, value, *order_by]))
+    ends = ranged.select(*kept).withColumn("_from_end", F.row_number().over(backwards)).where(F.col("_from_end") <= count)
+    sizes = _rows_before(ranged, by, F.count(F.lit(1)))
+    # Not more than ``count`` later ranges can borrow from a range: each holds a row at least.
+    later = Window.partitionBy(*by).orderBy(RANGE).rowsBetween(1, max(count, 1))
+    behind = F.transform(
+        F.collect_list(F.struct(RANGE, "_before")).over(later),
+        lambda x: F.struct(x[RANGE].alias("_to"), (x["_before"] - F.col("_before") - F.col("_in_range")).alias("_between")),
+    )
+    targets = sizes.withColumn("_behind", behind).select(*by, RANGE, "_behind")
+    near = F.filter("_behind", lambda x: x["_between"] + F.col("_from_end") <= count)
+    borrowed = (
+        join_null_safe(ends, targets, [*by, RANGE])
+        .withColumn("_t", F.explode(near))
+        .withColumn(RANGE, F.col("_t._to"))
+        .drop("_from_end", "_behind", "_t")
+    )
+    return _with_front_rows(ranged, borrowed), _front_row_first(by, order_by)
+
+
+def own_rows(haloed: DataFrame) -> DataFrame:
+    return haloed.where(~F.col("_front")).drop("_front", RANGE)
+
+
 def _with_front_rows(ranged: DataFrame, front: DataFrame) -> DataFrame:
     return ranged.withColumn("_front", F.lit(False)).unionByName(
         front.withColumn("_front", F.lit(True)), allowMissingColumns=True

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from obslake.functions.calendar import day_of, epoch_years, month_of, near_edge
 from obslake.functions.numbers import half_even, half_up, mean, percent
 from obslake.operators.ordered import (
-    Ranges, balanced_ranges, join_null_safe, lag_in_order, row_index, running_count,
+    Ranges, balanced_ranges, join_null_safe, lag_in_order, own_rows, row_index, running_count, with_rows_before,
 )
 
 
@@ -96,14 +96,14 @@ def period_change(
 
 def rolling_mean(
     df: DataFrame, order: str, value: str, rows: int, out: str, by: Sequence[str] = (),
-    ranges: Ranges | None = None, block: int = 100_000, calendar_strict: bool = False,
+    ranges: Ranges | None = None, calendar_strict: bool = False, tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Mean of the last ``rows`` rows, fewer at the start of a series.
 
     Counts rows: a missing month does not shorten the window. ``calendar_strict``
-    averages the last ``rows`` calendar months instead. With ``ranges`` rows are
-    numbered exactly, cut into blocks, and each block borrows the rows before it.
-    """
+    averages the last ``rows`` calendar months instead. With ``ranges`` every range
+    borrows the rows before it, from as many ranges as it takes; rows are shuffled once.
+    """
     if calendar_strict:
         month = F.year(order) * 12 + F.month(order)
         if ranges is None:
@@ -116,23 +116,11 @@ def rolling_mean(
         smoothed = per_month.select(*by, "_month", half_up(smooth, 2).alias(out))
         return join_null_safe(df.withColumn("_month", month), smoothed, [*by, "_month"]).drop("_month")
     if ranges is None:
-        window = Window.partitionBy(*by).orderBy(order).rowsBetween(1 - rows, 0)
+        window = Window.partitionBy(*by).orderBy(order, *tiebreak).rowsBetween(1 - rows, 0)
         return df.withColumn(out, half_up(F.avg(value).over(window), 2))
-    if block < rows:
-        raise ValueError("a block must hold at least one whole window")
-    numbered = row_index(df, by, order, "_index", ranges)
-    home = F.floor((F.col("_index") - 1) / block)
-    late = (F.col("_index") - 1) % block > block - rows
-    placed = numbered.withColumn("_home", home).withColumn(
-        "_block",
-        F.explode(F.when(late, F.array(home, home + 1)).otherwise(F.array(home))),
-    )
-    window = Window.partitionBy(*by, "_block").orderBy("_index").rowsBetween(1 - rows, 0)
-    return (
-        placed.withColumn(out, half_up(F.avg(value).over(window), 2))
-        .where(F.col("_block") == F.col("_home"))
-        .drop("_index", "_home", "_block")
-    )
+    haloed, window = with_rows_before(df, by, order, value, rows - 1, ranges, tiebreak)
+    smooth = haloed.withColumn(out, half_up(F.avg(value).over(window.rowsBetween(1 - rows, 0)), 2))
+    return own_rows(smooth)
 
 
 # --- climatology and runs ------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake.functions.numbers import area_size, min_max_index
-from obslake.operators.ordered import exact_quantiles
+from obslake.operators.ordered import exact_quantiles, join_null_safe
 from obslake.session import stored
 
 BOX_POINTS = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
@@ -112,11 +112,20 @@ def latest_rows(df: DataFrame, order: str, n: int, tiebreak: Sequence[Column] =
 
 
 def latest_per_entity(df: DataFrame, by: Sequence[str], order: str, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The last row of each entity, or of the whole table, by partial aggregation."""
+    """The last row of each entity, or of the whole table.
+
+    A hash aggregate finds the last moment of every entity; only the rows at that moment,
+    few of all, are compared by the columns that break ties. ``df`` is read twice.
+    """
+    last = F.max(order).alias("_latest")
+    if by:
+        known = stored(df.groupBy(*by).agg(last), "latest")
+        late = join_null_safe(df, known, by).where(F.col(order).eqNullSafe(F.col("_latest"))).drop("_latest")
+    else:
+        late = df.where(F.col(order).eqNullSafe(F.lit(df.agg(last).first()[0])))
     rest = [c for c in df.columns if c not in by]
-    last = F.max_by(F.struct(*rest), F.struct(order, *tiebreak)).alias("_last")
-    found = df.groupBy(*by).agg(last) if by else df.agg(last)
-    return found.select(*by, "_last.*").select(*df.columns)
+    found = F.max_by(F.struct(*rest), F.struct(order, *tiebreak)).alias("_last")
+    return late.groupBy(*by).agg(found).where(F.col("_last").isNotNull()).select(*by, "_last.*").select(*df.columns)
 
 
 def extremes(df: DataFrame, measure: str, n: int, tiebreak: str) -> DataFrame:

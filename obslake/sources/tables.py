@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -62,23 +63,45 @@ def load_once(df: DataFrame, path: str) -> bool:
     return True
 
 
-def insert_if_absent(
-    df: DataFrame, path: str, key: Sequence[str], partition: str | None = None
-) -> None:
+def insert_if_absent(df: DataFrame, path: str, key: Sequence[str], buckets: int | None = None) -> None:
     """Append the rows whose key the table lacks. Running it again adds nothing.
 
-    ``partition``, a key column the table is partitioned by, limits the look at the table
-    to the partitions that the rows touch; their values reach the driver. Readers may see
-    a part of an append while it is written, and two writers at once on the same table
-    are not guarded against.
+    ``buckets`` keeps the table in so many hash buckets by key, each read where it lies:
+    an insert then shuffles the new rows alone, never the table. Use the same key and
+    number for every insert. Readers may see a part of an append while it is written, and
+    two writers at once on the same table are not guarded against.
     """
+    if buckets:
+        absent_from_buckets(df, path, key, buckets).write.insertInto(bucketed_table(df, path, key, buckets))
+        return
     present = existing_rows(df, path)
-    if present is not None and partition:
-        touched = [r[0] for r in df.select(partition).distinct().collect()]
-        present = present.where(F.col(partition).isin(touched) | F.col(partition).isNull())
     append_table(keep_first(df, key) if present is None else absent_rows(df, present, key), path)
 
 
+def bucketed_table(df: DataFrame, path: str, key: Sequence[str], buckets: int) -> str:
+    """The name of the table of ``path`` in the session's catalogue, entered on first use.
+
+    Its columns are those of ``df``; files that already lie there belong to it.
+    """
+    spark = df.sparkSession
+    name = f"obslake_{hashlib.sha256(f'{path} {buckets} {[*key]}'.encode()).hexdigest()[:24]}"
+    if not spark.catalog.tableExists(name):
+        quoted = lambda c: "`" + c.replace("`", "``") + "`"
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema)
+        by = ", ".join(map(quoted, key))
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+    return name
+
+
+def absent_from_buckets(df: DataFrame, path: str, key: Sequence[str], buckets: int) -> DataFrame:
+    """Rows of ``df``, one per key, whose key the bucketed table lacks, dealt like its buckets."""
+    present = df.sparkSession.table(bucketed_table(df, path, key, buckets)).select(*key)
+    new = keep_first(df, key).repartition(buckets, *key)
+    return new.join(present.hint("merge"), list(key), "left_anti").select(*df.columns)
+
+
 def write_csv(df: DataFrame, path: str, sort: Sequence[str] = (), line_breaks: bool = False) -> None:
     """CSV with a header; ``sort`` orders rows across the part files.
 

@@ -157,3 +157,33 @@ def test_calendar_strict_over_ranges(spark, parts):
     assert same(*runs) and runs[0].count() > 20
     means = [series.rolling_mean(days, "day", "v", 3, "m", ["who"], r, calendar_strict=True) for r in (None, ranges)]
     assert same(*means)
+
+
+@pytest.mark.parametrize("rows", [1, 2, 7, 40])
+@pytest.mark.parametrize("parts", [1, 4, 30])
+def test_rolling_means_over_ranges_shorter_than_the_window(spark, parts, rows):
+    """An entity with a third of the rows, one with a single row, gaps, NULL orders and values."""
+    df = spark.range(600).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id") % 17)).alias("who"),
+        F.when(F.col("id") % 150 != 7, F.col("id") * 7919 % 4001).alias("at"),
+        F.when(F.col("id") % 5 != 0, (F.col("id") * 31 % 97).cast("decimal(9,2)")).alias("v"),
+        F.col("id").alias("tie"),
+    )
+    df = df.unionByName(spark.createDataFrame([("one", 5, 1, 9000)], "who string, at long, v long, tie long"))
+    ranges = ordered.balanced_ranges(df, "at", parts)
+    by_range, plain = (
+        series.rolling_mean(df, "at", "v", rows, "m", ["who"], r, tiebreak=["tie"]) for r in (ranges, None)
+    )
+    assert same(by_range, plain)
+
+
+def test_rolling_rows_are_shuffled_once(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("who"), F.col("id").alias("at"), F.rand(1).alias("v"), F.lit("w").alias("wide"))
+    smooth = series.rolling_mean(df, "at", "v", 5, "m", ["who"], ordered.balanced_ranges(df, "at", 8))
+    initial = smooth._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert initial.count("Union") == 1 and "WindowGroupLimit" in initial
+    # The rows themselves pass one exchange, the one above the union.
+    above, below = initial.split("Union", 1)
+    assert above.count("Exchange") == 1
+    own_rows = below.split("Range (")[0]
+    assert "Exchange" not in own_rows

@@ -8,6 +8,7 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from obslake.operators import keys, quality
@@ -170,6 +171,46 @@ def test_keep_first_with_one_key_holding_a_third(spark):
     assert got.count() == 20001 and got.where("k = -1").first()["v"] == 0
 
 
+def test_keep_first_against_a_window(spark):
+    """Null keys, null and equal first columns, strings that differ late, NaN."""
+    rng = random.Random(8)
+    value = lambda: rng.choice([None, 1.0, 2.0, float("nan"), -0.0])
+    text = lambda: rng.choice([None, "", "abcdefgh", "abcdefgi", "b"])
+    data = [(rng.choice([None, *range(40)]), rng.choice(["x", None]), text(), value(), i) for i in range(300)]
+    df = spark.createDataFrame(data, "k int, g string, w string, v double, i int")
+    for prefer, ranking in (([], ["w", "v", "i"]), ([-F.col("i")], [F.col("i").desc()])):
+        window = Window.partitionBy("k", "g").orderBy(*ranking)
+        wanted = df.withColumn("n", F.row_number().over(window)).where("n = 1").drop("n")
+        assert same(keys.keep_first(df, ["k", "g"], prefer).fillna(-7.0), wanted.fillna(-7.0))
+
+
+def test_keep_first_sorts_only_rows_that_tie(spark):
+    df = spark.range(5000).select((F.col("id") % 4900).alias("k"), F.col("id").alias("v"), F.lit("w").alias("w"))
+    plan = keys.keep_first(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in plan and "Sort [k" not in plan.split("Union")[1].split("BroadcastHashJoin")[0]
+    alone = plan.split("Union")[1].split("SortAggregate")[0]
+    assert "Exchange hash" not in alone and "BroadcastHashJoin" in alone
+
+
+def test_buckets_are_read_where_they_lie(spark):
+    path, key = new_path(spark, "bucketed"), ["k", "g"]
+    first = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (2, "b", "a"), (None, "b", "n")], "k long, g string, v string")
+    second = spark.createDataFrame([(2, "b", "z"), (3, "d", "w"), (3, "d", "e")], first.schema)
+    for df in (first, second, second):
+        tables.insert_if_absent(df, path, key, buckets=3)
+    assert rows(tables.read_table(spark, path)) == [(1, "a", "x"), (2, "b", "a"), (3, "d", "e"), (None, "b", "n")]
+    plan = tables.absent_from_buckets(second, path, key, 3)._jdf.queryExecution().executedPlan().toString()
+    nodes = [line.lstrip(" :+-") for line in plan.splitlines()]
+    scans = [i for i, node in enumerate(nodes) if "SelectedBucketsCount: 3 out of 3" in node]
+    assert scans
+    for at in scans:  # from the scan up to the join there is no exchange
+        while not nodes[at - 1].startswith(("SortMergeJoin", "Exchange")):
+            at -= 1
+            assert not nodes[at].startswith("Exchange")
+            if nodes[at].startswith("Sort "):
+                break
+
+
 def test_number_rows_is_dense_and_ordered(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), F.lit("x").alias("c"))
     numbered = keys.number_rows(df, ["k"], "n")
