@@ -9,6 +9,7 @@ matrix times that projects all rows.
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -116,6 +117,7 @@ def whiten(
     kept, scales, explained = 0, np.zeros(0), []
     if width:
         matrix = _block_matrix(centred, width, block_rows, min(width, block_columns))
+        matrix.persist(StorageLevel.MEMORY_AND_DISK)  # four jobs read the blocks
         values, vectors = np.linalg.eigh(_scatter(matrix) / n)
         values, vectors = values[::-1], vectors[:, ::-1]
         trace = values.clip(0).sum()
@@ -126,6 +128,8 @@ def whiten(
         whitened = stored(_projected(matrix, vectors / scales), "whitened")
     else:
         whitened = fit.select("index", F.array().cast("array<double>").alias("projected"))
+    if width:
+        matrix.blocks.unpersist()
     pairs = [(i, j) for i in range(kept) for j in range(i + 1)]
     w = lambda i: F.col("projected")[i]
     found = whitened.agg(*[F.covar_pop(w(i), w(j)) for i, j in pairs], F.count(F.lit(1))).first()
