@@ -164,7 +164,7 @@ def q_html_tables(t: Tables) -> DataFrame:
         F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</a></td><td><b>"),
         F.length("html").cast("string"), F.lit("</b></td></TR></table></div>"),
     )
-    pages = spread(t.pages).select("page_id", F.concat(table, "html").alias("html"))
+    pages = stored(spread(t.pages).select("page_id", F.concat(table, "html").alias("html")), "pages")
     found = html_tables(pages, ["page_id"], "html")
     rows = found.select("page_id", "table_no", F.posexplode("rows").alias("row_no", "row"))
     return rows.select("page_id", "table_no", "row_no", F.array_join("row", "|").alias("cells"))
@@ -186,9 +186,11 @@ def season_pages(t: Tables) -> DataFrame:
         F.lit("</td></tr><tr><td>**TOTAL**</td><td><b>"), F.format_number("o_totalprice", 2),
         F.lit("</b></td></tr></table><table><tr><td>no season</td></tr></table></body></html>"),
     )
-    return spread(t.orders).select(
+    # Written down: else the filter on pages with a table would make every page once more.
+    pages = spread(t.orders).select(
         F.col("o_orderkey").alias("page_id"), F.lit("orders").alias("url"), html.alias("html")
     )
+    return stored(pages, "pages")
 
 
 SEASON_SQL = f"""

@@ -131,5 +131,5 @@ def q_skewed_quantiles(t: Tables) -> DataFrame:
     values = t.events.select(
         (F.col("event_id") % 3).cast("int").alias("place"), F.when(F.col("event_id") % 3 < 2, spread).alias("v")
     )
-    found = exact_quantiles(values, ["place"], "v", {"p05": 0.05, "p50": 0.5, "p97": 0.97}, parts=16)
+    found = exact_quantiles(values, ["place"], "v", {"p05": 0.05, "p50": 0.5, "p97": 0.97})
     return rounded(found, 3, "p05", "p50", "p97")

@@ -138,6 +138,21 @@ def q_spells_by_entity(t: Tables) -> DataFrame:
     return warm_runs(judged_days(t))
 
 
+@query(
+    f"""WITH {DAILY_SQL}, warm AS (
+  SELECT l_returnflag, day, price, day - CAST(ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY day) AS INT) AS grp
+  FROM judged WHERE is_warm
+)
+SELECT l_returnflag, MIN(day) AS run_start, MAX(day) AS run_end, COUNT(*) AS n_rows, {r("AVG(price)", 2)} AS avg_price
+FROM warm GROUP BY l_returnflag, grp HAVING COUNT(*) >= 2"""
+)
+def q_calendar_spells(t: Tables) -> DataFrame:
+    """Runs of two or more warm days per return flag that follow each other in the calendar."""
+    return series.calendar_runs(
+        judged_days(t), "day", "is_warm", {"avg_price": half_up(F.avg("price"), 2)}, 2, ["l_returnflag"]
+    )
+
+
 @query(f"WITH {RUNS_SQL} SELECT * FROM runs ORDER BY run_start DESC NULLS FIRST, l_returnflag LIMIT 10")
 def q_latest_spells(t: Tables) -> DataFrame:
     """The ten most recent warm runs, found over balanced ranges of days."""

@@ -13,6 +13,7 @@ from obslake.functions.numbers import ordered_tier
 from obslake.functions.text import display_label
 from obslake.operators import panel, stats
 from obslake.operators.keys import union_keys
+from obslake.session import stored
 
 SHIP_YEAR = "CAST(year(l_shipdate) AS INT)"
 SEEN_SQL = "l_returnflag = 'R' AND l_quantity > 44 AND l_discount >= 0.07"
@@ -391,3 +392,34 @@ def q_densify_years(t: Tables) -> DataFrame:
     priced = t.orders.withColumn("price", money("o_totalprice"))
     yearly = panel.yearly_totals(priced, "o_custkey", F.year("o_orderdate"), "price")
     return doubles(panel.densify_years(yearly, "yr", ["o_custkey"]), "total_count")
+
+
+@query(
+    """WITH lines AS (
+  SELECT o.o_custkey % 7 AS region, CAST(year(l.l_shipdate) AS INT) AS yr, l.l_partkey
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+),
+spans AS (SELECT * FROM (VALUES ('early', 1990, 1995), ('late', 1996, 2005), ('all', 1990, 2005)) AS s(span, first_year, last_year))
+SELECT span, region, COUNT(DISTINCT l_partkey) AS richness, TRUE AS near
+FROM lines JOIN spans ON yr BETWEEN first_year AND last_year GROUP BY span, region"""
+)
+def q_richness_sketch(t: Tables) -> DataFrame:
+    """Distinct parts per region and span of years: counted, and whether united sketches come within 5 %.
+
+    Sketches are kept per region and year; the spans overlap, each is a union of them.
+    """
+    buyers = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 7).alias("region"))
+    lines = t.lineitem.join(buyers, "l_orderkey").select("region", ship_year().alias("yr"), "l_partkey")
+    spans = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("span"), F.lit(low).alias("low"), F.lit(high).alias("high"))
+        for name, low, high in (("early", 1990, 1995), ("late", 1996, 2005), ("all", 1990, 2005))
+    ]))
+
+    def by_span(df: DataFrame) -> DataFrame:
+        return df.withColumn("s", spans).where(F.col("yr").between(F.col("s.low"), F.col("s.high"))).withColumn("span", F.col("s.span"))
+
+    sketches = stored(panel.distinct_sketches(lines, ["region", "yr"], "l_partkey"), "richness-sketches")
+    estimated = panel.united_distinct(by_span(sketches), ["span", "region"], "estimate")
+    counted = by_span(lines.distinct()).groupBy("span", "region").agg(F.count_distinct("l_partkey").alias("richness"))
+    near = F.abs(F.col("estimate") - F.col("richness")) <= 0.05 * F.col("richness")
+    return counted.join(estimated, ["span", "region"]).select("span", "region", "richness", near.alias("near"))

@@ -10,19 +10,22 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obslake.session import stored
+
 RANGE = "_range"
 ROWS_PER_RANGE = 250_000
+ACCURACY = 10_000  # of quantile sketches: their rank error is its reciprocal
 GRID = 1024  # quantiles sketched in the pass that also counts the rows
 
 
@@ -296,60 +299,107 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.join(renamed, reduce(and_, same)).drop(*[f"_r_{k}" for k in keys])
 
 
+def quantile_profiles(
+    df: DataFrame, by: Sequence[str], value: str, probabilities: Mapping[str, float], accuracy: int = ACCURACY
+) -> DataFrame:
+    """Per group, in one pass: _rows, _total, _low, _high, and the window each quantile lies in.
+
+    A window reaches four times the error of the sketch to either side of its quantile.
+    Groups of no more than ``accuracy`` rows have one window, all of their values.
+    """
+    measured = F.col(value).cast("double")
+    reach = 4 / accuracy
+    points = [q for p in probabilities.values() for q in (max(0.0, p - reach), min(1.0, p + reach))]
+    profile = df.groupBy(*by).agg(
+        F.count(value).alias("_rows"), F.sum(value).alias("_total"),
+        F.min(measured).alias("_low"), F.max(measured).alias("_high"),
+        F.percentile_approx(measured, points, accuracy).alias("_points"),
+    )
+
+    def point(i: int, whole: str) -> Column:
+        """The sketch's value, or the extreme where it would be asked for that."""
+        sketched = F.when(F.col("_rows") > accuracy, F.col("_points")[i]) if 0 < points[i] < 1 else F.lit(None)
+        return F.coalesce(sketched, F.col(whole))
+
+    windows = [
+        F.struct(point(2 * i, "_low").alias("from"), point(2 * i + 1, "_high").alias("to")) for i in range(len(probabilities))
+    ]
+    return stored(profile.withColumn("_windows", F.array(*windows)).drop("_points"), "quantile-profiles")
+
+
 def exact_quantiles(
     df: DataFrame,
     by: Sequence[str],
     value: str,
-    probabilities: dict[str, float],
-    parts: int | None = None,
+    probabilities: Mapping[str, float],
+    accuracy: int = ACCURACY,
     approx: bool = False,
+    profiles: DataFrame | None = None,
 ) -> DataFrame:
-    """Interpolated quantiles per group, exact, for groups of any size.
+    """Interpolated quantiles per group, exact, for groups of any size, in two reads.
 
-    The rows are counted per value range; only the rows of ranges that hold a wanted rank
-    are fetched, equal values counted before the shuffle. Returns the group columns and
-    one double column per named probability; a group without values has NULLs. ``approx``
-    takes a sketch instead, in one pass, whose quantiles are values of the column.
+    The first read (``profiles``, if the caller has it) sketches a narrow window around
+    each quantile; the second counts the rows below every window and, value by value, those
+    inside, collapsing equal values before the shuffle. Returns the group columns and one
+    double column per named probability; a group without values has NULLs. ``approx``
+    takes the sketch alone, whose quantiles are values of the column.
     """
     by = list(by)
-    measured = df.withColumn(value, F.col(value).cast("double"))
+    measured = df.withColumn("_v", F.col(value).cast("double"))
     if approx:
-        sketch = [F.percentile_approx(value, p).alias(name) for name, p in probabilities.items()]
+        sketch = [F.percentile_approx("_v", p).alias(name) for name, p in probabilities.items()]
         return measured.groupBy(*by).agg(*sketch)
-    ranged = with_ranges(measured, value, balanced_ranges(measured, value, parts))
-    sizes = ranged.groupBy(*by, RANGE).agg(F.count(value).alias("_in_range"))
-    per_group = Window.partitionBy(*by)
-    in_order = per_group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.withColumn(
-        "_before", F.coalesce(F.sum("_in_range").over(in_order), F.lit(0))
-    ).withColumn("_rows", F.sum("_in_range").over(per_group))
-    wanted = before.withColumn(
-        "_ranks", F.array(*[rank for p in probabilities.values() for rank in _rank_pair(p)])
-    ).where(
-        F.exists(
-            "_ranks",
-            lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in_range")),
-        )
+    if profiles is None:
+        profiles = quantile_profiles(df, by, value, probabilities, accuracy)
+    n = len(probabilities)
+    present = measured.where("_v IS NOT NULL").select(*by, "_v")
+    placed = _beside(present, profiles.select(*by, "_windows"), by)
+    inside = F.exists("_windows", lambda w: F.col("_v").between(w["from"], w["to"]))
+    below = [F.count_if(F.col("_v") < F.col("_windows")[i]["from"]).alias(f"_below{i}") for i in range(n)]
+    counts = stored(
+        placed.withColumn("_value", F.when(inside, F.col("_v"))).groupBy(*by, "_value").agg(F.count(F.lit(1)).alias("_n"), *below),
+        "quantile-counts",
     )
-    nearby = join_null_safe(ranged.select(*by, RANGE, value), wanted.drop("_ranks", "_in_range"), [*by, RANGE])
-    counts = nearby.groupBy(*by, RANGE, "_before", "_rows", value).agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(*by, RANGE).orderBy(value)
-    until = F.col("_before") + F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    placed = counts.withColumn("_until", until).withColumn("_from", F.col("_until") - F.col("_n"))
+    base = counts.groupBy(*by).agg(F.array(*[F.sum(f"_below{i}") for i in range(n)]).alias("_bases"))
+    # From here on there are as many rows as values inside windows.
+    known = _beside(_beside(counts.where("_value IS NOT NULL").select(*by, "_value", "_n"), profiles.select(*by, "_rows", "_windows"), by), base, by)
+    at = known.select(*by, "_value", "_n", "_rows", "_bases", F.posexplode("_windows").alias("_i", "_w")).where(
+        F.col("_value").between(F.col("_w")["from"], F.col("_w")["to"])
+    )
+    at = at.withColumn("_base", F.element_at("_bases", F.col("_i") + 1)).drop("_bases", "_w")
+    ranged = with_ranges(at, "_value", balanced_ranges(counts, "_value"))
+    offsets = _rows_before(ranged, [*by, "_i"], F.sum("_n")).select(*by, "_i", RANGE, "_before")
+    running = Window.partitionBy(*by, "_i", RANGE).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    counted = join_null_safe(ranged, offsets, [*by, "_i", RANGE])
+    until = F.col("_base") + F.col("_before") + F.sum("_n").over(running)
+    ranks = counted.withColumn("_until", until).withColumn("_from", F.col("_until") - F.col("_n"))
+    held = lambda rank: (rank >= F.col("_from")) & (rank < F.col("_until"))
     measures = []
-    for name, p in probabilities.items():
+    for i, (name, p) in enumerate(probabilities.items()):
         low, high = _rank_pair(p)
-        at_low = F.max(F.when((low >= F.col("_from")) & (low < F.col("_until")), F.col(value)))
-        at_high = F.max(F.when((high >= F.col("_from")) & (high < F.col("_until")), F.col(value)))
-        share = F.max(F.lit(p) * (F.col("_rows") - 1)) - F.max(low)
-        measures.append((at_low + (at_high - at_low) * share).alias(name))
-    found = placed.groupBy(*by).agg(*measures)
-    if not by:
-        return found
-    # Ranges that hold no wanted rank stand for the groups without any value.
-    valueless = before.where("_rows = 0").select(*by).distinct()
+        mine = F.col("_i") == i
+        at_low, at_high = (F.max(F.when(mine & held(rank), F.col("_value"))) for rank in (low, high))
+        share = F.max(F.lit(float(p)) * (F.col("_rows") - 1)) - F.max(low)
+        lost = F.raise_error(F.lit("a quantile lies beyond the error of its sketch")).cast("double")
+        none = F.when(F.count(F.lit(1)) == 0, F.lit(None))  # the one row of an empty column without groups
+        value_at = none.when(at_low.isNull() | at_high.isNull(), lost).otherwise(at_low + (at_high - at_low) * share)
+        measures.append(value_at.alias(name))
+    found = ranks.groupBy(*by).agg(*measures, F.count(F.lit(1)).alias("_any")).where("_any > 0").drop("_any")
     missing = [F.lit(None).cast("double").alias(name) for name in probabilities]
-    return found.unionByName(valueless.select(*by, *missing))
+    return found.unionByName(profiles.where("_rows = 0").select(*by, *missing))
+
+
+def _beside(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Columns of the group's one row in ``right``; without groups there is one row in all."""
+    if by:
+        return join_null_safe(left, right, by)
+    row = right.first()
+    return left.withColumns({c: F.lit(row[c]).cast(kind) if not isinstance(row[c], list) else _listed(row[c], kind) for c, kind in right.dtypes})
+
+
+def _listed(values: list, kind: str) -> Column:
+    lits = [F.struct(*[F.lit(x).alias(f) for f, x in v.asDict().items()]) if isinstance(v, Row) else F.lit(v) for v in values]
+    return F.array(*lits).cast(kind)
 
 
 def _rank_pair(p: float) -> tuple[Column, Column]:

@@ -166,3 +166,18 @@ def densify_years(yearly: DataFrame, year: str, by: Sequence[str] = ()) -> DataF
     span = yearly.groupBy(*by).agg(F.sequence(F.min(year), F.max(year)).alias("_years"))
     frame = span.select(*by, F.explode("_years").alias(year))
     return frame.join(yearly, [*by, year], "left")
+
+
+def distinct_sketches(df: DataFrame, by: Sequence[str], identifier: str, out: str = "sketch", lg_k: int = 14) -> DataFrame:
+    """Per group a mergeable sketch of its distinct identifiers (HyperLogLog, 2^lg_k registers).
+
+    A sketch has at most about 2^lg_k bytes however many identifiers it has seen, and errs
+    by about 1.04 / sqrt(2^lg_k). Written down once per (site, year), any span of years or
+    set of sites is a union of sketches; no row of the records is read again.
+    """
+    return df.where(F.col(identifier).isNotNull()).groupBy(*by).agg(F.hll_sketch_agg(identifier, lg_k).alias(out))
+
+
+def united_distinct(sketches: DataFrame, by: Sequence[str], out: str, sketch: str = "sketch") -> DataFrame:
+    """Estimated distinct identifiers per (coarser) group of a table of sketches."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias(out))

@@ -12,13 +12,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from obslake.functions.calendar import day_of, epoch_years, month_of, near_edge
+from obslake.functions.calendar import day_of, month_of, near_edge
 from obslake.functions.numbers import half_even, half_up, mean, percent
 from obslake.operators.ordered import (
     Ranges, balanced_ranges, join_null_safe, lag_in_order, own_rows, row_index, running_count, with_rows_before,
 )
 
+ORIGIN_MILLIS = 946_684_800_000  # 2000-01-01: near the data, so that doubles made of the sums lose little
+
 
 def exact_mean(value: str) -> Column:
     """Mean as total over count; over decimals it does not depend on row order."""
@@ -201,6 +204,27 @@ def consecutive_runs(
     )
 
 
+def calendar_runs(
+    df: DataFrame, day: str, flag: str, measures: dict[str, Column], min_rows: int, by: Sequence[str] = ()
+) -> DataFrame:
+    """Runs of flagged days that follow each other in the calendar, at least ``min_rows`` long.
+
+    A run is a session whose gap is one day, so nothing has to be numbered; one exchange.
+    Rows of a day are aggregated before it: what one task gets of a series is a row a day.
+    """
+    # A session ends a gap after its last day: longer than one day, shorter than two.
+    run = F.session_window(F.col(day).cast("timestamp_ntz"), "36 hours").alias("_run")
+    return (
+        df.where(F.col(flag)).groupBy(*by, run)
+        .agg(
+            F.min(day).alias("run_start"), F.max(day).alias("run_end"), F.count(F.lit(1)).alias("n_rows"),
+            *[m.alias(name) for name, m in measures.items()],
+        )
+        .where(F.col("n_rows") >= min_rows)
+        .drop("_run")
+    )
+
+
 # --- raw readings ----------------------------------------------------------------------
 
 
@@ -263,10 +287,36 @@ def pair_difference(
 # --- trends --------------------------------------------------------------------------
 
 
+def _slope(x: Column, y: Column, per: float) -> Column:
+    """Least-squares slope over rows that have both, per ``per`` units of ``x``.
+
+    ``x`` is a whole number, ``y`` a decimal; their sums and sums of products are exact, so
+    the slope is the same, to the last bit, however rows are split over tasks. NULL without
+    two different x.
+    """
+    both = x.isNotNull() & y.isNotNull()
+    whole, amount = F.when(both, x).cast("decimal(15,0)"), F.when(both, y)
+    n = F.count(whole)
+    sums = [F.sum(v).cast("double") for v in (whole, amount, whole * amount, whole * whole)]
+    sum_x, sum_y, sum_xy, sum_xx = sums
+    spread = F.when(F.min(whole) < F.max(whole), sum_xx - sum_x * sum_x / n)
+    return F.try_divide(sum_xy - sum_x * sum_y / n, spread) * per
+
+
+def _amount(df: DataFrame, value: str) -> Column:
+    """Decimals as they are; other numbers to six decimals."""
+    kind = df.schema[value].dataType
+    exact = isinstance(kind, T.DecimalType) and kind.precision <= 18
+    return F.col(value) if exact else F.col(value).cast("decimal(18,6)")
+
+
 def trend_per_year(df: DataFrame, value: str, moment: str, by: Sequence[str] = ()) -> DataFrame:
-    """Least-squares slope per year of 365.25 days, four decimals."""
-    x = epoch_years(F.col(moment))
-    slope = F.regr_slope(F.col(value).cast("double"), x)
+    """Least-squares slope per year of 365.25 days, four decimals.
+
+    Time counts in milliseconds. Sums are exact (see ``_slope``).
+    """
+    since = F.unix_millis(F.col(moment).cast("timestamp")) - ORIGIN_MILLIS
+    slope = _slope(since, _amount(df, value), 365.25 * 24 * 3600 * 1000)
     return df.groupBy(*by).agg(half_up(slope, 4).alias("per_year"))
 
 
@@ -275,8 +325,7 @@ def trend_if_enough(df: DataFrame, value: str, date: str, more_than: int = 24) -
 
     The origin does not change a slope, so no pass is spent on finding the first date.
     """
-    x = F.unix_date(date) / F.lit(365.25)
-    slope = F.regr_slope(F.col(value).cast("double"), x)
+    slope = _slope(F.unix_date(date), _amount(df, value), 365.25)
     enough = F.count(F.lit(1)) > more_than
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"), F.when(enough, half_up(slope, 3)).alias("per_year")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake.functions.numbers import area_size, min_max_index
-from obslake.operators.ordered import exact_quantiles, join_null_safe
+from obslake.operators.ordered import exact_quantiles, join_null_safe, quantile_profiles
 from obslake.session import stored
 
 BOX_POINTS = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
@@ -44,13 +44,20 @@ def tier_means(df: DataFrame, tier: str, value: str, tiers: Sequence[str]) -> Da
 
 
 def tier_boxes(df: DataFrame, tier: str, value: str) -> DataFrame:
-    """Five-number summary with mean and count per tier, for tiers of any size."""
-    boxes = exact_quantiles(df, [tier], value, BOX_POINTS)
-    total, count = F.sum(value).cast("double"), F.count(value)
-    means = df.where(F.col(value).isNotNull()).groupBy(tier).agg(
-        count.alias("n_rows"), F.try_divide(total, count).alias("mean_value")
-    )
-    return boxes.join(means, tier)
+    """Five-number summary with mean and count per tier, for tiers of any size.
+
+    Count, sum, extremes and the windows of the quartiles come from one read, the exact
+    quartiles from a second one.
+    """
+    inner = {name: p for name, p in BOX_POINTS.items() if 0 < p < 1}
+    profiles = quantile_profiles(df, [tier], value, inner)
+    boxes = exact_quantiles(df, [tier], value, inner, profiles=profiles)
+    total = F.col("_total").cast("double")
+    summary = profiles.where("_rows > 0").select(
+        tier, F.col("_low").alias("low"), F.col("_high").alias("high"),
+        F.col("_rows").alias("n_rows"), F.try_divide(total, F.col("_rows")).alias("mean_value"),
+    )
+    return boxes.join(summary, tier).select(tier, *BOX_POINTS, "n_rows", "mean_value")
 
 
 def indexed(df: DataFrame, value: str, out: str, by: Sequence[str] = ()) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from obslake.operators import ordered, series
+from obslake.operators import ordered, panel, series
 from tests.conftest import same
 
 RANGES = [
@@ -123,15 +124,30 @@ def test_foreign_ranges_and_wide_keys(spark, tie):
         assert same(ordered.row_index(wide, [], "at", "n", ranges, ["v", "id"]), other)
 
 
-@pytest.mark.parametrize("parts", [1, 5, 16])
-def test_quantiles(skewed, parts):
+@pytest.mark.parametrize("accuracy", [1, 5, 16, 100, 1000, 10_000])
+def test_quantiles(skewed, accuracy):
     wanted = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.9, "e": 1.0}
-    got = ordered.exact_quantiles(skewed, ["entity"], "v", wanted, parts)
+    got = ordered.exact_quantiles(skewed, ["entity"], "v", wanted, accuracy)
     exact = [F.round(F.percentile("v", F.lit(p)), 6).alias(n) for n, p in wanted.items()]
     expected = skewed.groupBy("entity").agg(*exact)
     assert same(got.select("entity", *[F.round(n, 6).alias(n) for n in wanted]), expected)
 
 
+@pytest.mark.parametrize("accuracy", [20, 300])
+def test_quantiles_with_narrow_windows(spark, accuracy):
+    """Distinct, repeated and spread values, each in a group of its own and all together."""
+    n = F.col("id")
+    df = spark.range(0, 30_000, 1, 7).select(
+        (n % 3).alias("g"), F.when(n % 3 == 0, n * 7919 % 30_011).when(n % 3 == 1, n % 4).otherwise(F.pow(F.lit(1.001), n)).alias("v")
+    )
+    wanted = {f"p{i}": i / 20 for i in range(21)}
+    for by in (["g"], []):
+        exact = df.groupBy(*by).agg(*[F.percentile("v", F.lit(p)).alias(k) for k, p in wanted.items()])
+        got = ordered.exact_quantiles(df, by, "v", wanted, accuracy).select(*exact.columns)
+        for mine, theirs in zip(sorted(got.collect()), sorted(exact.collect()), strict=True):
+            assert tuple(mine) == pytest.approx(tuple(theirs), rel=1e-12)
+
+
 def test_quantiles_keep_groups_without_values(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 2.0), ("b", None)], "g string, v double")
     got = ordered.exact_quantiles(df, ["g"], "v", {"p": 0.5}).collect()
@@ -187,3 +203,51 @@ def test_rolling_rows_are_shuffled_once(spark):
     assert above.count("Exchange") == 1
     own_rows = below.split("Range (")[0]
     assert "Exchange" not in own_rows
+
+
+def test_slopes_do_not_depend_on_partitions(spark):
+    """To the last bit, for doubles, decimals and missing values; against numpy."""
+    n = F.col("id")
+    df = spark.range(3000).select(
+        (n % 3).alias("g"), F.timestamp_micros(n * 7_919_000_123 + 1_600_000_000_000_000).alias("at"),
+        F.when(n % 11 != 0, F.pow(n % 97, F.lit(1.3)) * 1e6 + n / 7).alias("v"),
+    )
+    slope = lambda d: series._slope(F.unix_millis("at"), F.col("v").cast("decimal(18,6)"), 1e9)
+    found = [
+        d.groupBy("g").agg(slope(d).alias("s")).orderBy("g").collect()
+        for d in (df.coalesce(1), df.repartition(7, "v"), df.orderBy(F.desc("v")).repartition(3))
+    ]
+    assert found[0] == found[1] == found[2]
+    for g, s in found[0]:
+        rows = df.where(F.col("g") == g).where("v is not null").select(F.unix_millis("at"), F.round("v", 6)).collect()
+        x, y = np.array(rows, dtype=float).T
+        x = x - x.mean()
+        assert s == pytest.approx((x * (y - y.mean())).sum() / (x * x).sum() * 1e9, rel=1e-6)
+    assert series.trend_per_year(df.limit(0), "v", "at").collect()[0][0] is None
+    assert series.trend_per_year(df.limit(1), "v", "at").collect()[0][0] is None
+
+
+def test_calendar_runs_against_numbering(spark):
+    days = spark.range(900).select(
+        F.date_add(F.lit("2019-12-20").cast("date"), (F.col("id") % 300 + F.col("id") % 300 / 13).cast("int")).alias("day"),
+        F.floor(F.col("id") / 300).alias("who"), (F.col("id") * 7919 % 5 > 0).alias("warm"), (F.col("id") % 17).alias("v"),
+    ).dropDuplicates(["day", "who"])
+    peak = {"peak": F.max("v")}
+    strict = series.consecutive_runs(days, "day", "warm", peak, 2, ["who"], calendar_strict=True)
+    assert same(series.calendar_runs(days, "day", "warm", peak, 2, ["who"]), strict)
+    plain = spark.createDataFrame(days.collect(), days.schema)
+    plan = series.calendar_runs(plain, "day", "warm", peak, 2, ["who"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "MergingSessions" in plan.split("Exchange")[0]
+    assert "HashAggregate" in plan.split("Exchange")[1]
+
+
+def test_united_sketches_count_what_single_ones_would(spark):
+    n = F.col("id")
+    df = spark.range(60_000).select((n % 5).alias("site"), (n % 4).alias("yr"), F.when(n % 9 > 0, n * n % 20_011).alias("species"))
+    sketches = panel.distinct_sketches(df, ["site", "yr"], "species")
+    for by in (["site"], ["yr"], []):
+        exact = df.groupBy(*by).agg(F.count_distinct("species").alias("n")).collect()
+        near = {tuple(r[c] for c in by): r["n"] for r in panel.united_distinct(sketches, by, "n").collect()}
+        assert all(abs(near[tuple(r[c] for c in by)] - r["n"]) <= 0.05 * r["n"] for r in exact)
+    none = panel.distinct_sketches(df.where("species IS NULL"), ["site"], "species")
+    assert none.collect() == []
