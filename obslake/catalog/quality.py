@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.catalog.loading import AUDIT_SQL, LINE_KEY, audited_load
+from obslake.catalog.loading import AUDIT_SQL, LINE_KEY, counted_loads
 from obslake.catalog.registry import Tables, amount, doubles, money, query, r
 from obslake.functions.calendar import decade_of, span_years
 from obslake.operators import quality, stats
@@ -186,7 +186,7 @@ def q_quality_gate(t: Tables) -> DataFrame:
     """Failures and warnings over events, customers as their dimension, and the load trail."""
     known = t.customer.where("c_acctbal >= 0").select(F.col("c_custkey").alias("user_id"))
     gate = quality.quality_gate(
-        t.events, known, audited_load(t), key=["event_id"], dim_key=["user_id"],
+        t.events, known, counted_loads(t), key=["event_id"], dim_key=["user_id"],
         required={}, optional={"value": (0, 400)}, moment="ts", as_of=AS_OF,
         bad=F.col("event_type").isin("error", "signup"), bad_by=["user_id"], max_bad_pct=45,
     )

@@ -70,12 +70,9 @@ WHERE p.richness IS NOT NULL AND p.biomass IS NOT NULL AND c.c_mktsegment IN ('H
 )
 def q_filtered_slice(t: Tables) -> DataFrame:
     """Complete customer years of two segments within a span of years."""
-    complete = customer_panel(t).dropna(subset=["richness", "biomass"])
     segments = t.customer.where(F.col("c_mktsegment").isin("HOUSEHOLD", "MACHINERY"))
-    chosen = complete.where(F.col("yr").between(1996, 1999)).join(
-        segments.select(F.col("c_custkey").alias("site")), "site", "left_semi"
-    )
-    return chosen.select("site", "yr", "richness", "biomass")
+    chosen = customer_panel(t, segments.select(F.col("c_custkey").alias("site")), (1996, 1999))
+    return chosen.dropna(subset=["richness", "biomass"]).select("site", "yr", "richness", "biomass")
 
 
 @query("SELECT * FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'P'")

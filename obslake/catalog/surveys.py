@@ -198,9 +198,16 @@ panel AS (
   LEFT JOIN shipped s ON s.site = k.site AND s.yr = k.yr)"""
 
 
-def customer_panel(t: Tables) -> DataFrame:
-    """Customer and year over orders, site visits and shipped lines."""
-    orders = t.orders.withColumn("price", money("o_totalprice"))
+def customer_panel(t: Tables, sites: DataFrame | None = None, years: tuple[int, int] = (1, 9999)) -> DataFrame:
+    """Customer and year over orders, site visits and shipped lines.
+
+    Customers (``site``) and years can be chosen; what is not wanted goes before anything is
+    aggregated.
+    """
+    wanted = lambda df, site: df if sites is None else df.join(sites.select(F.col("site").alias(site)), site, "left_semi")
+    within = lambda df: df.where(F.col("yr").between(*years))
+    t_orders = wanted(t.orders, "o_custkey")
+    orders = t_orders.withColumn("price", money("o_totalprice"))
     priorities = {
         "urgent": F.col("o_orderpriority") == "1-URGENT",
         "low": F.col("o_orderpriority") == "5-LOW",
@@ -208,20 +215,20 @@ def customer_panel(t: Tables) -> DataFrame:
     bought = orders.groupBy(
         F.col("o_custkey").alias("site"), F.year("o_orderdate").alias("yr")
     ).agg(*panel.conditional_sums("price", priorities))
-    events = t.events.withColumn("value", money("value"))
+    events = wanted(t.events, "user_id").withColumn("value", money("value"))
     purchase = panel.conditional_mean("value", F.col("event_type") == "purchase")
     visited = events.groupBy(F.col("user_id").alias("site"), F.year("ts").alias("yr")).agg(
         purchase.alias("purchase_mean")
     )
     # An order with very many lines is split by Spark's own skew-join handling.
-    buyers = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("site"))
-    lines = t.lineitem.join(buyers, "l_orderkey")
-    shipped = lines.groupBy("site", ship_year().alias("yr")).agg(
+    buyers = t_orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("site"))
+    lines = within(t.lineitem.withColumn("yr", ship_year())).join(buyers, "l_orderkey")
+    shipped = lines.groupBy("site", "yr").agg(
         F.count_distinct("l_partkey").alias("richness"),
         F.sum(money("l_extendedprice")).alias("biomass"),
         F.sum(money("l_quantity")).alias("total"),
     )
-    joined = panel.anchored_panel([bought, visited, shipped], ["site", "yr"], ["urgent", "low"])
+    joined = panel.anchored_panel([within(bought), within(visited), shipped], ["site", "yr"], ["urgent", "low"])
     return rounded(doubles(joined, "urgent", "low", "biomass", "total"), 4, "purchase_mean")
 
 

@@ -62,13 +62,19 @@ def running_progress(
 def same_point_last_season(
     progress: DataFrame, season_number: str, month_number: str, measure: str
 ) -> DataFrame:
-    """The measure at the same calendar month one season earlier, NULL if there is none."""
-    earlier = progress.select(
-        (F.col(season_number) + 1).alias(season_number),
-        month_number,
-        F.col(measure).alias(f"{measure}_last_season"),
+    """The measure at the same calendar month one season earlier, NULL if there is none.
+
+    One row per season and month is expected: the seasons of a month are few rows in order,
+    and the one before counts if the two seasons adjoin.
+    """
+    by_month = Window.partitionBy(month_number).orderBy(season_number)
+    earlier = F.lag(F.struct(season_number, measure)).over(by_month)
+    adjoins = F.col("_earlier")[season_number] == F.col(season_number) - 1
+    return (
+        progress.withColumn("_earlier", earlier)
+        .withColumn(f"{measure}_last_season", F.when(adjoins, F.col("_earlier")[measure]))
+        .drop("_earlier")
     )
-    return progress.join(earlier, [season_number, month_number], "left")
 
 
 def months_into_season(months: DataFrame, season: str, month: str) -> DataFrame:

@@ -103,7 +103,11 @@ def axis_range(df: DataFrame, columns: Sequence[str], padding: float) -> DataFra
 def marker_sizes(
     df: DataFrame, value: str, floor: float, span: float, empty: float, out: str = "marker_size"
 ) -> DataFrame:
-    """Marker size with area proportional to the value, relative to the largest value."""
+    """Marker size with area proportional to the value, relative to the largest value.
+
+    The rows are written down, so that they are made once for both.
+    """
+    df = stored(df, "sized")
     largest = df.agg(F.max(value)).scalar()
     return df.withColumn(out, area_size(F.col(value), largest, floor, span, empty))
 

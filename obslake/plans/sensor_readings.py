@@ -83,16 +83,7 @@ def load(
     paths = {name: f"{folder}/{name}" for name in ("deployments", "readings", "load_log")}
     clean = stored(clean_readings(staged), "clean-readings")
     new = keys.derive_dimension(clean, DEPLOYMENT, "timestamp", "deployment_start", "deployment_end")
-    id_first = new.select(F.lit(0).cast("bigint").alias("deployment_id"), "*")
-    known = tables.existing_rows(id_first, paths["deployments"])
-    if known is None:
-        added = keys.number_rows(new, DEPLOYMENT, "deployment_id")
-    else:
-        added = keys.number_rows(keys.absent_rows(new, known, DEPLOYMENT), DEPLOYMENT, "deployment_id")
-        highest = F.coalesce(known.agg(F.max("deployment_id")).scalar(), F.lit(0))
-        added = added.withColumn("deployment_id", F.col("deployment_id") + highest)
-    tables.append_table(added, paths["deployments"])
-    dim = tables.read_table(spark, paths["deployments"])
+    dim = tables.extend_dimension(new, paths["deployments"], DEPLOYMENT, "deployment_id")
     fact = keys.require_resolved(readings(clean, dim), "deployment_id")
     tables.insert_if_absent(fact, paths["readings"], ["deployment_id", "timestamp"])
     audit = tables.load_audit(

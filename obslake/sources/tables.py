@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obslake.operators.keys import absent_rows, keep_first
+from obslake.operators.keys import absent_rows, keep_first, number_rows
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -78,6 +78,23 @@ def insert_if_absent(df: DataFrame, path: str, key: Sequence[str], buckets: int
     append_table(keep_first(df, key) if present is None else absent_rows(df, present, key), path)
 
 
+def extend_dimension(new: DataFrame, path: str, key: Sequence[str], id_column: str) -> DataFrame:
+    """Add the keys a dimension table lacks, with ids that go on where its ids end; read it back.
+
+    ``new`` has one row per key. Members already on record keep their id and their row.
+    """
+    id_first = new.select(F.lit(0).cast("bigint").alias(id_column), "*")
+    known = existing_rows(id_first, path)
+    if known is None:
+        added = number_rows(new, key, id_column)
+    else:
+        added = number_rows(absent_rows(new, known, key), key, id_column)
+        highest = F.coalesce(known.agg(F.max(id_column)).scalar(), F.lit(0))
+        added = added.withColumn(id_column, F.col(id_column) + highest)
+    append_table(added, path)
+    return read_table(new.sparkSession, path)
+
+
 def bucketed_table(df: DataFrame, path: str, key: Sequence[str], buckets: int) -> str:
     """The name of the table of ``path`` in the session's catalogue, entered on first use.
 
