@@ -141,6 +141,27 @@ def test_held_out_toxicity(spark):
     assert np.mean([r["predicted"] for r in bad]) > 0.5
 
 
+def test_what_hits_are_worth(spark):
+    """Misspelled, with inner digits and quoted: each less than the term itself, none below clean."""
+    rng = random.Random(11)
+    terms = ["scum", "idiot", "worthless", "trash"]
+    rows = [(i, f"{prose('en', 25, rng)} {rng.choice(terms)} {prose("en", 5, rng)}", 1) for i in range(300)]
+    rows += [(1000 + i, prose("en", 30, rng) + " trace " + rng.choice(["smog", "idol", "scam"]), 0) for i in range(600)]
+    rows += [(5000 + i, "copy of one text " + " ".join(f"odd{j}" for j in range(30)) + f" idiot {i % 3}", 1) for i in range(200)]
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert set(model.terms) == set(terms) and not model.stems  # no word of a text that is only often repeated
+    exact, exact_quoted, fuzzy, fuzzy_quoted = model.weights[:4]
+    assert exact >= fuzzy >= fuzzy_quoted >= 0 and exact > exact_quoted >= fuzzy_quoted
+    texts = ["a lovely day", "you idiot", "you idot", "you 1d10t, id1ot", "the “idiot” again", "the scam", "you scun", "no!idiot", "trashed"]
+    got = toxicity.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    score = {texts[r["doc_id"]]: r["score"] for r in got}
+    clean = score["a lovely day"]
+    assert score["the scam"] == clean  # clean rows have this word
+    for toxic in ("you idiot", "you idot", "you 1d10t, id1ot", "you scun", "no!idiot"):
+        assert score[toxic] > 0.5 > clean
+    assert clean <= score["the “idiot” again"] < score["you idiot"] and score["you idot"] <= score["you idiot"]
+
+
 def test_rare_terms_and_stems_before_the_limit(spark):
     """150 terms, each in under 1 % of the toxic rows; their stems do not use up the entries."""
     rng = random.Random(6)
@@ -160,7 +181,7 @@ def test_misspelled_terms_and_odd_tables(spark, odd, empty):
     tests = spark.createDataFrame([(1, "utterly worthles scoundrel"), (2, "a WORTHLESS day"), (3, "the quick fox")], "doc_id long, text string")
     found = {r["doc_id"]: r for r in toxicity.score_documents(tests, model).collect()}
     assert found[2]["predicted"] == 1 and found[3]["predicted"] == 0
-    assert found[1]["score"] >= found[3]["score"]
+    assert found[1]["predicted"] == 1 and found[1]["score"] > 10 * found[3]["score"]
     odd_rows = toxicity.score_documents(odd, model).collect()
     assert len(odd_rows) == odd.count() and all(r["predicted"] == 0 for r in odd_rows)
     assert toxicity.score_documents(empty, model).collect() == []
