@@ -13,7 +13,7 @@ from obslake.llm.words import fold
 
 @query()
 def op1_pack(t: Tables):
-    return packing.pack(t.documents, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return packing.pack(t.documents, public_tokenizers.path("word_bpe_49k.json"), with_ids=False, cached_words=600_000)
 
 
 @query()

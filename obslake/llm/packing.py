@@ -28,7 +28,7 @@ from obslake.llm.worker import memory
 from obslake.llm.words import text_or_empty
 from obslake.session import stored
 
-CACHED_WORDS = 200_000
+CACHED_WORDS = 200_000  # a Python worker
 HANDED_ON = 1 << 18  # tokens of pieces that are handed on together
 END = b"\0\0\0\0"
 MARKS = b".,!?;:"
@@ -234,7 +234,7 @@ def _learn(tokenizer, cache: dict[bytes, bytes], words: list[bytes]) -> None:
     cache.update((w, cache[base] + cache[tail]) for w, (base, tail) in parts.items())
 
 
-def token_bytes(text: str, path: str) -> bytes:
+def token_bytes(text: str, path: str, cached_words: int = CACHED_WORDS) -> bytes:
     """The ids of a text as little-endian unsigned 32-bit integers.
 
     The tokenizer lower-cases, splits at white space and drops it, so a text's ids are
@@ -247,7 +247,7 @@ def token_bytes(text: str, path: str) -> bytes:
         return _ids(tokenizer.encode(text, add_special_tokens=False))
     words = raw.split()
     missing = list(set(words).difference(cache))
-    if len(cache) + len(missing) > CACHED_WORDS:
+    if len(cache) + len(missing) > cached_words:
         cache.clear()
         missing = list(set(words))
     if missing:
@@ -260,7 +260,7 @@ _PIECES = (
 )
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool):
+def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool, cached_words: int):
     part, seen, row = TaskContext.get().partitionId(), Counter(), 0
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64())
     names = [f.split()[0] for f in _PIECES.split(", ")]
@@ -272,7 +272,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_id
     for batch in batches:
         out, tokens = [], 0
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            body = token_bytes(text.as_py(), path) + END
+            body = token_bytes(text.as_py(), path, cached_words) + END
             for number, start in enumerate(range(0, len(body), 4 * capacity)):
                 ids = body[start : start + 4 * capacity]
                 length = len(ids) // 4
@@ -293,6 +293,7 @@ def pack(
     text: str = "text",
     capacity: int = 2048,
     with_ids: bool = True,
+    cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
     """Per piece: its id column, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
@@ -302,11 +303,12 @@ def pack(
 
     Ids are handed through as they are, null and repeated ones too (each row is a
     document); other columns do not matter. An empty table gives an empty result.
-    ``tokenizer_path`` must be readable where tasks run.
+    ``tokenizer_path`` must be readable where tasks run. ``cached_words`` trades a Python
+    worker's memory for time: so many words keep their ids.
     """
     rows = df.select(F.col(doc_id).cast("long").alias("_id"), text_or_empty(text).alias("_text"))
     pieces = stored(
-        rows.mapInArrow(lambda batches: _pieces(batches, tokenizer_path, capacity, with_ids), _PIECES),
+        rows.mapInArrow(lambda batches: _pieces(batches, tokenizer_path, capacity, with_ids, cached_words), _PIECES),
         "pieces",
     )
     per_part = pieces.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n"))
