@@ -9,7 +9,7 @@ matrix times that projects all rows.
 from __future__ import annotations
 
 import numpy as np
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -49,16 +49,15 @@ def _scatter(matrix: BlockMatrix) -> np.ndarray:
     return BlockMatrix(product, left.rowsPerBlock, matrix.colsPerBlock).toLocalMatrix().toArray()
 
 
-def _projected(matrix: BlockMatrix, by: np.ndarray) -> DataFrame:
+def _projected(matrix: BlockMatrix, by: np.ndarray, context: SparkContext) -> DataFrame:
     """index, projected: the rows times ``by``, which is as high as a vector is wide."""
-    spark_context = matrix.blocks.context
     high = matrix.colsPerBlock
     blocks = [
         ((at // high, 0), Matrices.dense(*part.shape, part.ravel(order="F")))
         for at in range(0, len(by), high)
         for part in [by[at : at + high]]
     ]
-    right = BlockMatrix(spark_context.parallelize(blocks, 1), high, by.shape[1], *by.shape)
+    right = BlockMatrix(context.parallelize(blocks, 1), high, by.shape[1], *by.shape)
     rows = matrix.multiply(right).toIndexedRowMatrix()
     found = callMLlibFunc("getIndexedRows", rows._java_matrix_wrapper._java_model)
     return found.select("index", vector_to_array("vector").alias("projected"))
@@ -125,11 +124,11 @@ def whiten(
         vectors = vectors[:, :kept] * np.sign(vectors[np.abs(vectors[:, :kept]).argmax(axis=0), range(kept)])
         scales, explained = np.sqrt(values[:kept]), (values[:kept] / trace).tolist() if kept else []
     if kept:
-        whitened = stored(_projected(matrix, vectors / scales), "whitened")
+        whitened = stored(_projected(matrix, vectors / scales, df.sparkSession.sparkContext), "whitened")
     else:
         whitened = fit.select("index", F.array().cast("array<double>").alias("projected"))
     if width:
-        matrix.blocks.unpersist()
+        matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
     pairs = [(i, j) for i in range(kept) for j in range(i + 1)]
     w = lambda i: F.col("projected")[i]
     found = whitened.agg(*[F.covar_pop(w(i), w(j)) for i, j in pairs], F.count(F.lit(1))).first()
