@@ -8,6 +8,8 @@ the driver sees sums, never sources or documents.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from obslake.llm.words import text_or_empty, word_count
 from obslake.operators.keys import number_rows
 from obslake.session import stored
 
-BLOCKS = 64  # of the smallest target at least, unless a block is one word
+BLOCKS = 1024  # at least as many in the target of a shard, unless a block is one word
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
@@ -111,8 +113,9 @@ def mix_sources(
 
     ``taken`` counts the words drawn, repeats included, and never exceeds ``most`` times the
     size. It is a multiple of the size, so documents are drawn whole, except for the one
-    document of a shard at which its quota ends. Blocks have ``block_words`` words, or fewer
-    where a shard's target is small. The draw depends on ids, sizes and ``seed`` alone.
+    document of a shard at which its quota ends. Blocks have ``block_words`` words; sources of
+    which a shard's target is under 1024 of these share their words in blocks of one. The
+    draw depends on ids, sizes and ``seed`` alone.
 
     Null text has size 0 and nothing is taken of it; a null source is a source, the last.
     Null and repeated ids are rows of their own; equal rows are interchangeable. Other
@@ -141,15 +144,20 @@ def mix_sources(
         cells.select(
             "_source", "_shard", "_cell_size",
             (F.col("_of") * F.col("_cell_size") / F.col("_whole")).alias("_cell_target"),
+            F.when(F.col("_of") >= block_words * BLOCKS * F.greatest(F.ceil(F.col("_whole") / shard_words), F.lit(1)), block_words)
+            .otherwise(1).alias("_block"),
         ),
         "mix-shards",
     )
-    total, least = cells.agg(F.sum("_cell_target"), F.min(F.when(F.col("_cell_target") > 0, F.col("_cell_target")))).first()
-    # A block is a small part of every shard's target, so that none is lost to rounding.
-    block = max(1, min(block_words, int((least or 0) // BLOCKS)))
-    cells = cells.withColumn("_most", F.ceil(F.col("_cell_size") * most / block))
-    quotas = apportion(cells, "_cell_target", "_most", max(round((total or 0) / block), 1), ["_source", "_shard"])
-    quota = F.least(F.col("_seats") * block, F.col("_cell_size") * most)
+    # A block is a small part of a shard's target, so that no source is lost to rounding.
+    cells = cells.withColumn("_most", F.ceil(F.col("_cell_size") * most / F.col("_block")))
+    totals = {r["_block"]: r["_total"] for r in cells.groupBy("_block").agg(F.sum("_cell_target").alias("_total")).collect()}
+    dealt = [
+        apportion(cells.where(F.col("_block") == block), "_cell_target", "_most", max(round(totals.get(block, 0) / block), 1), ["_source", "_shard"])
+        for block in sorted(totals) or [block_words]
+    ]
+    quotas = functools.reduce(DataFrame.unionByName, dealt)
+    quota = F.least(F.col("_seats") * F.col("_block"), F.col("_cell_size") * most)
 
     cell = Window.partitionBy("_source", "_shard").orderBy(F.xxhash64(F.lit(seed), "_id"), "_id", "_size")
     placed = rows.where("_size > 0").withColumn(

@@ -137,6 +137,16 @@ def test_small_sources_reach_their_targets(spark):
         assert sum(r["taken"] for r in found if r["source"] == source) == pytest.approx(target, abs=1.01)
 
 
+def test_a_small_source_leaves_the_blocks_of_others(spark):
+    rows = [(i, " ".join(["w"] * 100), "big" if i % 2 else "other") for i in range(400)] + [(900, "a few words here", "tiny")]
+    found = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_words=8).collect()
+    targets = filled({"big": 20_000, "other": 20_000, "tiny": 4})
+    taken = {s: sum(r["taken"] for r in found if r["source"] == s) for s in targets}
+    assert taken["tiny"] == round(targets["tiny"]) == 12
+    for source in ("big", "other"):
+        assert taken[source] % 8 == 0 and taken[source] == pytest.approx(targets[source], abs=8)
+
+
 def test_seats_are_those_of_the_highest_quotients(spark):
     targets = [53.0, 24.0, 24.0, 3.0, 0.5, 71.3]
     cells = spark.createDataFrame([(i, t, 12) for i, t in enumerate(targets)], "c long, t double, m long")
