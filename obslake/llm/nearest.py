@@ -3,9 +3,10 @@
 Components become integers, and one more coordinate sqrt(M^2 - |v|^2) gives all vectors
 the same length M, so that a larger inner product is a smaller distance. Vectors are
 keyed by their nearest pivot and their distance to it; sorted by that key they are cut
-into annuli. A query is first answered from the annulus it lies in, then from the few
-annuli nearest to it, and then from all those that the triangle inequality cannot rule
-out with the k-th score found so far.
+into annuli, and runs of annuli into a tree. A query is first answered from the annulus it lies
+in, then from the few annuli nearest to it, and then from all those that the triangle
+inequality cannot rule out with the k-th score found so far; these it finds by going down
+the tree, so that it meets few that are ruled out.
 """
 
 from __future__ import annotations
@@ -105,6 +106,7 @@ def top_k(
     pivots: int = 16,
     annulus_rows: int = 2048,
     first: int = 3,
+    fan: int = 64,
 ) -> DataFrame:
     """Per query row its ``k`` largest integer inner products: query_id, rank, vec_id, score.
 
@@ -167,10 +169,13 @@ def top_k(
         .withColumn("_annulus", F.spark_partition_id().cast("long") * len(chosen) + F.col("_pivot")),
         "annuli",
     )
-    directory = stored(
-        index.groupBy("_annulus").agg(F.first("_pivot").alias("_pivot"), F.min("_away").alias("_low"), F.max("_away").alias("_high")),
-        "annulus-directory",
-    )
+    # A node is (_node, _pivot): the pivot's vectors in fan^level neighbouring ranges. Few are at the top.
+    spread_of = [F.min("_low").alias("_low"), F.max("_high").alias("_high")]
+    ranges = index.select(F.floor(F.col("_annulus") / len(chosen)).alias("_node"), "_pivot", F.col("_away").alias("_low"), F.col("_away").alias("_high"))
+    tree = [stored(ranges.groupBy("_node", "_pivot").agg(*spread_of), "annulus-directory")]
+    while parts > fan ** len(tree):
+        wider = tree[-1].withColumn("_node", F.floor(F.col("_node") / fan))
+        tree.append(stored(wider.groupBy("_node", "_pivot").agg(*spread_of), "annulus-directory"))
 
     def search(table: pa.Table, vectors: pa.ChunkedArray) -> Iterator[pa.RecordBatch]:
         data = _matrix(table.column("_v"), width)
@@ -216,19 +221,28 @@ def top_k(
             reach, "_v array<bigint>, _home bigint, _pivot int, _far double, _radius double"
         )
         bound = F.greatest(F.col("_low") - F.col("_far"), F.col("_far") - F.col("_high"), F.lit(0.0))
-        return (
-            spans.join(directory, "_pivot")
-            .where((F.col("_annulus") != F.col("_home")) & (bound <= F.col("_radius")))
-            .select("_v", "_annulus", bound.alias("_bound"))
-        )
+        reached = spans.withColumn("_above", F.lit(0).cast("bigint"))
+        for level in reversed(tree):
+            above = F.floor(F.col("_node") / fan) if level is not tree[-1] else F.lit(0).cast("bigint")
+            reached = (
+                reached.join(level.withColumn("_above", above), ["_pivot", "_above"])
+                .withColumn("_bound", bound).where("_bound <= _radius")
+                .select("_v", "_home", "_pivot", "_far", "_radius", "_bound", F.col("_node").alias("_above"))
+            )
+        annulus = F.col("_above") * len(chosen) + F.col("_pivot")
+        return reached.select("_v", annulus.alias("_annulus"), "_home", "_bound").where("_annulus <> _home").drop("_home")
 
     def visit(pairs: DataFrame) -> DataFrame:
-        """Search the annuli of the pairs; many queries of one annulus are cut into pieces."""
+        """Search the annuli of the pairs; many queries of one annulus are cut into pieces.
+
+        An annulus goes only to the pieces that ask for it.
+        """
         pieces = max(1, -(-n_asked // PIECE))
-        piece = F.pmod(F.xxhash64("_v"), F.lit(pieces)).cast("int")
-        copies = index.select("*", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("_piece"))
-        return pairs.withColumn("_piece", piece).groupBy("_annulus", "_piece").cogroup(
-            copies.groupBy("_annulus", "_piece")
+        pairs = pairs.withColumn("_piece", F.pmod(F.xxhash64("_v"), F.lit(pieces)).cast("int"))
+        asking = pairs.select("_annulus", F.col("_piece").alias("_asking")).distinct()
+        copies = index.join(asking, "_annulus")
+        return pairs.groupBy("_annulus", "_piece").cogroup(
+            copies.groupBy("_annulus", "_asking")
         ).applyInArrow(
             lambda asking, there: pa.Table.from_batches(
                 search(there, asking.column("_v")) if asking.num_rows else [], schema=found_schema
@@ -242,6 +256,7 @@ def top_k(
     )
     best = stored(_merged(best.unionByName(visit(visited)), keep), "found-near")
     rest = open_annuli(best).select("_v", "_annulus").join(visited, ["_v", "_annulus"], "left_anti")
+    rest = stored(rest, "left-open")
     best = _merged(best.unionByName(visit(rest)), keep)
 
     others = F.filter(F.arrays_zip("_scores", "_ids"), lambda x: x["_ids"] != F.col("_id"))

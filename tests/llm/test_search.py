@@ -29,15 +29,15 @@ def vectors(rng: random.Random, n: int, clusters: int):
     return [(i, [c + rng.gauss(0, 0.05) for c in rng.choice(centres)]) for i in range(n)]
 
 
-@pytest.mark.parametrize("annulus", [3, 40, 5000])
-def test_against_brute_force(spark, annulus):
+@pytest.mark.parametrize("annulus, fan", [(3, 64), (3, 2), (3, 5), (40, 64), (40, 3), (5000, 64)])
+def test_against_brute_force(spark, annulus, fan):
     rng = random.Random(annulus)
     rows = vectors(rng, 300, 7)
     rows += [(1000 + i, rows[5][1]) for i in range(60)]  # many equal vectors
     rows += [(2000, None), (2010, [1.0, None, 0.0]), (2020, [float("nan")] * 6), (2030, [float("inf")] * 6), (None, [1.0] * 6)]
     rows += [rows[0], rows[0], (3000, [1.0, 2.0]), (3010, [0.0] * 6), (3020, [])]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, _v string, score int")
-    got = nearest.top_k(df, F.col("vec_id") % 10 == 0, pivots=4, annulus_rows=annulus, first=1)
+    got = nearest.top_k(df, F.col("vec_id") % 10 == 0, pivots=4, annulus_rows=annulus, first=1, fan=fan)
     assert {tuple(r) for r in got.collect()} == brute(rows, lambda i: i % 10 == 0, 5, 256)
 
 
@@ -50,6 +50,14 @@ def test_ids_with_many_vectors_get_all_their_hits(spark):
     assert len(got) == 9 * 5 and {tuple(r) for r in got} == brute(rows, lambda i: i == 0, 5, 256)
 
 
+def test_many_queries_of_an_annulus_are_cut_into_pieces(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "PIECE", 10)
+    rows = vectors(random.Random(4), 120, 5)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nearest.top_k(df, F.col("vec_id") % 2 == 0, pivots=3, annulus_rows=15, first=1, fan=2)
+    assert {tuple(r) for r in got.collect()} == brute(rows, lambda i: i % 2 == 0, 5, 256)
+
+
 def test_few_candidates_and_odd_tables(spark):
     shape = "vec_id long, embedding array<float>"
     ask = F.col("vec_id") % 2 == 0
