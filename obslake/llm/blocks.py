@@ -4,8 +4,11 @@ Counting n-grams of a large corpus row by row moves a row per token. Here the di
 texts are dealt to blocks of a few megabytes by their hash; a block names its distinct
 keys once, sorted and delta-coded, to the task that owns their range; the owner adds up
 and answers in the same order, so that an answer needs no keys. A key that occurs
-everywhere costs one entry a block. Blocks are made anew from the table when they are
-needed again; the same texts give the same keys in the same order.
+everywhere costs one entry a block. No block writes to more than ``FAN`` tasks: where there
+are more owners, the ranges form a tree, and inner tasks add up what some blocks hold of a
+range before they ask further down, so that messages grow with the number of blocks, not
+with its square. Blocks are made anew from the table when they are needed again; the same
+texts give the same keys in the same order.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 import math
 import struct
 from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obslake.llm.words import hash_pair, text_or_empty
+from obslake.session import stored
 
 BLOCK_BYTES = 6 << 20
+FAN = 64
 FLUSH_BYTES = 24 << 20
 U = np.uint64
 
@@ -231,15 +237,40 @@ def key_bits(entries: float, spare: int) -> int:
     return min(64, max(24, math.ceil(math.log2(max(entries, 2))) + spare))
 
 
-def questions(keys: np.ndarray, values: Sequence[np.ndarray], owners: int, bits: int) -> Iterator[tuple[int, bytes]]:
-    """Sorted distinct shortened keys with their values, per owner of a range of keys."""
-    edges = [(i << bits) // owners for i in range(1, owners)]
+class Tree(NamedTuple):
+    """Ranges of keys, each cut into ``fan`` smaller ones, ``depth`` times; the smallest have owners."""
+
+    fan: int
+    depth: int
+
+    @property
+    def owners(self) -> int:
+        return self.fan**self.depth
+
+
+def owner_tree(owners: int, fan: int = FAN) -> Tree:
+    """At least so many owners, under nodes of at most ``fan`` children that are about equal in number."""
+    depth = 1
+    while fan**depth < owners:
+        depth += 1
+    least = next(n for n in range(1, owners + 1) if n**depth >= owners) if depth > 1 else max(1, owners)
+    return Tree(least, depth)
+
+
+def questions(
+    keys: np.ndarray, values: Sequence[np.ndarray], ranges: int, bits: int, first: int = 0, of: int | None = None
+) -> Iterator[tuple[int, bytes]]:
+    """Sorted distinct shortened keys with their values, per range of keys.
+
+    All keys lie in ``ranges`` ranges from number ``first`` on, out of ``of``, or of these alone.
+    """
+    edges = [(i << bits) // (of or ranges) for i in range(first + 1, first + ranges)]
     cuts = np.concatenate([[0], np.searchsorted(keys, np.array(edges, U)), [len(keys)]]).astype(np.int64)
-    for owner in range(owners):
-        a, b = cuts[owner], cuts[owner + 1]
+    for at in range(ranges):
+        a, b = cuts[at], cuts[at + 1]
         if a < b:
             part = keys[a:b]
-            yield owner, packed([part[:1], np.diff(part), *[_narrow(v[a:b]) for v in values]])
+            yield first + at, packed([part[:1], np.diff(part), *[_narrow(v[a:b]) for v in values]])
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:
@@ -248,40 +279,100 @@ def _narrow(values: np.ndarray) -> np.ndarray:
     return values.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if largest <= np.iinfo(t).max))
 
 
+_ASKED = "_owner int, _block int, _data binary"
+_ASKED_SCHEMA = pa.schema([("_owner", pa.int32()), ("_block", pa.int32()), ("_data", pa.binary())])
+_ANSWER = "_block int, _owner int, _data binary, _summary array<long>"
+_ANSWER_SCHEMA = pa.schema(
+    [("_block", pa.int32()), ("_owner", pa.int32()), ("_data", pa.binary()), ("_summary", pa.list_(pa.int64()))]
+)
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows) if rows else [[]] * len(schema)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _added_up(payloads: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """How many keys each payload has, the distinct keys, where each key is among them, and their sums."""
+    keys, values = [], []
+    for data in payloads:
+        first, steps, *counts = unpacked(data)
+        keys.append(np.cumsum(np.concatenate([first, steps]), dtype=U))
+        values.append(np.array(counts, np.int64).T.reshape(len(keys[-1]), len(counts)))
+    return [len(k) for k in keys], *distinct_keys(np.concatenate(keys), np.concatenate(values))
+
+
+def _replies(blocks: list[int], owner: int, sizes: list[int], where: np.ndarray, sent: np.ndarray) -> list[tuple]:
+    out, at = [], 0
+    for block, size in zip(blocks, sizes):
+        out.append((block, owner, packed([_narrow(column) for column in sent[where[at : at + size]].T]), None))
+        at += size
+    return out
+
+
+def _asked_further(asked: DataFrame, tree: Tree, level: int, bits: int) -> DataFrame:
+    """What ``fan`` askers want to know of a range, added up and asked of the ranges within it."""
+
+    def ask(table: pa.Table) -> pa.Table:
+        node, herd = table.column("_owner")[0].as_py(), table.column("_herd")[0].as_py()
+        _, keys, _, sums = _added_up(table.column("_data").to_pylist())
+        inner = questions(keys, sums.T, tree.fan, bits, node * tree.fan, tree.fan ** (level + 1))
+        return _table([(owner, herd, data) for owner, data in inner], _ASKED_SCHEMA)
+
+    return asked.groupBy("_owner", "_herd").applyInArrow(ask, _ASKED)
+
+
+def _handed_back(asked: DataFrame, answers: DataFrame, tree: Tree) -> DataFrame:
+    """Answers to what was asked further, dealt to those that had asked."""
+
+    def hand(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _table([], _ANSWER_SCHEMA)
+        sizes, _, where, sums = _added_up(left.column("_data").to_pylist())
+        sent = totals_in_order(right, sums.shape[1])
+        return _table(
+            _replies(left.column("_block").to_pylist(), left.column("_owner")[0].as_py(), sizes, where, sent), _ANSWER_SCHEMA
+        )
+
+    inner = answers.where("_data IS NOT NULL").select(
+        F.floor(F.col("_owner") / tree.fan).cast("int").alias("_node"), F.col("_block").alias("_herd"), "_owner", "_data"
+    )
+    back = asked.groupBy("_owner", "_herd").cogroup(inner.groupBy("_node", "_herd")).applyInArrow(hand, _ANSWER)
+    return back.unionByName(answers.where("_data IS NULL"))
+
+
 def answered(
     asked: DataFrame,
+    tree: Tree,
+    bits: int,
     summary: Callable[[np.ndarray, np.ndarray], tuple[int, ...]] | None = None,
     reply: Callable[[int, np.ndarray], np.ndarray] | None = None,
 ) -> DataFrame:
     """Add up the values of equal keys and send every block the totals of the keys it asked for.
 
-    ``asked`` has rows (_owner, _block, _data). The answer has rows (_block, _owner, _data);
-    ``reply`` turns an owner's number and totals, in the order of its keys, into what is sent
-    instead of the totals; with ``summary``, a row of block -1 per owner holds numbers over all its keys.
+    ``asked`` has rows (_owner, _block, _data) for the first ``tree.fan`` ranges of keys of
+    ``bits`` bits. The answer has rows (_block, _owner, _data); ``reply`` turns an owner's
+    number and totals, in the order of its keys, into what is sent instead of the totals; with
+    ``summary``, a row of block -1 per owner holds numbers over all its keys.
     """
-    schema = pa.schema([("_block", pa.int32()), ("_owner", pa.int32()), ("_data", pa.binary()), ("_summary", pa.list_(pa.int64()))])
 
     def add_up(table: pa.Table) -> pa.Table:
-        blocks, payloads = table.column("_block").to_pylist(), table.column("_data").to_pylist()
         owner = table.column("_owner")[0].as_py()
-        keys, values, sizes = [], [], []
-        for data in payloads:
-            first, steps, *counts = unpacked(data)
-            keys.append(np.cumsum(np.concatenate([first, steps]), dtype=U))
-            values.append(np.array(counts, np.int64).T.reshape(len(first) + len(steps), len(counts)))
-            sizes.append(len(keys[-1]))
-        distinct, where, sums = distinct_keys(np.concatenate(keys), np.concatenate(values))
-        sent = reply(owner, sums) if reply else sums
-        out, at = [], 0
-        for block, size in zip(blocks, sizes):
-            totals = sent[where[at : at + size]]
-            out.append((block, owner, packed([_narrow(column) for column in totals.T]), None))
-            at += size
+        sizes, distinct, where, sums = _added_up(table.column("_data").to_pylist())
+        out = _replies(table.column("_block").to_pylist(), owner, sizes, where, reply(owner, sums) if reply else sums)
         if summary:
             out.append((-1, owner, None, summary(distinct, sums)))
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-
-    return asked.groupBy("_owner").applyInArrow(add_up, "_block int, _owner int, _data binary, _summary array<long>")
+        return _table(out, _ANSWER_SCHEMA)
+
+    levels = []
+    for level in range(1, tree.depth):
+        herd = F.floor(F.col("_block") / tree.fan).cast("int")
+        levels.append(stored(asked.withColumn("_herd", herd), "asked"))
+        asked = _asked_further(levels[-1], tree, level, bits)
+    answers = asked.groupBy("_owner").applyInArrow(add_up, _ANSWER)
+    for above in reversed(levels):
+        answers = _handed_back(above, stored(answers, "answers"), tree)
+    return answers
 
 
 def totals_in_order(answers: pa.Table, columns: int) -> np.ndarray:

@@ -89,6 +89,7 @@ def near_duplicate_groups(
     percent: int = 80,
     out_size: str = "n_shingles",
     out_group: str = "component_id",
+    fan: int = B.FAN,
 ) -> DataFrame:
     """Per row: its id, the size of its shingle set, and the smallest id it is linked with.
 
@@ -103,7 +104,7 @@ def near_duplicate_groups(
     rows = df.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_x")).where("_id IS NOT NULL")
     size = B.text_bytes(rows, "_x")
     n_blocks = B.block_count(size)
-    owners, bits = max(1, n_blocks // 2), B.key_bits(size / 6, 14)
+    tree, bits = B.owner_tree(n_blocks // 2, fan), B.key_bits(size / 6, 14)
     texts = B.keyed_texts(rows, "_x", ["_id"])
     dealt = B.dealt(texts, n_blocks).groupBy("_block")
 
@@ -121,10 +122,10 @@ def near_duplicate_groups(
         number = table.column("_block")[0].as_py()
         shingles, _ = shingle_sets(B.Block(table.column("_texts").to_pylist()).texts, words)
         keys, _, held = B.distinct_keys(B.shortened(shingles, bits), np.ones((len(shingles), 1), np.int64))
-        asked = [(owner, number, data) for owner, data in B.questions(keys, held.T, owners, bits)]
+        asked = [(owner, number, data) for owner, data in B.questions(keys, held.T, tree.fan, bits)]
         return _rows(asked_schema, list(zip(*asked)) if asked else [[]] * 3)
 
-    answers = B.answered(dealt.applyInArrow(ask, "_owner int, _block int, _data binary"))
+    answers = B.answered(dealt.applyInArrow(ask, "_owner int, _block int, _data binary"), tree, bits)
 
     # One node per set: the smallest id, and one text to read the shingles from.
     nodes = documents.where("_n > 0").groupBy("_s1", "_s2").agg(F.min(F.struct("_id", "_k1", "_k2")).alias("_first"))

@@ -116,6 +116,7 @@ def score_texts(
     deleted: Column,
     doc_id: str = "doc_id",
     text: str = "text",
+    fan: int = B.FAN,
 ) -> DataFrame:
     """Per row: its id, n_tokens, n_known, train_tokens, base_score and score (log10).
 
@@ -147,14 +148,14 @@ def score_texts(
         return B.dealt(chosen, n_blocks, ["_rest", "_deleted"], "_block")
 
     bits = B.key_bits(size / 3, 30)
-    owners = max(1, n_blocks // 2)
+    tree = B.owner_tree(n_blocks // 2, fan)
     asked_schema = pa.schema([("_owner", pa.int32()), ("_block", pa.int32()), ("_data", pa.binary())])
 
     def ask(table: pa.Table) -> pa.Table:
         number = table.column("_block")[0].as_py()
         block = B.Block(table.column("_texts").to_pylist())
         events = Events(block, bits)
-        rows = [(owner, number, data) for owner, data in B.questions(events.keys, events.sums.T, owners, bits)]
+        rows = [(owner, number, data) for owner, data in B.questions(events.keys, events.sums.T, tree.fan, bits)]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), asked_schema)], schema=asked_schema)
 
     def word_totals(keys: np.ndarray, sums: np.ndarray) -> tuple[int, ...]:
@@ -166,7 +167,7 @@ def score_texts(
     asked = dealt(texts).groupBy("_block").applyInArrow(
         ask, "_owner int, _block int, _data binary"
     )
-    answers = stored(B.answered(asked, word_totals), "ngram-counts")
+    answers = stored(B.answered(asked, tree, bits, word_totals), "ngram-counts")
     summed = answers.where("_block = -1").select(*[F.sum(F.get("_summary", i)) for i in range(4)]).first()
     rest_words, all_words, rest_tokens, tokens = (x or 0 for x in summed)
 

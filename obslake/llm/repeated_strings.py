@@ -145,7 +145,7 @@ _SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
 def repeated_spans(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, fan: int = B.FAN
 ) -> DataFrame:
     """Per row: its id, n_bytes, ``spans`` (the bytes to remove, as [start, end)) and kept_sha256.
 
@@ -159,7 +159,7 @@ def repeated_spans(
     """
     size = B.text_bytes(df, text)
     n_blocks = B.block_count(size)
-    owners = max(1, n_blocks // 4)
+    tree = B.owner_tree(n_blocks // 4, fan)
     texts = B.keyed_texts(df.select(F.col(doc_id).alias("_id"), F.col(text).alias("_x")), "_x", ["_id"])
     long = texts.where(F.octet_length("_text") >= length)
     dealt = B.dealt(long, n_blocks).groupBy("_block")
@@ -173,7 +173,7 @@ def repeated_spans(
         return per_text, *B.distinct_keys(ranks, np.ones((len(ranks), 1), np.int64))
 
     def questions(number: int, keys: np.ndarray, held: np.ndarray, bits: int) -> list[tuple]:
-        return [(owner, number, data) for owner, data in B.questions(keys, held.T, owners, bits)]
+        return [(owner, number, data) for owner, data in B.questions(keys, held.T, tree.fan, bits)]
 
     def table(rows: list[tuple]) -> pa.Table:
         columns = zip(*rows) if rows else [[]] * 3
@@ -183,7 +183,7 @@ def repeated_spans(
         _, keys, _, held = sampled(B.Block(blocks.column("_texts").to_pylist()))
         return table(questions(blocks.column("_block")[0].as_py(), keys, held, sample_bits))
 
-    answers = B.answered(dealt.applyInArrow(ask_sampled, asked_names))
+    answers = B.answered(dealt.applyInArrow(ask_sampled, asked_names), tree, sample_bits)
 
     def remaining(left: pa.Table, right: pa.Table) -> pa.Table:
         """Texts with windows whose spokesman occurs again, with the intervals of those windows."""
@@ -242,10 +242,10 @@ def repeated_spans(
     def ranked(owner: int, sums: np.ndarray) -> np.ndarray:
         """New ranks in sort order, 0 for strings that occur once; no two owners give the same."""
         again = sums[:, 0] > 1
-        return np.where(again, np.cumsum(again) * owners + owner, 0)[:, None]
+        return np.where(again, np.cumsum(again) * tree.owners + owner, 0)[:, None]
 
     ranks = stored(
-        B.answered(left.mapInArrow(ask_halves, asked_names), reply=ranked).select("_block", "_owner", "_data"),
+        B.answered(left.mapInArrow(ask_halves, asked_names), tree, 64, reply=ranked).select("_block", "_owner", "_data"),
         "half-ranks",
     )
 
@@ -272,7 +272,7 @@ def repeated_spans(
 
     by_block = left.groupBy("_block")
     asked = by_block.cogroup(ranks.groupBy("_block")).applyInArrow(ask_wholes, asked_names)
-    repeats = B.answered(asked).select("_block", "_owner", "_data")
+    repeats = B.answered(asked, tree, 64).select("_block", "_owner", "_data")
     answers = ranks.withColumn("_whole", F.lit(False)).unionByName(repeats.withColumn("_whole", F.lit(True)))
     results = pa.schema([
         ("_k1", pa.int64()), ("_k2", pa.int64()), ("_kept", pa.string()),

@@ -42,6 +42,69 @@ def test_packed_arrays():
         assert a.dtype == b.dtype and (a == b).all()
 
 
+def test_owner_tree():
+    assert B.owner_tree(0) == (1, 1) and B.owner_tree(43) == (43, 1) and B.owner_tree(64) == (64, 1)
+    assert B.owner_tree(65) == (9, 2) and B.owner_tree(5000) == (18, 3) and B.owner_tree(1, 2) == (1, 1)
+    for n in (1, 63, 65, 4096, 4097, 10**6):
+        tree = B.owner_tree(n)
+        assert n <= tree.owners and tree.fan <= B.FAN
+
+
+def asked_of(spark, n_blocks: int, tree: B.Tree, bits: int):
+    """A question of every block, and the keys of each."""
+    keys = {b: np.unique(np.random.default_rng(b).integers(0, 1 << bits, 300, dtype=np.uint64)) for b in range(n_blocks)}
+    keys = {b: np.unique(np.append(k, [np.uint64(5), np.uint64((1 << bits) - 1)])) for b, k in keys.items()}
+    rows = [(o, b, d) for b, k in keys.items() for o, d in B.questions(k, [np.full(len(k), b + 1)], tree.fan, bits)]
+    return spark.createDataFrame(rows, "_owner int, _block int, _data binary"), keys
+
+
+@pytest.mark.parametrize("fan", [2, 3, 64])
+def test_answers_come_back_through_the_tree(spark, fan):
+    tree = B.owner_tree(11, fan)
+    asked, keys = asked_of(spark, 23, tree, 20)
+    wanted = Counter()
+    for b, k in keys.items():
+        wanted.update(dict.fromkeys(k.tolist(), b + 1))
+    got = B.answered(asked, tree, 20, summary=lambda k, sums: (len(k), int(sums.sum()))).toArrow()
+    whole = got.filter(got.column("_data").is_null()).column("_summary").to_pylist()
+    assert [sum(x) for x in zip(*whole)] == [len(wanted), sum(wanted.values())]
+    mine = got.filter(got.column("_data").is_valid())
+    for b, k in keys.items():
+        answers = mine.filter([x == b for x in mine.column("_block").to_pylist()])
+        assert B.totals_in_order(answers, 1)[:, 0].tolist() == [wanted[x] for x in k.tolist()]
+
+
+def test_messages_grow_with_the_blocks(spark, monkeypatch):
+    counts = {}
+    inner = B.stored
+    for n_blocks in (16, 128):
+        sent = []
+        monkeypatch.setattr(B, "stored", lambda df, label: sent.append(df := inner(df, label)) or df)
+        tree = B.owner_tree(n_blocks // 2, 2)
+        asked, _ = asked_of(spark, n_blocks, tree, 40)
+        B.answered(asked, tree, 40).collect()
+        # every level sends at most ``fan`` messages a block, there and back
+        assert len(sent) == 2 * (tree.depth - 1)
+        levels = [df.count() for df in sent]
+        assert max(levels) <= 2 * n_blocks
+        counts[n_blocks] = sum(levels) / (tree.depth - 1)
+    assert counts[128] <= 1.1 * 8 * counts[16]
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+def test_operators_with_a_deep_tree(spark, texts, monkeypatch, fan):
+    monkeypatch.setattr(B, "BLOCK_BYTES", 12_000)
+    df = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
+    assert B.owner_tree(B.block_count(B.text_bytes(df, "text")) // 4, fan).depth > 1
+    groups = near_duplicates.near_duplicate_groups(df, fan=fan).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in groups} == grouped(texts)
+    spans = repeated_strings.repeated_spans(df, length=60, fan=fan).collect()
+    assert {r["doc_id"]: (r["n_bytes"], [tuple(s) for s in r["spans"]], r["kept_sha256"]) for r in spans} == removed(sorted(texts.items()), 60)
+    roles = F.col("doc_id") % 7 != 2, F.col("doc_id") % 5 == 1
+    deep, flat = (ngram_lm.score_texts(df, *roles, fan=n).orderBy("doc_id").collect() for n in (fan, 64))
+    assert [tuple(r) for r in deep] == [tuple(r) for r in flat]
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(60, 90)] + [(rng.randint(100, 130), rng.randint(100, 130)) for _ in range(20)]
