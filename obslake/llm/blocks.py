@@ -27,7 +27,7 @@ from obslake.llm.words import hash_pair, text_or_empty
 from obslake.session import stored
 
 BLOCK_BYTES = 6 << 20
-FAN = 64
+FAN = 4096  # messages of 1 to 2 KB; each level of the tree moves all keys once more
 FLUSH_BYTES = 24 << 20
 U = np.uint64
 

@@ -43,8 +43,8 @@ def test_packed_arrays():
 
 
 def test_owner_tree():
-    assert B.owner_tree(0) == (1, 1) and B.owner_tree(43) == (43, 1) and B.owner_tree(64) == (64, 1)
-    assert B.owner_tree(65) == (9, 2) and B.owner_tree(5000) == (18, 3) and B.owner_tree(1, 2) == (1, 1)
+    assert B.owner_tree(0) == (1, 1) and B.owner_tree(43) == (43, 1) and B.owner_tree(64, 64) == (64, 1)
+    assert B.owner_tree(65, 64) == (9, 2) and B.owner_tree(5000, 64) == (18, 3) and B.owner_tree(1, 2) == (1, 1)
     for n in (1, 63, 65, 4096, 4097, 10**6):
         tree = B.owner_tree(n)
         assert n <= tree.owners and tree.fan <= B.FAN
