@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from obslake.operators import quality
 from obslake.plans import season_catch as plan
 from obslake.session import new_path
+from obslake.sources import html_tables as html_source
 from obslake.sources import tables
 from obslake.sources.html_tables import page_tables
 from tests.conftest import rows
@@ -229,3 +231,33 @@ def test_all_blank_season_reconciles_differently(spark):
         ("none", 1.0, None, None, False), ("s", 5.0, 0.0, 5.0, False),
     ]
     assert plan.unreconciled(clean, totals).isEmpty()
+
+
+MARKUP = [
+    "<table>", "<TABLE class=x>", "</table>", "<tr>", "</tr>", "<td>", "<TD a='b > c'>", "</td>", "<th/>", "<td a=1/>", "</th >",
+    "<tbody>", "</tbody>", "<thead/>", "<b>", "<br/>", "<a href='?x&amp;y'>", "text", " a &amp; b", "&lt", "*", "​", "½",
+    "<!-- c -->", "<!---->", "<!doctype html>", "<script>if (a > b)</script>", "<script>a<b</script>", "</script>", "<style/>",
+    "<title>t</title>", "1 < 2", "<td", "<td-x>", "</ td>", "<?php ?>", "<tr/>", "<table/>",
+]
+
+
+def test_plain_markup_reads_as_the_parser_reads_it():
+    """Pages of plain markup are split at their tags, with the same cells as the parser finds."""
+    rng, plain = random.Random(3), 0
+    for _ in range(30000):
+        html = "".join(rng.choices(MARKUP[: rng.choice((24, 28, len(MARKUP)))], k=rng.randint(0, 20)))
+        found = html_source._plain_tables(html)
+        if found is not None:
+            plain += 1
+            reader = html_source._TableReader()
+            reader.feed(html)
+            reader.close()
+            assert found == [[["".join(cell) for cell in row] for row in table] for table in reader.tables], html
+    assert plain > 3000
+
+
+def test_season_pages_need_no_parser(monkeypatch):
+    """The parser takes several times as long; a page of plain tables is read without it."""
+    monkeypatch.setattr(html_source, "_TableReader", None)
+    html = "<!doctype html><p class='x'>a<table><tr><th>Quota<th>Total</tr><tr><td>1 &amp; 2</td><td><b>3*</b></td></tr></table>"
+    assert page_tables(html) == [[["Quota", "Total"], ["1 & 2", "3"]]]
