@@ -13,14 +13,17 @@ from obslake.operators.ordered import exact_key
 from obslake.session import new_path, stored
 
 
-def keep_first(df: DataFrame, key: Sequence[str], prefer: Sequence[Column] = ()) -> DataFrame:
+def keep_first(df: DataFrame, key: Sequence[str], prefer: Sequence[Column] = (), few: int = 100_000) -> DataFrame:
     """One row per key: the smallest by ``prefer``, then by the remaining columns.
 
     In two steps. A hash aggregate over the key and the first ranking column finds the keys
     that rows share, and writes them down; copies of a key held by a third of all rows
-    collapse before its shuffle. Rows of other keys pass as they are, and of the shared keys
-    only rows that tie in the first ranking column are compared by the rest. ``df`` is read
-    three times, the first time without the columns that do not matter there.
+    collapse before its shuffle. Are they ``few``, rows of other keys pass as they are, and of
+    the shared keys only rows that tie in the first ranking column are compared by the rest;
+    ``df`` is read three times, the first time without the columns that do not matter there.
+
+    More of them would not fit a broadcast, and joins would send all rows twice. Then all rows
+    are ranked by key in one shuffle, to which a task sends only the first it has of each key.
     """
     rest = [c for c in df.columns if c not in key]
     if not rest:
@@ -32,6 +35,10 @@ def keep_first(df: DataFrame, key: Sequence[str], prefer: Sequence[Column] = ())
         F.count(F.lit(1)).alias("_rows"), F.min("_first").alias("_least"), F.max(F.col("_first").isNull()).alias("_null")
     )
     shared = stored(shared.where("_rows > 1"), "shared-keys")
+    if shared.count() > few:
+        order = Window.partitionBy(*key).orderBy(*names, *rest)
+        ranked = df.withColumns(dict(zip(names, prefer))).withColumn("_at", F.row_number().over(order))
+        return ranked.where("_at = 1").select(*df.columns)
     same = reduce(and_, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key])
     alone = df.alias("a").join(shared.alias("b"), same, "left_anti")
     # A null is less than any value.

@@ -192,6 +192,20 @@ def test_keep_first_sorts_only_rows_that_tie(spark):
     assert "Exchange hash" not in alone and "BroadcastHashJoin" in alone
 
 
+def test_keep_first_sends_rows_once_when_many_keys_are_shared(spark):
+    df = spark.createDataFrame(
+        [(None, "b", 1.0), (None, "b", None), (1, None, 2.0), (1, "a", 9.0), (1, "a", float("nan")), (2, "c", 3.0), (2, "c", 3.0),
+         (3, "z", float("nan")), (4, "y", 1.0), (4, "y", 0.5), (4, "x", 7.0)] + [(5, "h", float(i % 9)) for i in range(500)],
+        "k long, v string, w double",
+    )
+    for prefer in ([], [-F.length("v"), F.upper("v")]):
+        assert str(rows(keys.keep_first(df, ["k"], prefer, few=0))) == str(rows(keys.keep_first(df, ["k"], prefer)))
+    plan = keys.keep_first(df, ["k"], few=0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hash") == 1 and "Join" not in plan
+    below = plan[plan.index("Exchange hash") :]
+    assert "WindowGroupLimit [k" in below  # copies of a key collapse before they are sent
+
+
 def test_buckets_are_read_where_they_lie(spark):
     path, key = new_path(spark, "bucketed"), ["k", "g"]
     first = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (2, "b", "a"), (None, "b", "n")], "k long, g string, v string")
