@@ -62,6 +62,15 @@ def prefix_choice(rarity: np.ndarray, percent: int) -> int:
     return int(choices[np.argmin(entries * (1 + VERIFY / choices))])
 
 
+def has_room(x: str, y: str) -> Column:
+    """Whether a shingle in both prefixes may be the first of as many as a pair must share there.
+
+    From it on, both prefixes must hold that many. The end of a prefix, with its most common
+    shingles, so brings no pair together.
+    """
+    return F.least(f"{x}._left", f"{y}._left") >= F.least(f"{x}._l", f"{y}._l")
+
+
 def _described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """Per document the size of its shingle set and a 128-bit hash of the set."""
     for batch in batches:
@@ -173,7 +182,9 @@ def near_duplicate_groups(
         ),
         "shingle-profiles",
     )
-    postings = profiles.select("_node", "_n", "_m", "_l", "_central", F.posexplode("_prefix").alias("_at", "_token"))
+    postings = profiles.select(
+        "_node", "_n", "_m", "_l", "_central", F.size("_prefix").alias("_length"), F.posexplode("_prefix").alias("_at", "_token")
+    )
     shared_by = postings.groupBy("_token").agg(F.min("_node").alias("_low"), F.max("_node").alias("_high"))
     postings = stored(
         postings.join(shared_by.where("_low <> _high").select("_token"), "_token"), "shingle-postings"
@@ -222,7 +233,8 @@ def near_duplicate_groups(
     # All other candidate pairs: of each list, only nodes of different components meet.
     known = star.select(F.col("_a").alias("_node"), F.col("_b").alias("_centre"), F.col("_both").alias("_with"))
     placed = postings.join(together, "_node", "left").join(known, "_node", "left").select(
-        "_token", "_at", "_node", "_n", "_m", "_l", F.coalesce("_component", "_node").alias("_component"),
+        "_token", "_at", "_node", "_n", "_m", "_l", (F.col("_length") - F.col("_at")).alias("_left"),
+        F.coalesce("_component", "_node").alias("_component"),
         F.coalesce("_centre", "_node").alias("_centre"), F.coalesce("_with", "_m").alias("_with"),
     )
     placed = stored(placed, "placed-postings")
@@ -247,20 +259,22 @@ def near_duplicate_groups(
     beyond = [F.col(f"{side}._m") - F.col(f"{side}._with") for side in "xy"]
     most = F.least("x._with", "y._with") + F.least(*beyond)
     enough = most * (100 + percent) >= (F.col("x._n") + F.col("y._n")) * percent
-    around, few = beside_major(placed.drop("_token", "_at", "_l").distinct(), "_centre")
+    around, few = beside_major(placed.drop("_token", "_at", "_l", "_left").distinct(), "_centre")
     near = (
         few.alias("x").join(around.alias("y"), "_centre")
         .where(different & once & may_link("x", "y") & enough)
         .select(*pair)
     )
-    # Nodes of different centres meet in posting lists, often enough to be candidates.
+    # Nodes of different centres meet in posting lists, where there is room; before the first
+    # shingle of their prefixes that they share, the sets share nothing.
     listed, few = beside_major(placed, "_token")
+    rests = [F.col(f"{side}._m") - F.col(f"{side}._at") for side in "xy"]
     far = (
         few.alias("x").join(listed.alias("y"), "_token")
-        .where(different & once & in_reach("x", "y") & (F.col("x._centre") != F.col("y._centre")))
+        .where(different & once & in_reach("x", "y") & (F.col("x._centre") != F.col("y._centre")) & has_room("x", "y"))
         .groupBy(*pair)
-        .agg(F.count(F.lit(1)).alias("_times"), F.min(F.least("x._l", "y._l")).alias("_l"))
-        .where("_times >= _l")
+        .agg(F.max(F.least(*rests)).alias("_most"), F.max(F.col("x._n") + F.col("y._n")).alias("_sum"))
+        .where(F.col("_most") * (100 + percent) >= F.col("_sum") * percent)
         .select("_a", "_b")
     )
     met = near.unionByName(far)

@@ -303,6 +303,39 @@ def test_chains_hubs_and_common_passages(spark, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == grouped(docs, percent)
 
 
+def test_a_crowd_of_near_copies(spark):
+    """Copies at the edge of the bound: linked by some, not by the most central one."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    docs = {}
+    for i in range(160):
+        copy = list(base)
+        for k in range(rng.randint(1, 6)):
+            copy[rng.randrange(150)] = f"x{rng.randrange(9) if k % 2 else i}"
+        docs[i] = " ".join(copy)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = near_duplicates.near_duplicate_groups(df).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == grouped(docs)
+
+
+def test_the_common_end_of_a_prefix_brings_no_pair_together(spark):
+    """Of the shingles a candidate pair shares, one at least is left; its first one always is."""
+    rng, meetings = random.Random(5), []
+    for pair in range(300):
+        sides = [sorted(rng.sample(range(40), rng.randint(8, 30))) for _ in range(2)]
+        asked = [rng.randint(1, 8) for _ in range(2)]
+        for token in sorted({*sides[0]} & {*sides[1]}):
+            meetings.append((pair, token, *((len(t) - t.index(token), a) for t, a in zip(sides, asked))))
+    side = "struct<_left:int,_l:int>"
+    df = spark.createDataFrame(meetings, f"pair int, token int, x {side}, y {side}")
+    met = {(r["pair"], r["token"]) for r in df.where(near_duplicates.has_room("x", "y")).select("pair", "token").collect()}
+    shared = defaultdict(list)
+    for pair, token, x, y in meetings:
+        shared[pair, min(x[1], y[1])].append(token)
+    assert all((pair, tokens[0]) in met for (pair, asked), tokens in shared.items() if len(tokens) >= asked)
+    assert len(met) < 0.9 * len(meetings)
+
+
 def test_near_duplicates_of_odd_tables(spark, odd, empty):
     rows = near_duplicates.near_duplicate_groups(odd).collect()
     assert len(rows) == odd.where("doc_id IS NOT NULL").count()
