@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from obslake.llm.words import widened
+from obslake.llm.worker import give_back
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -217,6 +218,8 @@ def detect(
             new = [pa.array(tags, pa.string()), pa.array(scores, pa.float64())]
             new.append(pa.array([[dict(lang=a, share=b) for a, b in p] for p in parts], part_type))
             yield pa.record_batch([*batch.columns, *new], names=[*batch.schema.names, lang_pred, score, languages])
+            del texts, tags, scores, parts, new
+            give_back()
 
     added = StructType.fromDDL(f"`{lang_pred}` string, `{score}` double, `{languages}` array<struct<lang:string,share:double>>")
     return widened(df, own, run, added)

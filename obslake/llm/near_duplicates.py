@@ -22,15 +22,35 @@ from pyspark.sql import functions as F
 
 from obslake.llm import blocks as B
 from obslake.llm.components import components
+from obslake.llm.worker import give_back
 from obslake.session import stored
 
 U = np.uint64
 VERIFY = 16  # cost of comparing two sets, in posting entries
 LONGEST = 8  # largest number of shared prefix shingles asked for
+PIECE = 1 << 18  # bytes of text whose shingles are made together
 
 
-def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of all texts, one text after the other, and set sizes."""
+def shingle_sets(texts: list[bytes], words: int, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of all texts, one text after the other, and set sizes.
+
+    Worked off in pieces of about ``piece`` bytes, as the arrays in between take much more
+    memory than the result.
+    """
+    found, sizes, begin = [np.zeros(0, U)], [np.zeros(0, np.int64)], 0
+    while begin < len(texts):
+        end, held = begin, 0
+        while end < len(texts) and (end == begin or held + len(texts[end]) < piece):
+            held += len(texts[end])
+            end += 1
+        some, size = _sets_of(texts[begin:end], words)
+        found.append(some)
+        sizes.append(size)
+        begin = end
+    return np.concatenate(found), np.concatenate(sizes)
+
+
+def _sets_of(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     hashed, counts = B.word_hashes(texts)
     sizes = np.where(counts == 0, 0, np.maximum(counts - words + 1, 1))
     starts = np.cumsum(counts) - counts
@@ -84,6 +104,7 @@ def _described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
                 marks.append(B.chained(sums[ends[1:]] - sums[ends[:-1]], sizes.astype(U)).view(np.int64))
             columns = [*part.columns[:3], pa.array(sizes, pa.int64()), *map(pa.array, marks)]
             yield pa.record_batch(columns, names=["_id", "_k1", "_k2", "_n", "_s1", "_s2"])
+        give_back()
 
 
 def _rows(schema: pa.Schema, columns: list) -> pa.Table:
@@ -132,6 +153,8 @@ def near_duplicate_groups(
         shingles, _ = shingle_sets(B.Block(table.column("_texts").to_pylist()).texts, words)
         keys, _, held = B.distinct_keys(B.shortened(shingles, bits), np.ones((len(shingles), 1), np.int64))
         asked = [(owner, number, data) for owner, data in B.questions(keys, held.T, tree.fan, bits)]
+        del shingles, keys, held
+        give_back()
         return _rows(asked_schema, list(zip(*asked)) if asked else [[]] * 3)
 
     answers = B.answered(dealt.applyInArrow(ask, "_owner int, _block int, _data binary"), tree, bits)
@@ -174,7 +197,10 @@ def near_duplicate_groups(
                 length = n - least + choice
                 prefix = mine[:length][shared[:length]]
                 out.append((node_of[key], n, int(shared.sum()), choice, float(np.log(held).sum() / n), prefix.view(np.int64), mine[shared].view(np.int64)))
-        return _rows(profile_schema, list(zip(*out)) if out else [[]] * 7)
+        table = _rows(profile_schema, list(zip(*out)) if out else [[]] * 7)
+        del block, shingles, where, totals, count, out
+        give_back()
+        return table
 
     profiles = stored(
         dealt.cogroup(told.groupBy("_block")).applyInArrow(

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obslake.llm.worker import memory
+from obslake.llm.worker import give_back, memory
 from obslake.llm.words import text_or_empty
 from obslake.session import stored
 
@@ -284,6 +284,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_id
                 yield rows(out)
                 out, tokens = [], 0
         yield rows(out)
+        out = None
+        give_back()
 
 
 def pack(
